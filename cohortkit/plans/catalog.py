@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cohortkit.operators import cohort as C
 from cohortkit.operators import concepts as K
+from cohortkit.operators import deid as D
 from cohortkit.operators import extract as X
+from cohortkit.operators import generalise as G
 from cohortkit.params import FIXTURE_PARAMS, Params
 from cohortkit.sources.fixtures import ClinicalTables, clinical_view
 
@@ -67,6 +69,37 @@ class Ctx:
             ),
         )
 
+    # -- generalisation
+    def rare_map(self, min_count: int) -> DataFrame:
+        return self.memo(
+            f"rare_map_{min_count}",
+            lambda: G.rare_concept_map(self.extract("condition_occurrence"), self.v.concept_ancestor, self.v.concept, min_count),
+        )
+
+    def rare_removed(self, min_count: int | None = None) -> DataFrame:
+        m = self.p.min_count if min_count is None else min_count
+        return self.memo(f"rare_removed_{m}", lambda: G.generalise(self.extract("condition_occurrence"), self.rare_map(m)))
+
+    # -- de-identification
+    def person_map(self) -> DataFrame:
+        return self.memo(
+            "pmap", lambda: D.person_map(self.extract("person"), self.p.salt, self.p.as_of, self.p.max_shift, self.p.over_age)
+        )
+
+    def visit_map(self) -> DataFrame:
+        return self.memo(
+            "vmap", lambda: D.visit_map(self.extract("visit_occurrence"), self.person_map(), self.p.deid_start, self.p.deid_end)
+        )
+
+    def deid(self, table: str) -> DataFrame:
+        def build() -> DataFrame:
+            if table == "person":
+                return D.deid_person(self.extract("person"), self.person_map(), self.p.as_of, self.p.over_age)
+            src = self.rare_removed() if table == "condition_occurrence" else self.extract(table)
+            return D.deidentify(src, self.person_map(), self.visit_map(), D.DEID_SPECS[table], self.p.deid_start, self.p.deid_end)
+
+        return self.memo(f"deid_{table}", build)
+
 
 QueryFn = Callable[[Ctx], DataFrame]
 REGISTRY: dict[str, QueryFn] = {}
@@ -100,6 +133,22 @@ for _t in X.SPECS:
 for _t in ["drug_exposure", "death", "procedure_occurrence", "condition_occurrence", "device_exposure"]:
     query(f"extract_{_t}_distinct")(lambda c, t=_t: c.extract(t, "distinct"))
 
+# ---------------------------------------------------------------- generalisation
+for _m in (10, 25):
+    query(f"rare_ancestor_counts_m{_m}")(
+        lambda c: G.ancestor_counts(G.person_concepts(c.extract("condition_occurrence")), c.v.concept_ancestor, c.v.concept)
+    )
+    query(f"rare_map_m{_m}")(lambda c, m=_m: c.rare_map(m))
+    query(f"rare_rewrite_m{_m}")(lambda c, m=_m: c.rare_removed(m))
+query("rare_concept_counts")(lambda c: G.concept_person_counts(G.person_concepts(c.extract("condition_occurrence")), c.v.concept))
+
+# ---------------------------------------------------------------- de-identification
+query("deid_person_map")(lambda c: c.person_map())
+query("deid_visit_map")(lambda c: c.visit_map())
+for _t in ["person", "visit_occurrence", "condition_occurrence", "procedure_occurrence", "drug_exposure",
+           "observation", "death", "device_exposure", "measurement"]:
+    query(f"deid_{_t}")(lambda c, t=_t: c.deid(t))
+
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return REGISTRY[name](Ctx(spark, sf_dir))
