@@ -15,6 +15,10 @@ from cohortkit.operators import concepts as K
 from cohortkit.operators import deid as D
 from cohortkit.operators import extract as X
 from cohortkit.operators import generalise as G
+from cohortkit.operators import profile as PR
+from cohortkit.operators import quality as Q
+from cohortkit.operators import summary as S
+from cohortkit.schemas import conform, violations
 from cohortkit.params import FIXTURE_PARAMS, Params
 from cohortkit.sources.fixtures import ClinicalTables, clinical_view
 
@@ -149,6 +153,110 @@ for _t in ["person", "visit_occurrence", "condition_occurrence", "procedure_occu
            "observation", "death", "device_exposure", "measurement"]:
     query(f"deid_{_t}")(lambda c, t=_t: c.deid(t))
 
+# ---------------------------------------------------------------- contract
+def _contract(c: Ctx) -> DataFrame:
+    out = None
+    for t in X.SPECS:
+        v = violations(c.extract(t), t)
+        out = v if out is None else out.unionByName(v)
+    return out
+
+
+query("contract_violations")(_contract)
+
+# ---------------------------------------------------------------- quality checks
+query("qc_persons")(lambda c: Q.qc_persons(c.deid("person")))
+query("qc_deaths")(lambda c: Q.qc_deaths(c.deid("death")))
+for _t, _col in Q.CONCEPT_COLUMNS.items():
+    query(f"qc_concepts_{_t}")(lambda c, t=_t, col=_col: Q.qc_concepts(c.deid(t), col))
+query("qc_ranges")(lambda c: Q.qc_ranges({t: c.deid(t) for t in Q.RANGE_COLUMNS}))
+query("qc_report")(
+    lambda c: Q.quality_report({t: c.deid(t) for t in ["person", "death", *Q.RANGE_COLUMNS]}, c.p.deid_start, c.p.deid_end, c.p.as_of)
+)
+
+# ---------------------------------------------------------------- profiles
+def _closure(c: Ctx, domain: str) -> DataFrame:
+    return K.expand_concepts(c.v.concept_set, c.v.concept_ancestor, domain)
+
+
+query("profile_condition_observed")(
+    lambda c: PR.prevalence_observed(c.deid("condition_occurrence"), c.v.concept_ancestor, c.v.concept, c.deid("person"))
+)
+query("profile_condition_registry")(
+    lambda c: PR.prevalence_registry(c.deid("condition_occurrence"), _closure(c, "Condition"), c.deid("person"))
+)
+query("profile_measurement_grid")(
+    lambda c: PR.count_grid(c.deid("measurement"), _closure(c, "Measurement"), c.deid("person"), "measurement_concept_id")
+)
+query("profile_measurement_rank")(
+    lambda c: PR.rank_counts(c.deid("measurement"), _closure(c, "Measurement"), c.deid("person"), "measurement_concept_id")
+)
+query("profile_measurement_percentiles")(
+    lambda c: PR.rank_percentiles(c.deid("measurement"), _closure(c, "Measurement"), c.deid("person"), "measurement_concept_id")
+)
+query("profile_measurement_report")(
+    lambda c: PR.percentile_report(c.deid("measurement"), _closure(c, "Measurement"), c.deid("person"), "measurement_concept_id")
+)
+query("profile_drugs_given")(lambda c: PR.drugs_given(c.deid("drug_exposure"), c.v.concept))
+query("profile_ingredient_map")(lambda c: PR.ingredient_map(c.deid("drug_exposure"), c.v.concept_ancestor, c.v.concept))
+
+
+def _exposure(c: Ctx) -> DataFrame:
+    d = c.deid("drug_exposure")
+    return PR.exposure_by_ingredient(d, PR.ingredient_map(d, c.v.concept_ancestor, c.v.concept))
+
+
+query("profile_ingredient_use")(lambda c: PR.ingredient_use(_exposure(c)))
+query("profile_ingredient_intensity")(lambda c: PR.ingredient_intensity(_exposure(c)))
+query("profile_ingredient")(lambda c: PR.ingredient_profile(c.deid("drug_exposure"), c.v.concept_ancestor, c.v.concept))
+query("profile_unmapped_drugs")(
+    lambda c: PR.unmapped_review(c.v.drug_exposure, c.extract("visit_occurrence"), c.p.unmapped_min_count)
+)
+query("profile_device_grid")(
+    lambda c: PR.count_grid(c.deid("device_exposure"), _closure(c, "Device"), c.deid("person"), "device_concept_id", "descendant")
+)
+query("profile_device_use")(lambda c: PR.device_use(c.deid("device_exposure"), _closure(c, "Device"), c.deid("person")))
+query("profile_device_intensity")(lambda c: PR.device_intensity(c.deid("device_exposure"), _closure(c, "Device"), c.deid("person")))
+query("profile_device")(lambda c: PR.device_profile(c.deid("device_exposure"), _closure(c, "Device"), c.deid("person")))
+
+# ---------------------------------------------------------------- summary statistics
+FIXTURE_INGREDIENTS = tuple(range(20101, 20111)) + tuple(range(30101, 30106))
+query("summary_ingredient_route")(
+    lambda c: S.ingredient_route_profile(c.v.drug_exposure, c.v.concept_ancestor, c.v.concept, FIXTURE_INGREDIENTS)
+)
+query("summary_measurement_source")(lambda c: S.source_profile(c.v.measurement))
+query("summary_condition_ancestor")(
+    lambda c: S.ancestor_profile(c.v.condition_occurrence, c.v.concept_ancestor, c.v.concept, "condition_concept_id",
+                                 "condition_source_value", "mean_conditions_per_patient")
+)
+query("summary_device_ancestor")(
+    lambda c: S.ancestor_profile(c.v.device_exposure, c.v.concept_ancestor, c.v.concept, "device_concept_id",
+                                 "device_source_value", "mean_devices_per_patient")
+)
+
+
+def _first(c: Ctx) -> DataFrame:
+    return S.first_visit(c.cohort())
+
+
+def _age(c: Ctx) -> DataFrame:
+    return S.age_at_first_visit(c.extract("person"), _first(c))
+
+
+query("summary_first_visit")(_first)
+query("summary_age_rows")(_age)
+query("summary_demographics")(lambda c: S.demographics(c.extract("person"), _age(c)))
+query("summary_death_info")(lambda c: S.death_info(c.extract("death"), c.v.concept))
+query("summary_stay_rows")(lambda c: S.stay(c.cohort(), _first(c)))
+query("summary_age")(lambda c: S.age_summary(_age(c)))
+query("summary_race")(lambda c: S.share(S.demographics(c.extract("person"), _age(c)), c.v.concept, "race_concept_id", "race"))
+query("summary_ethnicity")(
+    lambda c: S.share(S.demographics(c.extract("person"), _age(c)), c.v.concept, "ethnicity_concept_id", "ethnicity")
+)
+query("summary_deaths")(lambda c: S.death_summary(S.death_info(c.extract("death"), c.v.concept)))
+query("summary_stay")(lambda c: S.stay_summary(S.stay(c.cohort(), _first(c))))
+query("summary_report")(lambda c: S.summary_report(c.cohort(), c.extract("person"), c.extract("death"), c.v.concept))
+
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return REGISTRY[name](Ctx(spark, sf_dir))
