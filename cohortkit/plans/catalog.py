@@ -20,24 +20,49 @@ from cohortkit.operators import quality as Q
 from cohortkit.operators import summary as S
 from cohortkit.schemas import conform, violations
 from cohortkit.params import FIXTURE_PARAMS, Params
+from cohortkit.plans.materialize import StageStore
 from cohortkit.sources.fixtures import ClinicalTables, clinical_view
 
 
+class _Tables:
+    """Source tables of the clinical view, each materialised on first use."""
+
+    def __init__(self, ctx: "Ctx"):
+        self._ctx = ctx
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("_"):
+            raise AttributeError(name)
+        return self._ctx.memo(f"src_{name}", lambda: getattr(self._ctx.raw, name), materialize=True)
+
+
 class Ctx:
-    """Lazily built stages of the registry pipeline over one input folder."""
+    """Stages of the registry pipeline over one input folder.
 
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS):
+    Stages read by several branches (source view, cohort, extracts, maps, de-identified tables)
+    are written once to the checkpoint folder and read back (``plans.materialize``), as the
+    reference's scripts hand tables to each other; everything else stays lazy."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = FIXTURE_PARAMS, materialize: bool = True):
         self.spark = spark
         self.sf_dir = sf_dir
         self.p = params
-        self.v: ClinicalTables = clinical_view(spark, sf_dir)
+        self.raw: ClinicalTables = clinical_view(spark, sf_dir)
+        self.store = StageStore(spark) if materialize else None
+        self.v = _Tables(self) if materialize else self.raw
         self._memo: dict[str, DataFrame] = {}
 
-    def memo(self, key: str, fn: Callable[[], DataFrame]) -> DataFrame:
+    def memo(self, key: str, fn: Callable[[], DataFrame], materialize: bool = False) -> DataFrame:
         if key not in self._memo:
-            self._memo[key] = fn()
+            df = fn()
+            if materialize and self.store is not None:
+                df = self.store.put(key, df)
+            self._memo[key] = df
         return self._memo[key]
 
+    def stage(self, key: str, fn: Callable[[], DataFrame]) -> DataFrame:
+        return self.memo(key, fn, materialize=True)
+
     # -- cohort
     def dx_concepts(self) -> DataFrame:
         return self.memo("dx", lambda: K.descendants(self.p.diagnosis_roots, self.v.concept, self.v.concept_ancestor))
@@ -54,7 +79,7 @@ class Ctx:
         )
 
     def cohort(self) -> DataFrame:
-        return self.memo(
+        return self.stage(
             "cohort",
             lambda: C.build_cohort(
                 self.v.condition_occurrence, self.v.visit_occurrence, self.v.person, self.v.death,
@@ -64,7 +89,7 @@ class Ctx:
 
     # -- extract
     def extract(self, table: str, multiplicity: str = "reference") -> DataFrame:
-        return self.memo(
+        return self.stage(
             f"x_{table}_{multiplicity}",
             lambda: X.extract(
                 getattr(self.v, table), self.cohort(), X.SPECS[table], self.p,
@@ -75,23 +100,23 @@ class Ctx:
 
     # -- generalisation
     def rare_map(self, min_count: int) -> DataFrame:
-        return self.memo(
+        return self.stage(
             f"rare_map_{min_count}",
             lambda: G.rare_concept_map(self.extract("condition_occurrence"), self.v.concept_ancestor, self.v.concept, min_count),
         )
 
     def rare_removed(self, min_count: int | None = None) -> DataFrame:
         m = self.p.min_count if min_count is None else min_count
-        return self.memo(f"rare_removed_{m}", lambda: G.generalise(self.extract("condition_occurrence"), self.rare_map(m)))
+        return self.stage(f"rare_removed_{m}", lambda: G.generalise(self.extract("condition_occurrence"), self.rare_map(m)))
 
     # -- de-identification
     def person_map(self) -> DataFrame:
-        return self.memo(
+        return self.stage(
             "pmap", lambda: D.person_map(self.extract("person"), self.p.salt, self.p.as_of, self.p.max_shift, self.p.over_age)
         )
 
     def visit_map(self) -> DataFrame:
-        return self.memo(
+        return self.stage(
             "vmap", lambda: D.visit_map(self.extract("visit_occurrence"), self.person_map(), self.p.deid_start, self.p.deid_end)
         )
 
@@ -102,7 +127,7 @@ class Ctx:
             src = self.rare_removed() if table == "condition_occurrence" else self.extract(table)
             return D.deidentify(src, self.person_map(), self.visit_map(), D.DEID_SPECS[table], self.p.deid_start, self.p.deid_end)
 
-        return self.memo(f"deid_{table}", build)
+        return self.stage(f"deid_{table}", build)
 
 
 QueryFn = Callable[[Ctx], DataFrame]
@@ -258,5 +283,17 @@ query("summary_stay")(lambda c: S.stay_summary(S.stay(c.cohort(), _first(c))))
 query("summary_report")(lambda c: S.summary_report(c.cohort(), c.extract("person"), c.extract("death"), c.v.concept))
 
 
+_CONTEXTS: dict[tuple[str, str], Ctx] = {}
+
+
+def context(spark: SparkSession, sf_dir: str) -> Ctx:
+    """One context per (application, input folder): queries of one run share materialised stages."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    ctx = _CONTEXTS.get(key)
+    if ctx is None or ctx.spark is not spark:
+        ctx = _CONTEXTS[key] = Ctx(spark, sf_dir)
+    return ctx
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return REGISTRY[name](Ctx(spark, sf_dir))
+    return REGISTRY[name](context(spark, sf_dir))
