@@ -170,7 +170,8 @@ def deidentify(fact: DataFrame, pmap: DataFrame, vmap: DataFrame | None, spec: D
         elif rule == "pid":
             e = F.col("_new_pid")
         elif rule == "vid":
-            e = F.col("_new_vid")
+            # without a visit map no visit can be mapped: the id is null, as for unmapped visits
+            e = F.col("_new_vid") if "_new_vid" in j.columns else F.lit(None).cast("long")
         elif rule[0] == "from_date":
             e = to_ts(_shift(rule[1]))
         elif rule[0] == "const":
