@@ -15,10 +15,12 @@ reference does not DISTINCT. ``"distinct"`` returns each matching record once. D
 (person, measurement, observation, visit) give the same rows in both modes, as record ids are
 primary keys.
 
-No mode enumerates (fact, cohort row) pairs: the number of matching cohort rows ``k`` is found by
-an equi-join on (person_id, day) against a day-coverage table, or, for the OR overlap, as
-``persons' cohort rows - rows failing the test`` (only zero-length or reversed intervals can fail
-it, see ``_overlap_failures``), and the bag is produced by repeating the record ``k`` times.
+No mode pairs a fact with cohort rows it does not match. For day-scale bands the number of
+matching cohort rows ``k`` comes from an equi-join on (person_id, day) against a day-coverage
+table; for year-scale windows a binned join on (person_id, 32-day bin) with the exact test as
+residual finds each matching pair once; for the OR overlap ``k`` is ``person's cohort rows - rows
+failing the test`` (only zero-length or reversed intervals can fail it, see
+``_overlap_failures``). The bag is produced by repeating the record ``k`` times.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.operators.concepts import concept_multiplicity, expand_concepts
-from cohortkit.operators.intervals import day_coverage, replicate
+from cohortkit.operators.intervals import binned_band_join, day_coverage, replicate
 from cohortkit.params import Params
 from cohortkit.plans.broadcast import broadcast_if_small
 
@@ -140,7 +142,11 @@ def _overlap_failures(facts: DataFrame, cohort: DataFrame, s: str, e: str) -> Da
 
 def _matches(facts: DataFrame, cohort: DataFrame, spec: ExtractSpec, params: Params) -> DataFrame:
     """facts with a column ``_k``: number of cohort rows each fact matches (rows with 0 dropped)."""
-    if spec.window in ("band", "years"):
+    if spec.window == "years":
+        lo, hi = _window_bounds(spec, params)
+        pairs = binned_band_join(facts, cohort, spec.person_col, spec.date_col, lo, hi, how="inner")
+        return pairs.withColumn("_k", F.lit(1))
+    if spec.window == "band":
         lo, hi = _window_bounds(spec, params)
         cov = day_coverage(cohort, "person_id", lo, hi, day="_day")
         return facts.join(
@@ -199,7 +205,10 @@ def extract(
         facts = facts.join(ids, spec.concept_col, "left_semi")
 
     if not bag:
-        if spec.window in ("band", "years"):
+        if spec.window == "years":
+            lo, hi = _window_bounds(spec, params)
+            out = binned_band_join(facts, cohort, spec.person_col, spec.date_col, lo, hi, how="left_semi")
+        elif spec.window == "band":
             lo, hi = _window_bounds(spec, params)
             cov = day_coverage(cohort, "person_id", lo, hi, day=spec.date_col).withColumnRenamed("person_id", spec.person_col)
             out = facts.join(cov, [spec.person_col, spec.date_col], "left_semi")

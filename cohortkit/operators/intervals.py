@@ -43,3 +43,37 @@ def replicate(df: DataFrame, times: Column) -> DataFrame:
         .select(*cols, F.explode(F.array_repeat(F.lit(True), F.col("_rep"))).alias("_r"))
         .drop("_r")
     )
+
+
+def _bin(c: Column, width: int) -> Column:
+    return F.floor(F.unix_date(c) / F.lit(int(width))).cast("long")
+
+
+def binned_band_join(
+    facts: DataFrame,
+    intervals: DataFrame,
+    key: str,
+    date_col: str,
+    lo: Column,
+    hi: Column,
+    how: str = "left_semi",
+    width: int = 32,
+) -> DataFrame:
+    """Band join for long windows (e.g. +-1 year): intervals are expanded to the ``width``-day bins
+    they touch, facts fall in exactly one bin, and the join runs on (key, bin) with the exact date
+    test as residual. Each (fact, interval) match is found once; the expanded side holds
+    (span / width + 1) rows per interval instead of one per day.
+
+    ``how="left_semi"`` keeps matching facts once; ``how="inner"`` returns one row per matching
+    (fact, interval) pair - the bag the reference's join produces, nothing more."""
+    iv = (
+        intervals.select(F.col(key).alias("_bk"), lo.alias("_lo"), hi.alias("_hi"))
+        .where(F.col("_lo").isNotNull() & F.col("_hi").isNotNull() & (F.col("_lo") <= F.col("_hi")))
+        .select("_bk", "_lo", "_hi", F.explode(F.sequence(_bin(F.col("_lo"), width), _bin(F.col("_hi"), width))).alias("_bin"))
+    )
+    f = facts.withColumn("_fbin", _bin(F.col(date_col), width))
+    cond = (
+        (F.col(key) == F.col("_bk")) & (F.col("_fbin") == F.col("_bin"))
+        & (F.col(date_col) >= F.col("_lo")) & (F.col(date_col) <= F.col("_hi"))
+    )
+    return f.join(iv, cond, how).select(*facts.columns)
