@@ -1,0 +1 @@
+"""Column expressions with the reference's semantics (dates, integer arithmetic, keyed values)."""

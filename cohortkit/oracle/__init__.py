@@ -1,0 +1 @@
+"""Independent DuckDB oracle: the fixture view and one SQL text per registered query."""
