@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.params import Params
-from cohortkit.plans.broadcast import broadcast_if_small
+from cohortkit.plans.broadcast import broadcast_checked
 
 COHORT_COLUMNS = ["person_id", "visit_occurrence_id", "visit_start_date", "visit_end_date", "birth_date", "death_date"]
 
@@ -22,7 +22,7 @@ def qualifying_events(condition: DataFrame, concepts: DataFrame, start: dt.date)
     """Distinct (person_id, diagnosis_date) with a condition in ``concepts`` on or after start."""
     return (
         condition.where(F.col("condition_start_date") >= F.lit(start))
-        .join(broadcast_if_small(concepts.select(F.col("concept_id").alias("condition_concept_id"))), "condition_concept_id", "left_semi")
+        .join(broadcast_checked(concepts.select(F.col("concept_id").alias("condition_concept_id"))), "condition_concept_id", "left_semi")
         .select("person_id", F.col("condition_start_date").alias("diagnosis_date"))
         .distinct()
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohortkit.plans.broadcast import broadcast_if_small
+from cohortkit.plans.broadcast import broadcast_checked
 
 CONCEPT_SET_SCHEMA = T.StructType(
     [
@@ -62,7 +62,7 @@ def expand_concepts(concept_set: DataFrame, concept_ancestor: DataFrame, domain:
     )
     ca = concept_ancestor.select("ancestor_concept_id", "descendant_concept_id")
     return (
-        ca.join(broadcast_if_small(cs), F.col("ancestor_concept_id") == F.col("_reg_id"))
+        ca.join(broadcast_checked(cs), F.col("ancestor_concept_id") == F.col("_reg_id"))
         .where(F.col("include_descendants") | (F.col("ancestor_concept_id") == F.col("descendant_concept_id")))
         .select(
             F.col("descendant_concept_id").alias("concept_id"),

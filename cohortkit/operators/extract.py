@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from cohortkit.operators.concepts import concept_multiplicity, expand_concepts
 from cohortkit.operators.intervals import binned_band_join, day_coverage, replicate
 from cohortkit.params import Params
-from cohortkit.plans.broadcast import broadcast_if_small
+from cohortkit.plans.broadcast import broadcast_checked
 
 
 @dataclass(frozen=True)
@@ -108,19 +108,22 @@ def _window_bounds(spec: ExtractSpec, params: Params) -> tuple[Column, Column]:
 
 
 def _overlap_failures(facts: DataFrame, cohort: DataFrame, s: str, e: str) -> DataFrame:
-    """(person_id, s, e, c): number of cohort rows failing ``s < ve OR e > vs OR e IS NULL``.
+    """(person_id, _s, _e, c): number of cohort rows failing ``s < ve OR e > vs OR e IS NULL``.
 
     A row fails when ve <= s and vs >= e. For a well-formed visit (vs <= ve) that needs
     e <= vs <= ve <= s, so only facts with e <= s (zero-length or reversed) can fail, and only
     against visits starting inside [e, s]: those facts' ranges are expanded to days and joined on
-    (person_id, visit_start_date). Malformed visits (vs > ve) are rare and joined on person_id.
+    (person_id, visit_start_date). Malformed visits (vs > ve) are rare; only facts of persons who
+    have one are paired with them. The result is small (usually empty) and keyed by (person, s, e).
     """
-    keys = facts.where(F.col(e).isNotNull()).select("person_id", F.col(s).alias("_s"), F.col(e).alias("_e")).distinct()
     wf = cohort.where(F.col("visit_start_date") <= F.col("visit_end_date")).groupBy(
         "person_id", "visit_start_date", "visit_end_date"
     ).agg(F.count(F.lit(1)).alias("_n"))
-    cand = keys.where(F.col("_e") <= F.col("_s")).select(
-        "person_id", "_s", "_e", F.explode(F.sequence("_e", "_s")).alias("visit_start_date")
+    cand = (
+        facts.where(F.col(e).isNotNull() & (F.col(e) <= F.col(s)))
+        .select("person_id", F.col(s).alias("_s"), F.col(e).alias("_e"))
+        .distinct()
+        .select("person_id", "_s", "_e", F.explode(F.sequence("_e", "_s")).alias("visit_start_date"))
     )
     fail_wf = (
         cand.join(wf, ["person_id", "visit_start_date"])
@@ -131,8 +134,14 @@ def _overlap_failures(facts: DataFrame, cohort: DataFrame, s: str, e: str) -> Da
     bad = cohort.where(F.col("visit_start_date") > F.col("visit_end_date")).select(
         "person_id", "visit_start_date", "visit_end_date"
     )
+    bad_keys = (
+        facts.where(F.col(e).isNotNull())
+        .join(broadcast_checked(bad.select("person_id").distinct()), "person_id", "left_semi")
+        .select("person_id", F.col(s).alias("_s"), F.col(e).alias("_e"))
+        .distinct()
+    )
     fail_bad = (
-        keys.join(bad, "person_id")
+        bad_keys.join(bad, "person_id")
         .where((F.col("visit_end_date") <= F.col("_s")) & (F.col("visit_start_date") >= F.col("_e")))
         .groupBy("person_id", "_s", "_e")
         .agg(F.count(F.lit(1)).alias("c"))
@@ -153,12 +162,12 @@ def _matches(facts: DataFrame, cohort: DataFrame, spec: ExtractSpec, params: Par
             cov.withColumnRenamed("person_id", "_pid"),
             (F.col(spec.person_col) == F.col("_pid")) & (F.col(spec.date_col) == F.col("_day")),
         ).select(*facts.columns, F.col("k").alias("_k"))
-    per_person = broadcast_if_small(cohort.groupBy("person_id").agg(F.count(F.lit(1)).alias("_n")))
+    per_person = broadcast_checked(cohort.groupBy("person_id").agg(F.count(F.lit(1)).alias("_n")))
     if spec.window == "person":
         return facts.join(per_person, spec.person_col).select(*facts.columns, F.col("_n").alias("_k"))
     if spec.window == "overlap":
         s, e = spec.date_col, spec.end_col
-        fails = _overlap_failures(facts, cohort, s, e).withColumnRenamed("person_id", "_fpid")
+        fails = broadcast_checked(_overlap_failures(facts, cohort, s, e).withColumnRenamed("person_id", "_fpid"))
         j = facts.join(per_person, "person_id").join(
             fails,
             (F.col("person_id") == F.col("_fpid")) & (F.col(s) == F.col("_s")) & (F.col(e) == F.col("_e")),
@@ -195,14 +204,17 @@ def extract(
     if spec.domain is not None:
         expansion = expand_concepts(concept_set, concept_ancestor, spec.domain)
         if bag:
-            n_anc = broadcast_if_small(concept_multiplicity(expansion)).withColumnRenamed("concept_id", spec.concept_col)
+            n_anc = broadcast_checked(concept_multiplicity(expansion)).withColumnRenamed("concept_id", spec.concept_col)
             facts = facts.join(n_anc, spec.concept_col)
         else:
-            ids = broadcast_if_small(expansion.select(F.col("concept_id").alias(spec.concept_col)).distinct())
+            ids = broadcast_checked(expansion.select(F.col("concept_id").alias(spec.concept_col)).distinct())
             facts = facts.join(ids, spec.concept_col, "left_semi")
     if spec.join_concept:
-        ids = concept.select(F.col("concept_id").alias(spec.concept_col))
-        facts = facts.join(ids, spec.concept_col, "left_semi")
+        # inner join with the vocabulary on its key = keep facts whose concept exists; only the
+        # concepts the facts use are looked up, so the side joined back is small and measured
+        used = facts.select(spec.concept_col).distinct()
+        known = used.join(concept.select(F.col("concept_id").alias(spec.concept_col)), spec.concept_col, "left_semi")
+        facts = facts.join(broadcast_checked(known), spec.concept_col, "left_semi")
 
     if not bag:
         if spec.window == "years":

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.plans.broadcast import broadcast_if_small
+from cohortkit.plans.broadcast import broadcast_checked
 
 
 def person_concepts(facts: DataFrame, concept_col: str = "condition_concept_id") -> DataFrame:
@@ -87,7 +87,7 @@ def rare_concept_map(
         F.col("descendant_concept_id").alias("original_concept_id"), "ancestor_concept_id", "min_levels_of_separation"
     )
     observed = pairs.select("original_concept_id").distinct()
-    cand = ca.join(broadcast_if_small(observed), "original_concept_id", "left_semi").join(
+    cand = ca.join(broadcast_checked(observed), "original_concept_id", "left_semi").join(
         counts.select("ancestor_concept_id", "ancestor_concept_count"), "ancestor_concept_id"
     )
     pick = cand.groupBy("original_concept_id").agg(
@@ -118,7 +118,7 @@ def generalise(facts: DataFrame, concept_map: DataFrame, concept_col: str = "con
     common-enough ancestor are dropped (inner join, Q13). Column order kept."""
     m = concept_map.select(F.col("original_concept_id").alias("_orig"), F.col("revised_concept_id").alias("_rev"))
     cols = facts.columns
-    j = facts.join(broadcast_if_small(m), F.col(concept_col) == F.col("_orig"))
+    j = facts.join(broadcast_checked(m), F.col(concept_col) == F.col("_orig"))
     return j.select(*[F.col("_rev").alias(c) if c == concept_col else F.col(c) for c in cols])
 
 

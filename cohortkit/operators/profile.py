@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions.arith import int_div, int_percent
 from cohortkit.operators.intervals import day_coverage
-from cohortkit.plans.broadcast import broadcast_if_small
+from cohortkit.plans.broadcast import broadcast_checked
 
 
 def _n_persons(person: DataFrame) -> Column:
@@ -35,7 +35,7 @@ def prevalence_observed(cond: DataFrame, concept_ancestor: DataFrame, concept: D
     pairs = cond.select("person_id", F.col(concept_col).alias("_c")).distinct()
     observed = cond.select(F.col(concept_col).alias("ancestor_concept_id")).distinct()
     ca = concept_ancestor.select(F.col("descendant_concept_id").alias("_c"), "ancestor_concept_id").join(
-        broadcast_if_small(observed), "ancestor_concept_id", "left_semi"
+        broadcast_checked(observed), "ancestor_concept_id", "left_semi"
     )
     per = (
         pairs.join(ca, "_c").select("ancestor_concept_id", "person_id").distinct()
@@ -52,7 +52,7 @@ def prevalence_registry(cond: DataFrame, closure: DataFrame, person: DataFrame,
     """Persons per registry parent; ``closure`` is ``expand_concepts(.., 'Condition')``."""
     pairs = cond.select("person_id", F.col(concept_col).alias("concept_id")).distinct()
     per = (
-        pairs.join(broadcast_if_small(closure), "concept_id")
+        pairs.join(broadcast_checked(closure), "concept_id")
         .select("ancestor_concept_id", "concept_name", "person_id").distinct()
         .groupBy("ancestor_concept_id", "concept_name").agg(F.count(F.lit(1)).alias("persons_with_condition"))
     )
@@ -76,7 +76,7 @@ def sparse_counts(fact: DataFrame, closure: DataFrame, person: DataFrame, concep
     return (
         fact.select("person_id", concept_col)
         .join(person.select("person_id").distinct(), "person_id", "left_semi")
-        .join(broadcast_if_small(cl), concept_col)
+        .join(broadcast_checked(cl), concept_col)
         .groupBy("person_id", F.col(key).alias("concept_id"), "concept_name")
         .agg(F.count(F.lit(1)).alias("concept_count"))
     )
@@ -185,7 +185,7 @@ def ingredient_map(drug: DataFrame, concept_ancestor: DataFrame, concept: DataFr
     return (
         given.select(F.col("concept_id").alias("drug_concept_id"), F.col("concept_name").alias("drug_concept_name"))
         .join(ca, "drug_concept_id")
-        .join(broadcast_if_small(ing), "ingredient_concept_id")
+        .join(broadcast_checked(ing), "ingredient_concept_id")
         .select("drug_concept_id", "drug_concept_name", "ingredient_concept_id", "ingredient_name")
     )
 
@@ -194,7 +194,7 @@ def exposure_by_ingredient(drug: DataFrame, imap: DataFrame) -> DataFrame:
     """(ingredient_name, ingredient_concept_id, drug_concept_id, person_id); unmapped drugs keep
     a null ingredient (left join)."""
     m = imap.select(F.col("drug_concept_id").alias("_dc"), "ingredient_name", "ingredient_concept_id")
-    return drug.join(broadcast_if_small(m), F.col("drug_concept_id") == F.col("_dc"), "left").select(
+    return drug.join(broadcast_checked(m), F.col("drug_concept_id") == F.col("_dc"), "left").select(
         "ingredient_name", "ingredient_concept_id", "drug_concept_id", "person_id"
     )
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.arith import round_percent
-from cohortkit.plans.broadcast import broadcast_if_small
+from cohortkit.plans.broadcast import broadcast_checked
 
 
 def ingredient_route_profile(drug: DataFrame, concept_ancestor: DataFrame, concept: DataFrame,
@@ -26,7 +26,7 @@ def ingredient_route_profile(drug: DataFrame, concept_ancestor: DataFrame, conce
     ca = concept_ancestor.where(F.col("ancestor_concept_id").isin(ids)).select(
         F.col("descendant_concept_id").alias("drug_concept_id"), F.col("ancestor_concept_id").alias("ingredient_concept_id")
     )
-    slice_ = broadcast_if_small(ca.join(ing, "ingredient_concept_id"))
+    slice_ = broadcast_checked(ca.join(ing, "ingredient_concept_id"))
     keys = ["ingredient_concept_id", "ingredient_name", "route_source_value", "drug_source_value"]
     return (
         drug.select("person_id", "drug_concept_id", "route_source_value", "drug_source_value")
