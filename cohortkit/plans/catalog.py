@@ -249,6 +249,7 @@ FIXTURE_INGREDIENTS = tuple(range(20101, 20111)) + tuple(range(30101, 30106))
 query("summary_ingredient_route")(
     lambda c: S.ingredient_route_profile(c.v.drug_exposure, c.v.concept_ancestor, c.v.concept, FIXTURE_INGREDIENTS)
 )
+query("summary_mapped_drug_profile")(lambda c: PR.ingredient_profile(c.extract("drug_exposure"), c.v.concept_ancestor, c.v.concept))
 query("summary_measurement_source")(lambda c: S.source_profile(c.v.measurement))
 query("summary_condition_ancestor")(
     lambda c: S.ancestor_profile(c.v.condition_occurrence, c.v.concept_ancestor, c.v.concept, "condition_concept_id",
