@@ -138,7 +138,14 @@ def _shift(c: str) -> Column:
     return F.date_add(F.col(c), F.col("_shift"))
 
 
-def deidentify(fact: DataFrame, pmap: DataFrame, vmap: DataFrame | None, spec: DeidSpec, start: dt.date, end: dt.date) -> DataFrame:
+# Columns the reference passes unchanged although they can link back to the source
+# (Q19); ``strict=True`` blanks them. Record ids are primary keys of the contract and stay.
+LINKABLE_COLUMNS = ("visit_detail_id", "preceding_visit_occurrence_id", "lot_number", "sig", "unique_device_id",
+                    "value_as_string")
+
+
+def deidentify(fact: DataFrame, pmap: DataFrame, vmap: DataFrame | None, spec: DeidSpec, start: dt.date, end: dt.date,
+               strict: bool = False) -> DataFrame:
     """One de-identified table in the target contract's column order."""
     s = pmap.select(F.col("source_key").alias("_pkey"), F.col("id").alias("_new_pid"), F.col("date_shift").alias("_shift"))
     j = fact.join(s, F.col("person_id") == F.col("_pkey"))
@@ -178,6 +185,8 @@ def deidentify(fact: DataFrame, pmap: DataFrame, vmap: DataFrame | None, spec: D
             e = F.lit(rule[1])
         else:
             raise ValueError(rule)
+        if strict and c in LINKABLE_COLUMNS:
+            e = F.lit(None)
         out.append(e.alias(c))
     return conform(j.select(*out), spec.table)
 

@@ -235,13 +235,15 @@ def ingredient_profile(drug: DataFrame, concept_ancestor: DataFrame, concept: Da
 
 
 # ------------------------------------------------------------------ unmapped drugs
-def unmapped_review(raw_drug: DataFrame, visits: DataFrame, min_count: int = 20) -> DataFrame:
+def unmapped_review(raw_drug: DataFrame, visits: DataFrame, min_count: int = 20, cohort_only: bool = False) -> DataFrame:
     """Source values of unmapped drugs (concept 0) seen more than ``min_count`` times, each
     record counted once per extract visit of the person that contains its start date (at least
     once: left join, Q25). The containing-visit count comes from a day-coverage equi-join."""
     cov = day_coverage(visits, "person_id", F.col("visit_start_date"), F.col("visit_end_date"), day="drug_exposure_start_date")
     d = raw_drug.where(F.col("drug_concept_id") == 0).select("person_id", "drug_exposure_start_date", "drug_source_value")
-    j = d.join(cov, ["person_id", "drug_exposure_start_date"], "left")
+    # reference: left join, a record outside every visit still counts once (Q25); cohort_only keeps
+    # records inside an extract visit only
+    j = d.join(cov, ["person_id", "drug_exposure_start_date"], "inner" if cohort_only else "left")
     times = F.coalesce(F.col("k"), F.lit(1))
     agg = j.groupBy("drug_source_value").agg(
         F.sum(F.when(F.col("drug_source_value").isNotNull(), times).otherwise(0)).cast("long").alias("unmapped_drug_count")
@@ -271,12 +273,16 @@ def device_intensity(device: DataFrame, closure: DataFrame, person: DataFrame) -
     )
 
 
-def device_profile(device: DataFrame, closure: DataFrame, person: DataFrame) -> DataFrame:
-    """Device summary, joined on the concept id only (Q26)."""
+def device_profile(device: DataFrame, closure: DataFrame, person: DataFrame, join_on_name: bool = False) -> DataFrame:
+    """Device summary, joined on the concept id only (Q26: a device under two registry names
+    multiplies); ``join_on_name=True`` joins on (id, name)."""
     use = device_use(device, closure, person)
     inten = device_intensity(device, closure, person).select(
-        F.col("concept_id").alias("_ci"), "average_entries_per_person", "max_entries_per_person"
+        F.col("concept_id").alias("_ci"), F.col("concept_name").alias("_cn"), "average_entries_per_person", "max_entries_per_person"
     )
-    return use.join(inten, F.col("concept_id") == F.col("_ci"), "left").select(
+    cond = F.col("concept_id") == F.col("_ci")
+    if join_on_name:
+        cond = cond & (F.col("concept_name") == F.col("_cn"))
+    return use.join(inten, cond, "left").select(
         "concept_name", "concept_id", "person_count", "person_perc", "average_entries_per_person", "max_entries_per_person"
     )

@@ -145,3 +145,15 @@ def test_intervals_within_person_are_preserved(spark):
     # one shift per person: the gap between two records of a person is unchanged
     a, b = got[0], got[5]
     assert (b["condition_start_date"] - a["condition_start_date"]).days == 15
+
+
+def test_strict_blanks_linkable_columns(spark):
+    persons = table(spark, "person", [{"person_id": 1, "gender_concept_id": 8507}])
+    drug = table(spark, "drug_exposure", [{"drug_exposure_id": 5, "person_id": 1, "drug_concept_id": 9, "sig": "take two",
+                                           "lot_number": "L1", "drug_exposure_start_date": D(2020, 5, 1),
+                                           "drug_exposure_end_date": D(2020, 5, 2)}])
+    pmap = DE.person_map(persons, "s", D(2024, 1, 1))
+    loose = DE.deidentify(drug, pmap, None, DE.DEID_SPECS["drug_exposure"], D(2000, 1, 1), D(2030, 1, 1)).first()
+    strict = DE.deidentify(drug, pmap, None, DE.DEID_SPECS["drug_exposure"], D(2000, 1, 1), D(2030, 1, 1), strict=True).first()
+    assert loose["sig"] == "take two" and strict["sig"] is None and strict["lot_number"] is None
+    assert strict["drug_exposure_id"] == 5

@@ -106,3 +106,12 @@ def test_share_excludes_unmapped_ids(spark):
     concept = spark.createDataFrame([(5, "A"), (6, "B")], "concept_id bigint, concept_name string")
     got = {r["race"]: (r["count"], round(r["percent"], 4)) for r in S.share(demo, concept, "race_concept_id", "race").collect()}
     assert got == {"A": (2, 66.6667), "B": (1, 33.3333)}
+
+
+def test_unmapped_review_cohort_only(spark):
+    rows = [{"drug_exposure_id": i, "person_id": 1, "drug_concept_id": 0, "drug_source_value": "x",
+             "drug_exposure_start_date": D(2020, 1, 1) + dt.timedelta(days=i)} for i in range(30)]
+    drug = table(spark, "drug_exposure", rows)
+    visits = cohort_df(spark, [(1, 1, D(2020, 1, 1), D(2020, 1, 22))])
+    assert PR.unmapped_review(drug, visits, 20).first()["unmapped_drug_count"] == 30
+    assert PR.unmapped_review(drug, visits, 20, cohort_only=True).first()["unmapped_drug_count"] == 22
