@@ -24,6 +24,11 @@ from cohortkit.operators.intervals import day_coverage
 from cohortkit.plans.broadcast import broadcast_checked
 
 
+# The dense grid repeats every person once per registry concept of a domain; the concept list is
+# bounded by the registry's concept set and is checked against this bound before it is expanded.
+MAX_GRID_CONCEPTS = 100_000
+
+
 def _n_persons(person: DataFrame) -> Column:
     return person.agg(F.countDistinct("person_id")).scalar()
 
@@ -87,7 +92,12 @@ def count_grid(fact: DataFrame, closure: DataFrame, person: DataFrame, concept_c
     definition; each person row is expanded with the (small, registry-bounded) concept list,
     so the work is spread over the person partitions."""
     keys, _ = _grid_keys(closure, grain)
-    clist = keys.distinct().agg(F.collect_list(F.struct(F.col("_gk").alias("concept_id"), "concept_name")).alias("a")).scalar()
+    keys = keys.distinct().persist()
+    n_keys = keys.count()
+    if n_keys > MAX_GRID_CONCEPTS:
+        raise ValueError(f"{n_keys} registry concepts: the dense grid would hold persons x {n_keys} rows; "
+                         "use rank_percentiles / sparse_counts instead")
+    clist = keys.agg(F.collect_list(F.struct(F.col("_gk").alias("concept_id"), "concept_name")).alias("a")).scalar()
     dense = person.select("person_id").select("person_id", F.explode(clist).alias("_k")).select(
         "person_id", F.col("_k.concept_id").alias("concept_id"), F.col("_k.concept_name").alias("concept_name")
     )

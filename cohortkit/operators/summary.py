@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.arith import round_percent
@@ -137,8 +137,9 @@ def share(demo: DataFrame, concept: DataFrame, concept_col: str, label: str) ->
     """Persons per concept name and their percent; inner join to the vocabulary, so
     unmapped ids leave the denominator (Q30). The total is over the few result rows."""
     c = concept.select(F.col("concept_id").alias(concept_col), F.col("concept_name").alias(label))
-    counts = demo.join(c, concept_col).groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    total = F.sum("count").over(Window.partitionBy())
+    joined = demo.join(c, concept_col)
+    counts = joined.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
+    total = joined.agg(F.count(F.lit(1))).scalar()
     return counts.select(label, "count", (F.lit(100.0) * F.col("count") / total).alias("percent"))
 
 
