@@ -199,7 +199,9 @@ def extract(
         return suppress_source_values(out.select(*cols), spec.suppress)
 
     bag = multiplicity == "reference" and not spec.distinct
-    facts = fact
+    # only cohort persons can match: drop everyone else map-side, before any shuffle of the facts
+    persons = broadcast_checked(cohort.select(F.col("person_id").alias(spec.person_col)).distinct())
+    facts = fact.join(persons, spec.person_col, "left_semi")
     n_anc = None
     if spec.domain is not None:
         expansion = expand_concepts(concept_set, concept_ancestor, spec.domain)
