@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.operators.concepts import concept_multiplicity, expand_concepts
-from cohortkit.operators.intervals import binned_band_join, day_coverage, replicate
+from cohortkit.operators.intervals import binned_band_join, count_at_or_below, day_coverage, replicate
 from cohortkit.params import Params
 from cohortkit.plans.broadcast import broadcast_checked
 
@@ -149,7 +149,28 @@ def _overlap_failures(facts: DataFrame, cohort: DataFrame, s: str, e: str) -> Da
     return fail_wf.unionByName(fail_bad).groupBy("person_id", "_s", "_e").agg(F.sum("c").alias("c"))
 
 
-def _matches(facts: DataFrame, cohort: DataFrame, spec: ExtractSpec, params: Params) -> DataFrame:
+def _interval_counts(facts: DataFrame, cohort: DataFrame, s: str, e: str, per_person: DataFrame, fails: DataFrame) -> DataFrame:
+    """facts with ``_k`` = cohort rows with ``s < visit_end AND (e IS NULL OR e > visit_start)`` (the
+    interval reading of Q6), by inclusion-exclusion over the two failing tests:
+    k = N - #(visit_end <= s) - #(visit_start >= e) + #(both), where #(both) is the OR form's
+    failure count. Both single counts are rank lookups (``count_at_or_below``)."""
+    a = count_at_or_below(cohort, "person_id", "visit_end_date", facts, s).select(
+        F.col("person_id").alias("_ap"), F.col(s).alias("_as"), F.col("cnt").alias("_a"))
+    starts_before = count_at_or_below(
+        cohort, "person_id", "visit_start_date", facts.select("person_id", F.date_sub(e, 1).alias("_e1")), "_e1"
+    ).select(F.col("person_id").alias("_bp"), F.col("_e1").alias("_be"), F.col("cnt").alias("_b"))
+    j = (
+        facts.join(per_person, "person_id")
+        .join(a, (F.col("person_id") == F.col("_ap")) & (F.col(s) == F.col("_as")), "left")
+        .join(starts_before, (F.col("person_id") == F.col("_bp")) & (F.date_sub(e, 1) == F.col("_be")), "left")
+        .join(fails, (F.col("person_id") == F.col("_fpid")) & (F.col(s) == F.col("_s")) & (F.col(e) == F.col("_e")), "left")
+    )
+    not_after_start = F.when(F.col(e).isNull(), F.lit(0)).otherwise(F.col("_n") - F.coalesce("_b", F.lit(0)))
+    k = F.col("_n") - F.coalesce("_a", F.lit(0)) - not_after_start + F.coalesce("c", F.lit(0))
+    return j.select(*facts.columns, k.alias("_k")).where(F.col("_k") > 0)
+
+
+def _matches(facts: DataFrame, cohort: DataFrame, spec: ExtractSpec, params: Params, overlap: str = "any") -> DataFrame:
     """facts with a column ``_k``: number of cohort rows each fact matches (rows with 0 dropped)."""
     if spec.window == "years":
         lo, hi = _window_bounds(spec, params)
@@ -168,6 +189,8 @@ def _matches(facts: DataFrame, cohort: DataFrame, spec: ExtractSpec, params: Par
     if spec.window == "overlap":
         s, e = spec.date_col, spec.end_col
         fails = broadcast_checked(_overlap_failures(facts, cohort, s, e).withColumnRenamed("person_id", "_fpid"))
+        if overlap == "interval":
+            return _interval_counts(facts, cohort, s, e, per_person, fails)
         j = facts.join(per_person, "person_id").join(
             fails,
             (F.col("person_id") == F.col("_fpid")) & (F.col(s) == F.col("_s")) & (F.col(e) == F.col("_e")),
@@ -187,9 +210,11 @@ def extract(
     concept_ancestor: DataFrame | None = None,
     concept: DataFrame | None = None,
     multiplicity: str = "reference",
+    overlap: str = "any",
 ) -> DataFrame:
     """Rows of ``fact`` for the cohort, per ``spec``; columns and order of ``fact``, source
-    values suppressed."""
+    values suppressed. ``overlap`` applies to the condition table: ``"any"`` is the reference's OR
+    test (Q6), ``"interval"`` the interval overlap start < visit_end AND (end > visit_start or open)."""
     cols = fact.columns
     if spec.window == "visit":
         keys = cohort.select("person_id", "visit_occurrence_id").distinct()
@@ -229,10 +254,10 @@ def extract(
         elif spec.window == "person":
             out = facts.join(cohort.select("person_id").distinct(), spec.person_col, "left_semi")
         else:
-            out = _matches(facts, cohort, spec, params)
+            out = _matches(facts, cohort, spec, params, overlap)
         return suppress_source_values(out.select(*cols), spec.suppress)
 
-    m = _matches(facts, cohort, spec, params)
+    m = _matches(facts, cohort, spec, params, overlap)
     times = F.col("_k") * (F.col("n_anc") if n_anc is not None else F.lit(1))
     out = replicate(m, times)
     return suppress_source_values(out.select(*cols), spec.suppress)

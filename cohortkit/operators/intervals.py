@@ -77,3 +77,39 @@ def binned_band_join(
         & (F.col(date_col) >= F.col("_lo")) & (F.col(date_col) <= F.col("_hi"))
     )
     return f.join(iv, cond, how).select(*facts.columns)
+
+
+def count_at_or_below(points: DataFrame, key: str, value: str, queries: DataFrame, q: str, width: int = 32) -> DataFrame:
+    """(key, q, cnt): for each distinct query (key, q) the number of ``points`` rows of the key
+    with value <= q (dates) - a rank lookup that never pairs queries with points.
+
+    Per key the distinct point values become a step function: segment [v_i, v_(i+1) - 1] holds the
+    running count at v_i. A query falls in exactly one segment, found by an equi-join on
+    (key, ``width``-day bin) with the exact range test as residual; queries below the first value
+    get 0 and queries at or above the last value the key's total. The window that builds the
+    segments runs over one key's distinct point values (visits of one person)."""
+    from pyspark.sql import Window
+
+    per_value = points.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(key).orderBy(value)
+    steps = per_value.select(
+        key, F.col(value).alias("_v"),
+        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
+        F.lead(value).over(w).alias("_next"),
+    )
+    ends = steps.groupBy(key).agg(F.min("_v").alias("_first"), F.max("_v").alias("_last"), F.max("_cum").alias("_total"))
+    seg_bins = steps.where(F.col("_next").isNotNull()).select(
+        key, F.col("_v").alias("_lo"), F.date_sub("_next", 1).alias("_hi"), "_cum",
+    ).select("*", F.explode(F.sequence(_bin(F.col("_lo"), width), _bin(F.col("_hi"), width))).alias("_qb"))
+
+    qs = queries.select(key, q).where(F.col(q).isNotNull()).distinct().join(ends, key, "left")
+    is_mid = F.col("_first").isNotNull() & (F.col(q) >= F.col("_first")) & (F.col(q) < F.col("_last"))
+    mid = (
+        qs.where(is_mid).select(key, q, _bin(F.col(q), width).alias("_qb"))
+        .join(seg_bins, [key, "_qb"])
+        .where((F.col(q) >= F.col("_lo")) & (F.col(q) <= F.col("_hi")))
+        .select(key, q, F.col("_cum").cast("long").alias("cnt"))
+    )
+    edge_cnt = F.when(F.col("_first").isNull() | (F.col(q) < F.col("_first")), F.lit(0)).otherwise(F.col("_total"))
+    edges = qs.where(~is_mid).select(key, q, edge_cnt.cast("long").alias("cnt"))
+    return mid.unionByName(edges)

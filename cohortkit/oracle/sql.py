@@ -154,6 +154,12 @@ def oracle_queries(p: Params = FIXTURE_PARAMS) -> dict[str, str]:
         q[f"extract_{t}"] = with_views(f"SELECT * FROM o_x_{t}", *base, *x)
     for t in ["drug_exposure", "death", "procedure_occurrence", "condition_occurrence", "device_exposure"]:
         q[f"extract_{t}_distinct"] = with_views(f"SELECT * FROM o_xd_{t}", *base, *xd)
+    q["extract_condition_occurrence_interval"] = with_views(f"""SELECT {_cols('condition_occurrence', 'c')}
+        FROM ck_condition_occurrence c
+        JOIN o_cohort coh ON c.person_id = coh.person_id
+         AND c.condition_start_date < coh.visit_end_date
+         AND (c.condition_end_date > coh.visit_start_date OR c.condition_end_date IS NULL)
+        {_concept_filter('Condition', 'c', 'condition_concept_id')}""", *base)
     q.update(generalise_and_deid_queries(p))
     q.update(late_queries(p))
     return q

@@ -161,6 +161,10 @@ for _t in X.SPECS:
     query(f"extract_{_t}")(lambda c, t=_t: c.extract(t))
 for _t in ["drug_exposure", "death", "procedure_occurrence", "condition_occurrence", "device_exposure"]:
     query(f"extract_{_t}_distinct")(lambda c, t=_t: c.extract(t, "distinct"))
+query("extract_condition_occurrence_interval")(
+    lambda c: X.extract(c.v.condition_occurrence, c.cohort(), X.SPECS["condition_occurrence"], c.p, c.v.concept_set,
+                        c.v.concept_ancestor, c.v.concept, overlap="interval")
+)
 
 # ---------------------------------------------------------------- generalisation
 for _m in (10, 25):

@@ -167,3 +167,34 @@ def test_extract_plans_have_no_pair_or_cartesian_joins(spark):
         assert "CartesianProduct" not in txt and "BroadcastNestedLoopJoin" not in txt, t
     txt = plan_text(ctx.index())
     assert "CartesianProduct" not in txt and "BroadcastNestedLoopJoin" not in txt
+
+
+def test_interval_overlap_option_matches_pair_join(spark):
+    rnd = random.Random(11)
+    base = D(2020, 1, 1)
+    day = lambda n: base + dt.timedelta(days=n)
+    visits, conds = [], []
+    for p in range(1, 5):
+        for _ in range(rnd.randint(1, 7)):
+            s = rnd.randint(0, 60)
+            visits.append((p, day(s), day(s + rnd.choice([-2, 0, 1, 3, 9]))))
+        for _ in range(30):
+            s = rnd.randint(-5, 70)
+            e = rnd.choice([None, s, s + rnd.randint(-6, 12)])
+            conds.append((len(conds) + 1, p, day(s), None if e is None else day(e)))
+    conds.append((999, 9, day(1), day(2)))  # person without visits
+    coh = cohort_df(spark, [(p, 100 + i, s, e) for i, (p, s, e) in enumerate(visits)])
+    cs = concept_set_df(spark, [(5, "C", "Condition", True)])
+    ca = ancestor_df(spark, [(5, 5, 0)])
+    cond = table(spark, "condition_occurrence", [
+        {"condition_occurrence_id": c, "person_id": p, "condition_concept_id": 5, "condition_start_date": s,
+         "condition_end_date": e} for c, p, s, e in conds
+    ])
+    got = count_by(X.extract(cond, coh, X.SPECS["condition_occurrence"], P, cs, ca, None, overlap="interval"),
+                   "condition_occurrence_id")
+    want = {}
+    for cid, p, s, e in conds:
+        k = sum(1 for vp, vs, ve in visits if vp == p and s < ve and (e is None or e > vs))
+        if k:
+            want[cid] = k
+    assert got == want
