@@ -21,7 +21,7 @@ from cohortkit.operators import summary as S
 from cohortkit.schemas import conform, violations
 from cohortkit.params import FIXTURE_PARAMS, Params
 from cohortkit.plans.materialize import StageStore
-from cohortkit.sources.fixtures import ClinicalTables, clinical_view
+from cohortkit.sources.fixtures import DOMAIN_TABLES, ClinicalTables, clinical_view, domain_tables
 
 
 class _Tables:
@@ -33,6 +33,10 @@ class _Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
+        if name in DOMAIN_TABLES.values():
+            # the six event tables are cut from one materialised stream (one join, one write)
+            events = self._ctx.memo("src_events", lambda: self._ctx.raw.events, materialize=True)
+            return self._ctx.memo(f"src_{name}", lambda: domain_tables(events)[name])
         return self._ctx.memo(f"src_{name}", lambda: getattr(self._ctx.raw, name), materialize=True)
 
 

@@ -44,15 +44,24 @@ class ClinicalTables:
     concept: DataFrame
     concept_ancestor: DataFrame
     concept_set: DataFrame
+    events: DataFrame | None = None   # the joined stream the six event tables are cut from
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        return {k: v for k, v in self.__dict__.items() if k != "events"}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The test files hold one row group each, so a scan is a single task however large the file;
+    spread such a scan over the default parallelism before the joins that derive the view.
+    Scans that already split (real, multi-row-group tables) are left as they are."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+
+
 def _type_index(col: Column) -> Column:
     expr = None
     for i, t in enumerate(PART_TYPES, start=1):
@@ -178,11 +187,96 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     return concept, ancestor, concept_set
 
 
+DOMAIN_TABLES = {1: "drug_exposure", 2: "procedure_occurrence", 3: "measurement", 4: "observation",
+                 5: "device_exposure", 6: "condition_occurrence"}
+
+
+def domain_tables(events: DataFrame) -> dict[str, DataFrame]:
+    """The six clinical tables of the event stream, split by the part type's domain."""
+
+    def dom(t: int) -> DataFrame:
+        return events.where(F.col("t") == t)
+
+    null_l, null_i, null_s = F.lit(None).cast("long"), F.lit(None).cast("int"), F.lit(None).cast("string")
+
+    drug = dom(1).select(
+        F.col("rid").alias("drug_exposure_id"), F.col("pid").alias("person_id"), F.col("cid").alias("drug_concept_id"),
+        F.col("sd").alias("drug_exposure_start_date"), F.col("sdt").alias("drug_exposure_start_datetime"),
+        F.col("ed").alias("drug_exposure_end_date"), F.col("edt").alias("drug_exposure_end_datetime"),
+        F.col("ed").alias("verbatim_end_date"), F.lit(RECORD_TYPE).alias("drug_type_concept_id"),
+        null_s.alias("stop_reason"), F.lit(0).alias("refills"), F.col("qty").alias("quantity"),
+        F.lit(1).alias("days_supply"), F.lit("as directed").alias("sig"), F.lit(0).alias("route_concept_id"),
+        F.concat(F.lit("LOT"), F.col("ln").cast("string")).alias("lot_number"), null_l.alias("provider_id"),
+        F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
+        F.col("src").alias("drug_source_value"), F.lit(0).alias("drug_source_concept_id"),
+        F.col("route").alias("route_source_value"), F.lit("mg").alias("dose_unit_source_value"),
+    )
+    procedure = dom(2).select(
+        F.col("rid").alias("procedure_occurrence_id"), F.col("pid").alias("person_id"),
+        F.col("cid").alias("procedure_concept_id"), F.col("sd").alias("procedure_date"),
+        F.col("sdt").alias("procedure_datetime"), F.col("ed").alias("procedure_end_date"),
+        F.col("edt").alias("procedure_end_datetime"), F.lit(RECORD_TYPE).alias("procedure_type_concept_id"),
+        F.lit(0).alias("modifier_concept_id"), F.col("qty").cast("int").alias("quantity"),
+        null_l.alias("provider_id"), F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
+        F.col("src").alias("procedure_source_value"), F.lit(0).alias("procedure_source_concept_id"),
+        null_s.alias("modifier_source_value"),
+    )
+    measurement = dom(3).select(
+        F.col("rid").alias("measurement_id"), F.col("pid").alias("person_id"),
+        F.col("cid").alias("measurement_concept_id"), F.col("sd").alias("measurement_date"),
+        F.col("sdt").alias("measurement_datetime"), F.date_format("sdt", "HH:mm").alias("measurement_time"),
+        F.lit(RECORD_TYPE).alias("measurement_type_concept_id"), F.lit(0).alias("operator_concept_id"),
+        F.col("val").alias("value_as_number"), F.lit(0).alias("value_as_concept_id"), F.lit(0).alias("unit_concept_id"),
+        F.lit(0.0).alias("range_low"), F.lit(100000.0).alias("range_high"), null_l.alias("provider_id"),
+        F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
+        F.col("src").alias("measurement_source_value"), F.lit(0).alias("measurement_source_concept_id"),
+        F.lit("unit").alias("unit_source_value"), F.lit(0).alias("unit_source_concept_id"),
+        F.col("src").alias("value_source_value"), null_l.alias("measurement_event_id"),
+        null_i.alias("meas_event_field_concept_id"),
+    )
+    observation = dom(4).select(
+        F.col("rid").alias("observation_id"), F.col("pid").alias("person_id"),
+        F.col("cid").alias("observation_concept_id"), F.col("sd").alias("observation_date"),
+        F.col("sdt").alias("observation_datetime"), F.lit(RECORD_TYPE).alias("observation_type_concept_id"),
+        F.col("val").alias("value_as_number"), F.col("src").alias("value_as_string"),
+        F.lit(0).alias("value_as_concept_id"), F.lit(0).alias("qualifier_concept_id"), F.lit(0).alias("unit_concept_id"),
+        null_l.alias("provider_id"), F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
+        F.col("src").alias("observation_source_value"), F.lit(0).alias("observation_source_concept_id"),
+        F.lit("unit").alias("unit_source_value"), null_s.alias("qualifier_source_value"),
+        F.col("src").alias("value_source_value"), null_l.alias("observation_event_id"),
+        null_i.alias("obs_event_field_concept_id"),
+    )
+    device = dom(5).select(
+        F.col("rid").alias("device_exposure_id"), F.col("pid").alias("person_id"),
+        F.col("cid").alias("device_concept_id"), F.col("sd").alias("device_exposure_start_date"),
+        F.col("sdt").alias("device_exposure_start_datetime"), F.col("ed").alias("device_exposure_end_date"),
+        F.col("edt").alias("device_exposure_end_datetime"), F.lit(RECORD_TYPE).alias("device_type_concept_id"),
+        F.concat(F.lit("UDI"), F.col("rid").cast("string")).alias("unique_device_id"), null_s.alias("production_id"),
+        F.col("qty").cast("int").alias("quantity"), null_l.alias("provider_id"),
+        F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
+        F.col("src").alias("device_source_value"), F.lit(0).alias("device_source_concept_id"),
+        F.lit(0).alias("unit_concept_id"), null_s.alias("unit_source_value"), null_i.alias("unit_source_concept_id"),
+    )
+    condition = dom(6).select(
+        F.col("rid").alias("condition_occurrence_id"), F.col("pid").alias("person_id"),
+        F.col("cid").alias("condition_concept_id"), F.col("sd").alias("condition_start_date"),
+        F.col("sdt").alias("condition_start_datetime"), F.col("ed").alias("condition_end_date"),
+        F.col("edt").alias("condition_end_datetime"), F.lit(RECORD_TYPE).alias("condition_type_concept_id"),
+        F.lit(0).alias("condition_status_concept_id"), null_s.alias("stop_reason"), null_l.alias("provider_id"),
+        F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
+        F.col("src").alias("condition_source_value"), F.lit(0).alias("condition_source_concept_id"),
+        null_s.alias("condition_status_source_value"),
+    )
+
+    return {"drug_exposure": drug, "procedure_occurrence": procedure, "measurement": measurement,
+            "observation": observation, "device_exposure": device, "condition_occurrence": condition}
+
+
 def clinical_view(spark: SparkSession, sf_dir: str) -> ClinicalTables:
     customer = _read(spark, sf_dir, "customer")
     nation = _read(spark, sf_dir, "nation")
-    orders = _read(spark, sf_dir, "orders")
-    lineitem = _read(spark, sf_dir, "lineitem")
+    orders = _spread(_read(spark, sf_dir, "orders"))
+    lineitem = _spread(_read(spark, sf_dir, "lineitem"))
     parts = _parts(spark, sf_dir)
 
     # ---- person
@@ -271,79 +365,7 @@ def clinical_view(spark: SparkSession, sf_dir: str) -> ClinicalTables:
         F.col("l_linenumber").alias("ln"),
     )
 
-    def dom(t: int) -> DataFrame:
-        return events.where(F.col("t") == t)
-
-    null_l, null_i, null_s = F.lit(None).cast("long"), F.lit(None).cast("int"), F.lit(None).cast("string")
-
-    drug = dom(1).select(
-        F.col("rid").alias("drug_exposure_id"), F.col("pid").alias("person_id"), F.col("cid").alias("drug_concept_id"),
-        F.col("sd").alias("drug_exposure_start_date"), F.col("sdt").alias("drug_exposure_start_datetime"),
-        F.col("ed").alias("drug_exposure_end_date"), F.col("edt").alias("drug_exposure_end_datetime"),
-        F.col("ed").alias("verbatim_end_date"), F.lit(RECORD_TYPE).alias("drug_type_concept_id"),
-        null_s.alias("stop_reason"), F.lit(0).alias("refills"), F.col("qty").alias("quantity"),
-        F.lit(1).alias("days_supply"), F.lit("as directed").alias("sig"), F.lit(0).alias("route_concept_id"),
-        F.concat(F.lit("LOT"), F.col("ln").cast("string")).alias("lot_number"), null_l.alias("provider_id"),
-        F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
-        F.col("src").alias("drug_source_value"), F.lit(0).alias("drug_source_concept_id"),
-        F.col("route").alias("route_source_value"), F.lit("mg").alias("dose_unit_source_value"),
-    )
-    procedure = dom(2).select(
-        F.col("rid").alias("procedure_occurrence_id"), F.col("pid").alias("person_id"),
-        F.col("cid").alias("procedure_concept_id"), F.col("sd").alias("procedure_date"),
-        F.col("sdt").alias("procedure_datetime"), F.col("ed").alias("procedure_end_date"),
-        F.col("edt").alias("procedure_end_datetime"), F.lit(RECORD_TYPE).alias("procedure_type_concept_id"),
-        F.lit(0).alias("modifier_concept_id"), F.col("qty").cast("int").alias("quantity"),
-        null_l.alias("provider_id"), F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
-        F.col("src").alias("procedure_source_value"), F.lit(0).alias("procedure_source_concept_id"),
-        null_s.alias("modifier_source_value"),
-    )
-    measurement = dom(3).select(
-        F.col("rid").alias("measurement_id"), F.col("pid").alias("person_id"),
-        F.col("cid").alias("measurement_concept_id"), F.col("sd").alias("measurement_date"),
-        F.col("sdt").alias("measurement_datetime"), F.date_format("sdt", "HH:mm").alias("measurement_time"),
-        F.lit(RECORD_TYPE).alias("measurement_type_concept_id"), F.lit(0).alias("operator_concept_id"),
-        F.col("val").alias("value_as_number"), F.lit(0).alias("value_as_concept_id"), F.lit(0).alias("unit_concept_id"),
-        F.lit(0.0).alias("range_low"), F.lit(100000.0).alias("range_high"), null_l.alias("provider_id"),
-        F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
-        F.col("src").alias("measurement_source_value"), F.lit(0).alias("measurement_source_concept_id"),
-        F.lit("unit").alias("unit_source_value"), F.lit(0).alias("unit_source_concept_id"),
-        F.col("src").alias("value_source_value"), null_l.alias("measurement_event_id"),
-        null_i.alias("meas_event_field_concept_id"),
-    )
-    observation = dom(4).select(
-        F.col("rid").alias("observation_id"), F.col("pid").alias("person_id"),
-        F.col("cid").alias("observation_concept_id"), F.col("sd").alias("observation_date"),
-        F.col("sdt").alias("observation_datetime"), F.lit(RECORD_TYPE).alias("observation_type_concept_id"),
-        F.col("val").alias("value_as_number"), F.col("src").alias("value_as_string"),
-        F.lit(0).alias("value_as_concept_id"), F.lit(0).alias("qualifier_concept_id"), F.lit(0).alias("unit_concept_id"),
-        null_l.alias("provider_id"), F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
-        F.col("src").alias("observation_source_value"), F.lit(0).alias("observation_source_concept_id"),
-        F.lit("unit").alias("unit_source_value"), null_s.alias("qualifier_source_value"),
-        F.col("src").alias("value_source_value"), null_l.alias("observation_event_id"),
-        null_i.alias("obs_event_field_concept_id"),
-    )
-    device = dom(5).select(
-        F.col("rid").alias("device_exposure_id"), F.col("pid").alias("person_id"),
-        F.col("cid").alias("device_concept_id"), F.col("sd").alias("device_exposure_start_date"),
-        F.col("sdt").alias("device_exposure_start_datetime"), F.col("ed").alias("device_exposure_end_date"),
-        F.col("edt").alias("device_exposure_end_datetime"), F.lit(RECORD_TYPE).alias("device_type_concept_id"),
-        F.concat(F.lit("UDI"), F.col("rid").cast("string")).alias("unique_device_id"), null_s.alias("production_id"),
-        F.col("qty").cast("int").alias("quantity"), null_l.alias("provider_id"),
-        F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
-        F.col("src").alias("device_source_value"), F.lit(0).alias("device_source_concept_id"),
-        F.lit(0).alias("unit_concept_id"), null_s.alias("unit_source_value"), null_i.alias("unit_source_concept_id"),
-    )
-    condition = dom(6).select(
-        F.col("rid").alias("condition_occurrence_id"), F.col("pid").alias("person_id"),
-        F.col("cid").alias("condition_concept_id"), F.col("sd").alias("condition_start_date"),
-        F.col("sdt").alias("condition_start_datetime"), F.col("ed").alias("condition_end_date"),
-        F.col("edt").alias("condition_end_datetime"), F.lit(RECORD_TYPE).alias("condition_type_concept_id"),
-        F.lit(0).alias("condition_status_concept_id"), null_s.alias("stop_reason"), null_l.alias("provider_id"),
-        F.col("vid").alias("visit_occurrence_id"), null_l.alias("visit_detail_id"),
-        F.col("src").alias("condition_source_value"), F.lit(0).alias("condition_source_concept_id"),
-        null_s.alias("condition_status_source_value"),
-    )
+    domains = domain_tables(events)
 
     # ---- death: persons with p % 5 = 0, 30 days after their last visit
     last_visit = visit.groupBy("person_id").agg(F.max("visit_start_date").alias("last_start"))
@@ -367,14 +389,10 @@ def clinical_view(spark: SparkSession, sf_dir: str) -> ClinicalTables:
     return ClinicalTables(
         person=person,
         visit_occurrence=visit,
-        condition_occurrence=condition,
-        procedure_occurrence=procedure,
-        drug_exposure=drug,
-        device_exposure=device,
-        measurement=measurement,
-        observation=observation,
         death=death,
         concept=concept,
         concept_ancestor=ancestor,
         concept_set=concept_set,
+        events=events,
+        **domains,
     )
