@@ -101,7 +101,9 @@ def count_grid(fact: DataFrame, closure: DataFrame, person: DataFrame, concept_c
     dense = person.select("person_id").select("person_id", F.explode(clist).alias("_k")).select(
         "person_id", F.col("_k.concept_id").alias("concept_id"), F.col("_k.concept_name").alias("concept_name")
     )
-    sc = sparse_counts(fact, closure, person, concept_col, grain)
+    # the non-zero cells are few next to the dense side: broadcast them (measured) so the dense
+    # rows are produced and joined where their person partition already is
+    sc = broadcast_checked(sparse_counts(fact, closure, person, concept_col, grain))
     return dense.join(sc, ["person_id", "concept_id", "concept_name"], "left").select(
         "person_id", "concept_id", "concept_name", F.coalesce("concept_count", F.lit(0)).cast("long").alias("concept_count")
     )

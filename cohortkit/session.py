@@ -19,7 +19,8 @@ RECOMMENDED_CONF = {
 }
 
 
-def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "cohortkit") -> SparkSession:
+def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "cohortkit",
+                  extra_conf: dict[str, str] | None = None) -> SparkSession:
     b = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -28,7 +29,7 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "cohor
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "16g")
     )
-    for k, v in RECOMMENDED_CONF.items():
+    for k, v in {**RECOMMENDED_CONF, **(extra_conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
