@@ -198,3 +198,25 @@ def test_interval_overlap_option_matches_pair_join(spark):
         if k:
             want[cid] = k
     assert got == want
+
+
+def test_cohort_options_distinct_and_death_fallback(spark):
+    from helpers import concept_df as cdf
+
+    cond = table(spark, "condition_occurrence", [
+        {"condition_occurrence_id": 1, "person_id": 1, "condition_concept_id": 5, "condition_start_date": D(2020, 3, 10)},
+        {"condition_occurrence_id": 2, "person_id": 1, "condition_concept_id": 5, "condition_start_date": D(2020, 3, 11)},
+    ])
+    visits = table(spark, "visit_occurrence", [
+        {"visit_occurrence_id": 7, "person_id": 1, "visit_concept_id": 9201,
+         "visit_start_date": D(2020, 3, 12), "visit_end_date": D(2020, 3, 15)},
+    ])
+    person = table(spark, "person", [{"person_id": 1, "gender_concept_id": 8507, "birth_datetime": dt.datetime(1950, 5, 1)}])
+    death = table(spark, "death", [{"person_id": 1, "death_date": D(2020, 4, 1), "death_datetime": None}])
+    concept = cdf(spark, [(5, "dx", "Leaf", None)])
+    ca = ancestor_df(spark, [(5, 5, 0)])
+    p = P.with_(diagnosis_roots=(5,))
+    bag = C.build_cohort(cond, visits, person, death, concept, ca, p).collect()
+    assert len(bag) == 2 and all(r["death_date"] is None for r in bag)          # Q1 bag, Q3 datetime only
+    one = C.build_cohort(cond, visits, person, death, concept, ca, p, distinct=True, coalesce_death=True).collect()
+    assert len(one) == 1 and one[0]["death_date"] == D(2020, 4, 1) and one[0]["birth_date"] == D(1950, 5, 1)

@@ -157,3 +157,16 @@ def test_strict_blanks_linkable_columns(spark):
     strict = DE.deidentify(drug, pmap, None, DE.DEID_SPECS["drug_exposure"], D(2000, 1, 1), D(2030, 1, 1), strict=True).first()
     assert loose["sig"] == "take two" and strict["sig"] is None and strict["lot_number"] is None
     assert strict["drug_exposure_id"] == 5
+
+
+def test_visit_map_continues_after_existing_ids(spark):
+    persons = table(spark, "person", [{"person_id": 42, "gender_concept_id": 8507}])
+    visits = table(spark, "visit_occurrence", [
+        {"visit_occurrence_id": v, "person_id": 42, "visit_concept_id": 9201,
+         "visit_start_date": D(2020, 6, 1), "visit_end_date": D(2020, 6, 2)} for v in (7, 3, 9)
+    ])
+    pmap = DE.person_map(persons, "salt", D(2024, 1, 1))
+    existing = spark.createDataFrame([(3, 1), (5, 2)], "source_key bigint, new_id bigint")
+    vmap = DE.visit_map(visits, pmap, D(2000, 1, 1), D(2030, 1, 1), existing=existing)
+    got = sorted((r["source_key"], r["new_id"]) for r in vmap.collect())
+    assert got == [(3, 1), (5, 2), (7, 3), (9, 4)]

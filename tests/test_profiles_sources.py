@@ -115,3 +115,19 @@ def test_unmapped_review_cohort_only(spark):
     visits = cohort_df(spark, [(1, 1, D(2020, 1, 1), D(2020, 1, 22))])
     assert PR.unmapped_review(drug, visits, 20).first()["unmapped_drug_count"] == 30
     assert PR.unmapped_review(drug, visits, 20, cohort_only=True).first()["unmapped_drug_count"] == 22
+
+
+def test_device_profile_join_on_name(spark):
+    # descendant 1 sits under two registry concepts with different names (Q26)
+    closure = expand_concepts(
+        concept_set_df(spark, [(100, "A", "Device", True), (200, "B", "Device", True)]),
+        ancestor_df(spark, [(100, 100, 0), (100, 1, 1), (200, 200, 0), (200, 1, 1)]), "Device")
+    person = table(spark, "person", [{"person_id": p, "gender_concept_id": 1} for p in range(4)])
+    dev = table(spark, "device_exposure", [
+        {"device_exposure_id": i, "person_id": i % 2, "device_concept_id": 1, "device_exposure_start_date": D(2020, 1, 1)}
+        for i in range(5)
+    ])
+    ref = [r for r in PR.device_profile(dev, closure, person).collect() if r["concept_id"] == 1]
+    by_name = [r for r in PR.device_profile(dev, closure, person, join_on_name=True).collect() if r["concept_id"] == 1]
+    assert len(ref) == 4 and len(by_name) == 2
+    assert {r["person_count"] for r in by_name} == {2} and {r["max_entries_per_person"] for r in by_name} == {3}
