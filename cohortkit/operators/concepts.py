@@ -86,3 +86,17 @@ def descendants(roots: Sequence[int], concept: DataFrame, concept_ancestor: Data
     if valid_only:
         c = c.where(F.col("invalid_reason").isNull())
     return ca.join(c.select("concept_id"), "concept_id", "inner").distinct()
+
+
+def closure_slice(concept_ancestor: DataFrame, observed: DataFrame, on: str = "descendant_concept_id") -> DataFrame:
+    """Rows of the closure whose ``on`` column is one of the ``observed`` concept ids (a one-column
+    DataFrame). The vocabulary's closure is large; the part a cohort touches is small, so it is cut
+    with a broadcast semi join first and can then itself be broadcast against the facts."""
+    ids = observed.select(observed.columns[0]).distinct().withColumnRenamed(observed.columns[0], on)
+    return concept_ancestor.join(broadcast_checked(ids), on, "left_semi")
+
+
+def concept_slice(concept: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``concept`` for the given ids (a one-column DataFrame), cut the same way."""
+    keys = ids.select(ids.columns[0]).distinct().withColumnRenamed(ids.columns[0], "concept_id")
+    return concept.join(broadcast_checked(keys), "concept_id", "left_semi")

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortkit.operators.concepts import closure_slice
 from cohortkit.plans.broadcast import broadcast_checked
 
 
@@ -37,10 +38,10 @@ def _rollup(pairs: DataFrame, concept_ancestor: DataFrame) -> DataFrame:
     """(original_concept_id, persons, ancestor_concept_id, min_levels_of_separation); ancestor null
     when the concept has no closure row (left join, as the reference)."""
     per_concept = pairs.groupBy("original_concept_id").agg(F.count(F.lit(1)).alias("persons"))
-    ca = concept_ancestor.select(
+    ca = closure_slice(concept_ancestor, per_concept.select("original_concept_id")).select(
         F.col("descendant_concept_id").alias("original_concept_id"), "ancestor_concept_id", "min_levels_of_separation"
     )
-    return per_concept.join(ca, "original_concept_id", "left")
+    return per_concept.join(broadcast_checked(ca), "original_concept_id", "left")
 
 
 def ancestor_counts(pairs: DataFrame, concept_ancestor: DataFrame, concept: DataFrame, count: str = "pairs") -> DataFrame:

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.arith import int_div, int_percent
+from cohortkit.operators.concepts import closure_slice
 from cohortkit.operators.intervals import day_coverage
 from cohortkit.plans.broadcast import broadcast_checked
 
@@ -39,11 +40,14 @@ def prevalence_observed(cond: DataFrame, concept_ancestor: DataFrame, concept: D
     """Persons per ancestor that is itself an observed concept (descendants included)."""
     pairs = cond.select("person_id", F.col(concept_col).alias("_c")).distinct()
     observed = cond.select(F.col(concept_col).alias("ancestor_concept_id")).distinct()
-    ca = concept_ancestor.select(F.col("descendant_concept_id").alias("_c"), "ancestor_concept_id").join(
-        broadcast_checked(observed), "ancestor_concept_id", "left_semi"
+    ca = (
+        closure_slice(concept_ancestor, observed, on="ancestor_concept_id")
+        .join(broadcast_checked(observed.withColumnRenamed("ancestor_concept_id", "descendant_concept_id")),
+              "descendant_concept_id", "left_semi")
+        .select(F.col("descendant_concept_id").alias("_c"), "ancestor_concept_id")
     )
     per = (
-        pairs.join(ca, "_c").select("ancestor_concept_id", "person_id").distinct()
+        pairs.join(broadcast_checked(ca), "_c").select("ancestor_concept_id", "person_id").distinct()
         .groupBy("ancestor_concept_id").agg(F.count(F.lit(1)).alias("persons_with_condition_or_descendant"))
     )
     names = concept.select(F.col("concept_id").alias("ancestor_concept_id"), F.col("concept_name").alias("condition_name"))
@@ -193,10 +197,13 @@ def ingredient_map(drug: DataFrame, concept_ancestor: DataFrame, concept: DataFr
     ing = concept.where(F.col("concept_class_id") == "Ingredient").select(
         F.col("concept_id").alias("ingredient_concept_id"), F.col("concept_name").alias("ingredient_name")
     )
-    ca = concept_ancestor.select(F.col("descendant_concept_id").alias("drug_concept_id"), F.col("ancestor_concept_id").alias("ingredient_concept_id"))
+    used = given.select(F.col("concept_id").alias("descendant_concept_id"))
+    ca = closure_slice(concept_ancestor, used).select(
+        F.col("descendant_concept_id").alias("drug_concept_id"), F.col("ancestor_concept_id").alias("ingredient_concept_id")
+    )
     return (
         given.select(F.col("concept_id").alias("drug_concept_id"), F.col("concept_name").alias("drug_concept_name"))
-        .join(ca, "drug_concept_id")
+        .join(broadcast_checked(ca), "drug_concept_id")
         .join(broadcast_checked(ing), "ingredient_concept_id")
         .select("drug_concept_id", "drug_concept_name", "ingredient_concept_id", "ingredient_name")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.arith import round_percent
+from cohortkit.operators.concepts import closure_slice, concept_slice
 from cohortkit.plans.broadcast import broadcast_checked
 
 
@@ -66,8 +67,11 @@ def ancestor_profile(fact: DataFrame, concept_ancestor: DataFrame, concept: Data
     base = fact.groupBy("person_id", F.col(concept_col).alias("_c"), F.col(source_col).alias(source_col)).agg(
         F.count(F.lit(1)).alias("_n")
     )
-    ca = concept_ancestor.select(F.col("descendant_concept_id").alias("_c"), F.col("ancestor_concept_id").alias("_a"))
-    names = concept.select("concept_id", "concept_name")
+    used = base.select(F.col("_c").alias("descendant_concept_id"))
+    ca_slice = closure_slice(concept_ancestor, used)
+    ca = broadcast_checked(ca_slice.select(F.col("descendant_concept_id").alias("_c"), F.col("ancestor_concept_id").alias("_a")))
+    wanted = ca_slice.select(F.col("ancestor_concept_id").alias("concept_id")).unionByName(used.withColumnRenamed("descendant_concept_id", "concept_id"))
+    names = broadcast_checked(concept_slice(concept, wanted).select("concept_id", "concept_name"))
     j = (
         base.join(ca, "_c", "left")
         .join(names.select(F.col("concept_id").alias("_a"), F.col("concept_name").alias("_an")), "_a", "left")
