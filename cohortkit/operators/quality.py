@@ -79,7 +79,8 @@ def quality_report(tables: dict[str, DataFrame], start: dt.date, end: dt.date, a
     rows = []
     if "person" in tables:
         p = qc_persons(tables["person"])
-        oldest_ok = F.col("min_birthday") >= F.lit(dt.datetime(as_of.year - max_age - 1, 1, 1))
+        # time-zone-free bound: the birth datetimes are TIMESTAMP_NTZ
+        oldest_ok = F.col("min_birthday") >= F.to_timestamp_ntz(F.lit(f"{as_of.year - max_age - 1:04d}-01-01 00:00:00"))
         rows.append(p.select(F.lit("person").alias("table_name"), F.lit("persons").alias("check"),
                              F.col("num_people").cast("string").alias("value"), (F.col("num_people") > 0).alias("passed")))
         rows.append(p.select(F.lit("person").alias("table_name"), F.lit(f"min_birth_within_{max_age}_years").alias("check"),
