@@ -220,3 +220,26 @@ def test_cohort_options_distinct_and_death_fallback(spark):
     assert len(bag) == 2 and all(r["death_date"] is None for r in bag)          # Q1 bag, Q3 datetime only
     one = C.build_cohort(cond, visits, person, death, concept, ca, p, distinct=True, coalesce_death=True).collect()
     assert len(one) == 1 and one[0]["death_date"] == D(2020, 4, 1) and one[0]["birth_date"] == D(1950, 5, 1)
+
+
+def test_binned_band_join_pairs_match_brute_force(spark):
+    from cohortkit.operators.intervals import binned_band_join
+
+    rnd = random.Random(5)
+    base = D(2019, 1, 1)
+    day = lambda n: base + dt.timedelta(days=n)
+    ivs = [(p, day(s), day(s + rnd.randint(-5, 400))) for p in range(1, 4) for s in rnd.sample(range(0, 700), 6)]
+    facts = [(i, rnd.randint(1, 3), day(rnd.randint(-30, 1200))) for i in range(400)]
+    idf = spark.createDataFrame(ivs, "person_id bigint, lo date, hi date")
+    fdf = spark.createDataFrame(facts, "fid bigint, person_id bigint, d date")
+    for width in (7, 32, 365):
+        pairs = binned_band_join(fdf, idf, "person_id", "d", F.col("lo"), F.col("hi"), how="inner", width=width)
+        got = count_by(pairs, "fid")
+        want = {}
+        for i, p, d in facts:
+            k = sum(1 for q, lo, hi in ivs if q == p and lo <= hi and lo <= d <= hi)
+            if k:
+                want[i] = k
+        assert got == want, width
+        semi = binned_band_join(fdf, idf, "person_id", "d", F.col("lo"), F.col("hi"), how="left_semi", width=width)
+        assert sorted(r[0] for r in semi.select("fid").collect()) == sorted(want)
