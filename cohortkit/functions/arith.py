@@ -24,3 +24,13 @@ def round_percent(part: Column, total: Column, digits: int = 2) -> Column:
 def int_mean(total: Column, n: Column) -> Column:
     """AVG over integers truncates in T-SQL."""
     return int_div(total, n)
+
+
+def percent(part: Column, total: Column, integer: bool = True) -> Column:
+    """Percent as the reference computes it (truncating integers, Q23) or as a real number."""
+    return int_percent(part, total) if integer else F.lit(100.0) * part.cast("double") / total.cast("double")
+
+
+def mean(total: Column, n: Column, integer: bool = True) -> Column:
+    """Mean as the reference computes it (truncating integer AVG, Q23) or as a real number."""
+    return int_mean(total, n) if integer else total.cast("double") / n.cast("double")

@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortkit.functions.arith import int_div, int_percent
+from cohortkit.functions.arith import int_div, mean, percent
 from cohortkit.operators.concepts import closure_slice
 from cohortkit.operators.intervals import day_coverage
 from cohortkit.plans.broadcast import broadcast_checked
@@ -36,7 +36,7 @@ def _n_persons(person: DataFrame) -> Column:
 
 # ------------------------------------------------------------------ conditions
 def prevalence_observed(cond: DataFrame, concept_ancestor: DataFrame, concept: DataFrame, person: DataFrame,
-                        concept_col: str = "condition_concept_id") -> DataFrame:
+                        concept_col: str = "condition_concept_id", integer: bool = True) -> DataFrame:
     """Persons per ancestor that is itself an observed concept (descendants included)."""
     pairs = cond.select("person_id", F.col(concept_col).alias("_c")).distinct()
     observed = cond.select(F.col(concept_col).alias("ancestor_concept_id")).distinct()
@@ -53,11 +53,12 @@ def prevalence_observed(cond: DataFrame, concept_ancestor: DataFrame, concept: D
     names = concept.select(F.col("concept_id").alias("ancestor_concept_id"), F.col("concept_name").alias("condition_name"))
     return per.join(names, "ancestor_concept_id", "left").select(
         "condition_name", "ancestor_concept_id", "persons_with_condition_or_descendant",
-        int_percent(F.col("persons_with_condition_or_descendant"), _n_persons(person)).alias("percent_persons_with_condition"),
+        percent(F.col("persons_with_condition_or_descendant"), _n_persons(person), integer).alias("percent_persons_with_condition"),
     )
 
 
-def prevalence_registry(cond: DataFrame, closure: DataFrame, person: DataFrame, concept_col: str = "condition_concept_id") -> DataFrame:
+def prevalence_registry(cond: DataFrame, closure: DataFrame, person: DataFrame, concept_col: str = "condition_concept_id",
+                        integer: bool = True) -> DataFrame:
     """Persons per registry parent; ``closure`` is ``expand_concepts(.., 'Condition')``."""
     pairs = cond.select("person_id", F.col(concept_col).alias("concept_id")).distinct()
     per = (
@@ -67,7 +68,7 @@ def prevalence_registry(cond: DataFrame, closure: DataFrame, person: DataFrame,
     )
     return per.select(
         F.col("concept_name").alias("condition_name"), "ancestor_concept_id", "persons_with_condition",
-        int_percent(F.col("persons_with_condition"), _n_persons(person)).alias("percent_persons_with_condition"),
+        percent(F.col("persons_with_condition"), _n_persons(person), integer).alias("percent_persons_with_condition"),
     )
 
 
@@ -218,7 +219,7 @@ def exposure_by_ingredient(drug: DataFrame, imap: DataFrame) -> DataFrame:
     )
 
 
-def ingredient_use(exposure: DataFrame) -> DataFrame:
+def ingredient_use(exposure: DataFrame, integer: bool = True) -> DataFrame:
     """Persons per ingredient and their integer percent of persons with any exposure."""
     total = exposure.agg(F.countDistinct("person_id")).scalar()
     per = (
@@ -226,25 +227,25 @@ def ingredient_use(exposure: DataFrame) -> DataFrame:
         .groupBy("ingredient_concept_id", "ingredient_name").agg(F.count("person_id").alias("person_count"))
     )
     return per.select("ingredient_name", "ingredient_concept_id", "person_count",
-                      int_percent(F.col("person_count"), total).alias("person_perc"))
+                      percent(F.col("person_count"), total, integer).alias("person_perc"))
 
 
-def ingredient_intensity(exposure: DataFrame) -> DataFrame:
+def ingredient_intensity(exposure: DataFrame, integer: bool = True) -> DataFrame:
     """Integer mean and max administrations per person, per ingredient."""
     per_person = exposure.groupBy("person_id", "ingredient_concept_id", "ingredient_name").agg(
         F.count("ingredient_concept_id").alias("n")
     )
     return per_person.groupBy("ingredient_concept_id", "ingredient_name").agg(
-        int_div(F.sum("n"), F.count("n")).alias("average_admin_per_person"),
+        mean(F.sum("n"), F.count("n"), integer).alias("average_admin_per_person"),
         F.max("n").alias("max_admin_per_person"),
     )
 
 
-def ingredient_profile(drug: DataFrame, concept_ancestor: DataFrame, concept: DataFrame) -> DataFrame:
+def ingredient_profile(drug: DataFrame, concept_ancestor: DataFrame, concept: DataFrame, integer: bool = True) -> DataFrame:
     """Ingredient summary; joined on the id only, so the null ingredient gets null mean/max."""
     exp = exposure_by_ingredient(drug, ingredient_map(drug, concept_ancestor, concept))
-    use = ingredient_use(exp)
-    inten = ingredient_intensity(exp).select(
+    use = ingredient_use(exp, integer)
+    inten = ingredient_intensity(exp, integer).select(
         F.col("ingredient_concept_id").alias("_ic"), "average_admin_per_person", "max_admin_per_person"
     )
     return use.join(inten, F.col("ingredient_concept_id") == F.col("_ic"), "left").select(
@@ -271,7 +272,7 @@ def unmapped_review(raw_drug: DataFrame, visits: DataFrame, min_count: int = 20,
 
 
 # ------------------------------------------------------------------ devices
-def device_use(device: DataFrame, closure: DataFrame, person: DataFrame) -> DataFrame:
+def device_use(device: DataFrame, closure: DataFrame, person: DataFrame, integer: bool = True) -> DataFrame:
     """Persons per device concept (descendant grain), zero users kept (left join)."""
     pairs = device.select(F.col("device_concept_id").alias("concept_id"), "person_id").distinct()
     dci = closure.select("concept_id", "concept_name")
@@ -279,24 +280,25 @@ def device_use(device: DataFrame, closure: DataFrame, person: DataFrame) -> Data
     j = dci.join(users, "concept_id", "left")
     n = F.coalesce(F.col("_u"), F.lit(0)).cast("long")
     return j.groupBy("concept_id", "concept_name").agg(F.max(n).alias("person_count")).select(
-        "concept_name", "concept_id", "person_count", int_percent(F.col("person_count"), _n_persons(person)).alias("person_perc")
+        "concept_name", "concept_id", "person_count", percent(F.col("person_count"), _n_persons(person), integer).alias("person_perc")
     )
 
 
-def device_intensity(device: DataFrame, closure: DataFrame, person: DataFrame) -> DataFrame:
+def device_intensity(device: DataFrame, closure: DataFrame, person: DataFrame, integer: bool = True) -> DataFrame:
     """Integer mean and max records per user (non-zero grid cells only)."""
     sc = sparse_counts(device, closure, person, "device_concept_id", grain="descendant")
     return sc.groupBy("concept_id", "concept_name").agg(
-        int_div(F.sum("concept_count"), F.count("concept_count")).alias("average_entries_per_person"),
+        mean(F.sum("concept_count"), F.count("concept_count"), integer).alias("average_entries_per_person"),
         F.max("concept_count").alias("max_entries_per_person"),
     )
 
 
-def device_profile(device: DataFrame, closure: DataFrame, person: DataFrame, join_on_name: bool = False) -> DataFrame:
+def device_profile(device: DataFrame, closure: DataFrame, person: DataFrame, join_on_name: bool = False,
+                   integer: bool = True) -> DataFrame:
     """Device summary, joined on the concept id only (Q26: a device under two registry names
     multiplies); ``join_on_name=True`` joins on (id, name)."""
-    use = device_use(device, closure, person)
-    inten = device_intensity(device, closure, person).select(
+    use = device_use(device, closure, person, integer)
+    inten = device_intensity(device, closure, person, integer).select(
         F.col("concept_id").alias("_ci"), F.col("concept_name").alias("_cn"), "average_entries_per_person", "max_entries_per_person"
     )
     cond = F.col("concept_id") == F.col("_ci")

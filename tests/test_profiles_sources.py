@@ -131,3 +131,16 @@ def test_device_profile_join_on_name(spark):
     by_name = [r for r in PR.device_profile(dev, closure, person, join_on_name=True).collect() if r["concept_id"] == 1]
     assert len(ref) == 4 and len(by_name) == 2
     assert {r["person_count"] for r in by_name} == {2} and {r["max_entries_per_person"] for r in by_name} == {3}
+
+
+def test_real_valued_percent_option(spark):
+    closure = expand_concepts(concept_set_df(spark, [(100, "A", "Device", True)]), ancestor_df(spark, [(100, 100, 0)]), "Device")
+    person = table(spark, "person", [{"person_id": p, "gender_concept_id": 1} for p in range(3)])
+    dev = table(spark, "device_exposure", [
+        {"device_exposure_id": i, "person_id": i % 2, "device_concept_id": 100, "device_exposure_start_date": D(2020, 1, 1)}
+        for i in range(3)
+    ])
+    ref = PR.device_profile(dev, closure, person).first()
+    real = PR.device_profile(dev, closure, person, integer=False).first()
+    assert (ref["person_perc"], ref["average_entries_per_person"]) == (66, 1)
+    assert round(real["person_perc"], 4) == 66.6667 and real["average_entries_per_person"] == 1.5
