@@ -10,7 +10,6 @@ from __future__ import annotations
 from cohortkit.functions.keyed import sql_keyed_uint
 from cohortkit.oracle.views import with_views
 from cohortkit.params import FIXTURE_PARAMS, Params
-from cohortkit.schemas import column_names
 from cohortkit.sources.omop import SOURCE_COLUMNS
 
 
