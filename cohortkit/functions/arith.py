@@ -16,9 +16,18 @@ def int_percent(part: Column, total: Column) -> Column:
     return int_div(F.lit(100) * part.cast("long"), total)
 
 
+def round_ratio(num: Column, den: Column, digits: int = 2, scale: int = 1) -> Column:
+    """``ROUND(num * scale / den, digits)`` of non-negative counts, rounded half-up on the exact
+    ratio (as a SQL numeric would be) with integer arithmetic, so no engine's binary rounding of a
+    half-way double (41 / 40 = 1.025) can move the result."""
+    m = 10 ** int(digits)
+    q = (F.lit(2 * scale * m) * num.cast("long") + den.cast("long")) / (F.lit(2) * den.cast("long"))
+    return F.when(den != 0, F.floor(q).cast("long") / F.lit(float(m)))
+
+
 def round_percent(part: Column, total: Column, digits: int = 2) -> Column:
-    """``ROUND(part / total * 100, 2)`` in doubles (Q27)."""
-    return F.round(part.cast("double") / total.cast("double") * 100.0, digits)
+    """``ROUND(part / total * 100, 2)`` as a real ratio (Q27), exact half-up."""
+    return round_ratio(part, total, digits, scale=100)
 
 
 def int_mean(total: Column, n: Column) -> Column:

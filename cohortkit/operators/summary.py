@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.functions.arith import round_percent
+from cohortkit.functions.arith import round_percent, round_ratio
 from cohortkit.operators.concepts import closure_slice, concept_slice
 from cohortkit.plans.broadcast import broadcast_checked
 
@@ -42,7 +42,7 @@ def _per_person_stats(df: DataFrame, keys: list[str], mean_name: str) -> DataFra
     per = df.groupBy(*keys, "person_id").agg(F.count(F.lit(1)).alias("_n"))
     return per.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("unique_person_count"),
-        F.round(F.sum("_n") / F.count(F.lit(1)), 2).alias(mean_name),
+        round_ratio(F.sum("_n"), F.count(F.lit(1))).alias(mean_name),
     )
 
 
@@ -84,7 +84,7 @@ def ancestor_profile(fact: DataFrame, concept_ancestor: DataFrame, concept: Data
     )
     per = keyed.groupBy("concept_id", "concept_name", source_col, "person_id").agg(F.sum("_n").alias("_n"))
     agg = per.groupBy("concept_id", "concept_name", source_col).agg(
-        F.count(F.lit(1)).alias("unique_person_count"), F.round(F.sum("_n") / F.count(F.lit(1)), 2).alias(mean_name)
+        F.count(F.lit(1)).alias("unique_person_count"), round_ratio(F.sum("_n"), F.count(F.lit(1))).alias(mean_name)
     )
     return agg.select(
         "concept_id", "concept_name", source_col, "unique_person_count",
