@@ -140,11 +140,15 @@ def age_summary(age: DataFrame) -> DataFrame:
 def share(demo: DataFrame, concept: DataFrame, concept_col: str, label: str) -> DataFrame:
     """Persons per concept name and their percent; inner join to the vocabulary, so
     unmapped ids leave the denominator (Q30). The total is over the few result rows."""
+    counts, total = _share_counts(demo, concept, concept_col, label)
+    return counts.select(label, "count", (F.lit(100.0) * F.col("count") / total).alias("percent"))
+
+
+def _share_counts(demo: DataFrame, concept: DataFrame, concept_col: str, label: str) -> tuple[DataFrame, Column]:
     c = concept.select(F.col("concept_id").alias(concept_col), F.col("concept_name").alias(label))
     joined = demo.join(c, concept_col)
     counts = joined.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    total = joined.agg(F.count(F.lit(1))).scalar()
-    return counts.select(label, "count", (F.lit(100.0) * F.col("count") / total).alias("percent"))
+    return counts, joined.agg(F.count(F.lit(1))).scalar()
 
 
 def death_summary(info: DataFrame) -> DataFrame:
@@ -188,14 +192,20 @@ def summary_report(visits: DataFrame, person: DataFrame, death: DataFrame, conce
     def row(df: DataFrame, section: str, **cols: Column) -> DataFrame:
         return df.select(*[(cols.get(c, null) if c != "section" else F.lit(section)).alias(c) for c in REPORT_COLUMNS])
 
-    a = age_summary(age)
+    # ratios of counts (mean age, shares) are rounded half-up on their exact value before the text is
+    # written, so the report cannot depend on how an engine rounds a half-way double
+    a = age_summary(age).select(
+        "*", age.agg(round_ratio(F.sum("age_at_first_visit"), F.count("age_at_first_visit"), 4)).scalar().alias("_mean4")
+    )
+    race, race_total = _share_counts(demo, concept, "race_concept_id", "race")
+    eth, eth_total = _share_counts(demo, concept, "ethnicity_concept_id", "ethnicity")
     parts = [
-        row(a, "Age Summary", mean=_real(F.col("mean_age")), median=_real(F.col("median_age")),
+        row(a, "Age Summary", mean=_real(F.col("_mean4")), median=_real(F.col("median_age")),
             min=_int(F.col("min_age")), max=_int(F.col("max_age")), standard_deviation=_real(F.col("age_sd"))),
-        row(share(demo, concept, "race_concept_id", "race"), "Race Summary", category=F.col("race"),
-            count=_int(F.col("count")), percent=_real(F.col("percent"))),
-        row(share(demo, concept, "ethnicity_concept_id", "ethnicity"), "Ethnicity Summary", category=F.col("ethnicity"),
-            count=_int(F.col("count")), percent=_real(F.col("percent"))),
+        row(race, "Race Summary", category=F.col("race"), count=_int(F.col("count")),
+            percent=_real(round_ratio(F.col("count"), race_total, 4, 100))),
+        row(eth, "Ethnicity Summary", category=F.col("ethnicity"), count=_int(F.col("count")),
+            percent=_real(round_ratio(F.col("count"), eth_total, 4, 100))),
     ]
     d = death_summary(info)
     for cat, col in (("Total Deaths", "total_deaths"), ("Causes of Death", "causes_of_death"),

@@ -608,11 +608,17 @@ def summary_queries(ctes) -> dict[str, str]:
     q["summary_deaths"] = with_views("SELECT * FROM o_death_sum", *ctes)
     q["summary_stay"] = with_views("SELECT * FROM o_los_sum", *ctes)
     q["summary_report"] = with_views(f"""
-        SELECT 'Age Summary' AS section, {n} AS category, {r('mean_age')} AS mean, {r('median_age')} AS median,
+        SELECT 'Age Summary' AS section, {n} AS category,
+               (SELECT {r('((20000 * SUM(age_at_first_visit) + COUNT(age_at_first_visit)) // (2 * COUNT(age_at_first_visit))) / 10000.0')}
+                FROM o_age) AS mean, {r('median_age')} AS median,
                {i('min_age')} AS min, {i('max_age')} AS max, {r('age_sd')} AS standard_deviation, {n} AS count, {n} AS percent
         FROM o_age_sum
-        UNION ALL SELECT 'Race Summary', race, {n}, {n}, {n}, {n}, {n}, {i('count')}, {r('percent')} FROM o_race
-        UNION ALL SELECT 'Ethnicity Summary', ethnicity, {n}, {n}, {n}, {n}, {n}, {i('count')}, {r('percent')} FROM o_eth
+        UNION ALL SELECT 'Race Summary', race, {n}, {n}, {n}, {n}, {n}, {i('count')},
+               {r('((2000000 * count + (SELECT SUM(count) FROM o_race)) // (2 * (SELECT SUM(count) FROM o_race))) / 10000.0')}
+        FROM o_race
+        UNION ALL SELECT 'Ethnicity Summary', ethnicity, {n}, {n}, {n}, {n}, {n}, {i('count')},
+               {r('((2000000 * count + (SELECT SUM(count) FROM o_eth)) // (2 * (SELECT SUM(count) FROM o_eth))) / 10000.0')}
+        FROM o_eth
         UNION ALL SELECT 'Death Summary', 'Total Deaths', {n}, {n}, {n}, {n}, {n}, {i('total_deaths')}, {n} FROM o_death_sum
         UNION ALL SELECT 'Death Summary', 'Causes of Death', {n}, {n}, {n}, {n}, {n}, {i('causes_of_death')}, {n} FROM o_death_sum
         UNION ALL SELECT 'Death Summary', 'Cause Source Values', {n}, {n}, {n}, {n}, {n}, {i('causes_source_value')}, {n} FROM o_death_sum
