@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from cohortkit.llm import chat, warc
+from cohortkit.llm import chat, minhash, warc
 
 QUERIES = {
+    "op5_minhash_near_duplicates": minhash.op5_minhash_near_duplicates,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_content_addressed_warc": warc.op8_content_addressed_warc,
 }

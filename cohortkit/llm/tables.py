@@ -46,7 +46,7 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, cols: list[str], ro
     light = right.where(F.col(rows) < least).select(F.col(key).alias("_lk"), F.struct(*cols).alias("_light"), F.lit(0).alias("_ls"))
     spread = F.when(F.col("_heavy").isNotNull() | F.col(key).isNull(), 1 + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))).otherwise(0)
     out = left.join(F.broadcast(heavy), F.col(key) == F.col("_hk"), "left").withColumn("_s", spread.cast("int"))
-    k = F.coalesce(F.col(key), F.lit(0).cast(left.schema[key].dataType))
+    k = F.coalesce(F.col(key), F.lit("0").cast(left.schema[key].dataType))
     out = out.withColumn("_k", k).join(light, (F.col("_k") == F.col("_lk")) & (F.col("_s") == F.col("_ls")), "left")
     both = F.coalesce("_heavy", "_light")
     return out.select(*[F.col(c) for c in left.columns], *[both[c].alias(c) for c in cols])
