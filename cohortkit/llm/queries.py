@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from cohortkit.llm import chat, minhash, warc
+from cohortkit.llm import chat, minhash, quality_lines, warc
 
 QUERIES = {
+    "op1_line_frequency": quality_lines.op1_line_frequency,
     "op5_minhash_near_duplicates": minhash.op5_minhash_near_duplicates,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_content_addressed_warc": warc.op8_content_addressed_warc,
 }
 
 ORACLE_SQL = {
+    "op1_line_frequency": quality_lines.ORACLE,
     "op7_chat_formatting": chat.ORACLE,
     "op8_content_addressed_warc": warc.ORACLE,
 }

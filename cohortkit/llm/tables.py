@@ -40,12 +40,16 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, cols: list[str], ro
 
     ``rows`` is a column of ``right`` with the number of left rows of the key, ``total`` their sum.
     The heavy keys (at most 1 / HEAVY_SHARE of them) are broadcast; their left rows and those
-    without a key get a random-like second key part, so the shuffle join stays even."""
+    without a key get a random-like second key part, so the shuffle join stays even. With heavy keys
+    alone there is nothing to shuffle."""
     least = max(2, int(total * HEAVY_SHARE))
     heavy = right.where(F.col(rows) >= least).select(F.col(key).alias("_hk"), F.struct(*cols).alias("_heavy"))
     light = right.where(F.col(rows) < least).select(F.col(key).alias("_lk"), F.struct(*cols).alias("_light"), F.lit(0).alias("_ls"))
     spread = F.when(F.col("_heavy").isNotNull() | F.col(key).isNull(), 1 + F.pmod(F.monotonically_increasing_id(), F.lit(1 << 20))).otherwise(0)
-    out = left.join(F.broadcast(heavy), F.col(key) == F.col("_hk"), "left").withColumn("_s", spread.cast("int"))
+    out = left.join(F.broadcast(heavy), F.col(key) == F.col("_hk"), "left")
+    if light.isEmpty():
+        return out.select(*[F.col(c) for c in left.columns], *[F.col("_heavy")[c].alias(c) for c in cols])
+    out = out.withColumn("_s", spread.cast("int"))
     k = F.coalesce(F.col(key), F.lit("0").cast(left.schema[key].dataType))
     out = out.withColumn("_k", k).join(light, (F.col("_k") == F.col("_lk")) & (F.col("_s") == F.col("_ls")), "left")
     both = F.coalesce("_heavy", "_light")
