@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from cohortkit.llm import chat, minhash, quality_lines, warc
+from cohortkit.llm import chat, minhash, one_bit_ann, packing, quality_lines, separator_scan, warc
 
 QUERIES = {
     "op1_line_frequency": quality_lines.op1_line_frequency,
+    "op2_separator_scan": separator_scan.op2_separator_scan,
     "op5_minhash_near_duplicates": minhash.op5_minhash_near_duplicates,
+    "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_content_addressed_warc": warc.op8_content_addressed_warc,
+    "op9_rotated_one_bit": one_bit_ann.op9_rotated_one_bit,
 }
 
 ORACLE_SQL = {
     "op1_line_frequency": quality_lines.ORACLE,
     "op7_chat_formatting": chat.ORACLE,
     "op8_content_addressed_warc": warc.ORACLE,
+    "op9_rotated_one_bit": one_bit_ann.ORACLE,
 }
