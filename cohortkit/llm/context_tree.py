@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cohortkit.llm.tables import Stages
 from cohortkit.llm.textops import Texts, text_chunks
 
-DEPTH = 4
+DEPTH = 5
 BLOCK_BYTES = 32 << 20
 SHARD_GRAMS = 250_000
 END = 0xFF  # not a UTF-8 byte: stands before every text (context) and after it (symbol)

@@ -8,10 +8,9 @@ links are found by alternating large-star and small-star.
 With 32 bands of 4 minima a pair at the threshold 0.75 shares no band with probability
 (1 - 0.75^4)^32 = 5e-6, and its signatures agree in fewer than 64 of 128 places with less than 1e-9.
 
-No group is expanded into its pairs. Equal shingle sets are collapsed first. Then every member of a
-bucket is paired with the bucket's hub, in rounds with other hubs, so that large groups become one
-component after a linear number of comparisons. What remains - members of one bucket still in
-different components - is compared exhaustively, so no link between components is lost.
+Equal shingle sets are collapsed first, and no bucket is expanded into its pairs (see
+``tables.linked_components``): members are compared with hubs, and exhaustively only where one bucket
+still holds several components.
 """
 
 from __future__ import annotations
@@ -24,14 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.tables import Stages, connected_components, join_unique
+from cohortkit.llm.tables import Stages, join_unique, linked_components
 from cohortkit.llm.textops import shingles, text_chunks
 
 SHINGLE_WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
 AGREE = (BANDS * ROWS) // 2  # equal minima that a candidate needs to be confirmed on full sets
-HUB_ROUNDS = 6  # at most so many rounds with hubs; what they leave is compared exhaustively
 
 
 def _minima(sets: list[np.ndarray]) -> np.ndarray:
@@ -153,45 +151,18 @@ def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
 
     # bands that at least two classes share
     band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.expr("signature").substr(i * (4 * ROWS) + 1, F.lit(4 * ROWS))))
-    members = classes.select("node", F.explode(band).alias("band"))
-    wide = members.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
-    members = stages.put("members", members.join(wide.select("band"), "band", "left_semi"))
+    members = classes.select("node", F.explode(band).alias("bucket"))
+    wide = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    members = stages.put("members", members.join(wide.select("bucket"), "bucket", "left_semi"))
     nodes = stages.put("nodes", classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "signature"))
     sets = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     sets = stages.put("sets", sets.mapInArrow(_full_sets, "node bigint, shingles binary").dropDuplicates(["node"]))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         likely = stages.put("likely", _paired(pairs, nodes, "signature", _agree))
-        return stages.put("links", _paired(likely, sets, "shingles", _confirm))
-
-    links, tried, components = shared, None, None
-    rest = members.withColumn("component", F.col("node"))
-    for turn in range(HUB_ROUNDS):
-        total = rest.count()
-        if not total:
-            break
-        rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("r"), "node", "component")
-        hubs = rest.groupBy("band").agg(F.min(rank).alias("hub"), F.count("*").alias("n"))
-        at_hub = join_unique(rest, hubs, "band", ["hub"], "n", total)
-        pairs = at_hub.where("component <> hub.component").select(
-            F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v")).distinct()
-        pairs = stages.put("pairs", pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = confirmed(pairs)
-        if turn and new.isEmpty():
-            break
-        links = links.unionByName(new)
-        components = connected_components(stages, links)
-        rest = _open(stages, members, components)
-    if not rest.isEmpty():
-        x = rest.select("band", F.col("node").alias("a"), F.col("component").alias("x"))
-        y = rest.select("band", F.col("node").alias("b"), F.col("component").alias("y"))
-        pairs = x.join(y, "band").where("x < y").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-        new = confirmed(stages.put("pairs", pairs.join(tried, ["u", "v"], "left_anti")))
-        if not new.isEmpty():
-            components = connected_components(stages, links.unionByName(new))
-    if components is None:
-        components = connected_components(stages, links)
+        return _paired(likely, sets, "shingles", _confirm)
+
+    components = linked_components(stages, members, confirmed, shared)
 
     sizes = light.groupBy("node").agg(F.count("*").alias("n"))
     named = sizes.join(components.select("node", "component"), "node", "left").select(
@@ -202,15 +173,6 @@ def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
-def _open(stages: Stages, members: DataFrame, components: DataFrame) -> DataFrame:
-    """Members, with their component, of the buckets that still hold more than one component."""
-    counted = members.groupBy("node").agg(F.count("*").alias("n")).join(components, "node", "left")
-    named = members.join(counted.select("node", F.coalesce("component", "node").alias("component")), "node")
-    named = stages.put("named", named.select("band", "node", "component"))
-    mixed = named.groupBy("band").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
-    return stages.put("open", named.join(mixed.select("band"), "band", "left_semi"))
-
-
 def keep_one_of_each(stages: Stages, documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that :func:`near_duplicates` keeps, one per doc_id, all columns."""
     found = near_duplicates(stages, documents)

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from cohortkit.llm import chat, context_tree, minhash, one_bit_ann, packing, quality_lines, separator_scan, warc
+from cohortkit.llm import chat, context_tree, fuzzy_lines, minhash, one_bit_ann, packing, quality_lines, segment, separator_scan, warc
 
 QUERIES = {
     "op1_line_frequency": quality_lines.op1_line_frequency,
     "op2_separator_scan": separator_scan.op2_separator_scan,
+    "op3_fuzzy_lines": fuzzy_lines.op3_fuzzy_lines,
     "op4_context_tree": context_tree.op4_context_tree,
     "op5_minhash_near_duplicates": minhash.op5_minhash_near_duplicates,
     "op6_best_fit_packing": packing.op6_best_fit_packing,
     "op7_chat_formatting": chat.op7_chat_formatting,
     "op8_content_addressed_warc": warc.op8_content_addressed_warc,
     "op9_rotated_one_bit": one_bit_ann.op9_rotated_one_bit,
+    "op10_n_best_segmentation": segment.op10_n_best_segmentation,
 }
 
 ORACLE_SQL = {

@@ -12,6 +12,8 @@ from cohortkit.session import ensure_checkpoint_dir
 # A key holding at least this share of the rows is heavy; there are at most 1 / share such keys,
 # which is the proven bound of every broadcast in this module.
 HEAVY_SHARE = 1 / 1000
+HUB_ROUNDS = 6  # rounds of linear comparisons before the rest of the buckets is compared whole
+BROADCAST_ROWS = 2_000_000  # keys of 8 to 16 bytes; beyond it a join shuffles
 
 
 class Stages:
@@ -83,3 +85,58 @@ def connected_components(stages: Stages, edges: DataFrame) -> DataFrame:
             break
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
+
+
+def semi_join(left: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows of ``left`` whose ``key`` is in the written table ``keys``: broadcast if its counted rows
+    stay within BROADCAST_ROWS, else a shuffle join."""
+    small = keys.count() <= BROADCAST_ROWS
+    return left.join(F.broadcast(keys) if small else keys, key, "left_semi")
+
+
+def _named(stages: Stages, members: DataFrame, components: DataFrame) -> DataFrame:
+    """Members, with their component, of the buckets that still hold more than one component."""
+    counted = members.groupBy("node").agg(F.count("*").alias("n")).join(components, "node", "left")
+    named = members.join(counted.select("node", F.coalesce("component", "node").alias("component")), "node")
+    named = stages.put("named", named.select("bucket", "node", "component"))
+    mixed = named.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
+    return stages.put("open", named.join(mixed.select("bucket"), "bucket", "left_semi"))
+
+
+def linked_components(stages: Stages, members: DataFrame, confirm, links: DataFrame | None = None) -> DataFrame:
+    """(node, component) over the links that ``confirm`` finds among members of a common bucket.
+
+    ``members`` (bucket, node) is a written table; ``confirm`` maps pairs (u > v) to those that are
+    links; ``links`` are known ones. No bucket is expanded into its pairs: each round compares every
+    member with one hub of its bucket (by another hash order each time) and drops buckets that have
+    become one component. Members of a bucket that are still in different components after the
+    rounds are compared exhaustively, so the components are those of all links."""
+    if links is None:
+        links = stages.spark.createDataFrame([], "u bigint, v bigint")
+    tried, components = None, None
+    rest = members.withColumn("component", F.col("node"))
+    for turn in range(HUB_ROUNDS):
+        total = rest.count()
+        if not total:
+            break
+        rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("r"), "node", "component")
+        hubs = rest.groupBy("bucket").agg(F.min(rank).alias("hub"), F.count("*").alias("n"))
+        at_hub = join_unique(rest, hubs, "bucket", ["hub"], "n", total)
+        pairs = at_hub.where("component <> hub.component").select(
+            F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v")).distinct()
+        pairs = stages.put("pairs", pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        new = stages.put("links", confirm(pairs))
+        if turn and new.isEmpty():
+            break
+        links = links.unionByName(new)
+        components = connected_components(stages, links)
+        rest = _named(stages, members, components)
+    if not rest.isEmpty():
+        x = rest.select("bucket", F.col("node").alias("a"), F.col("component").alias("x"))
+        y = rest.select("bucket", F.col("node").alias("b"), F.col("component").alias("y"))
+        pairs = x.join(y, "bucket").where("x < y").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+        new = stages.put("links", confirm(stages.put("pairs", pairs.join(tried, ["u", "v"], "left_anti"))))
+        if not new.isEmpty():
+            components = connected_components(stages, links.unionByName(new))
+    return connected_components(stages, links) if components is None else components
