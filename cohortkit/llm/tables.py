@@ -13,6 +13,7 @@ from cohortkit.session import ensure_checkpoint_dir
 # which is the proven bound of every broadcast in this module.
 HEAVY_SHARE = 1 / 1000
 HUB_ROUNDS = 6  # rounds of linear comparisons before the rest of the buckets is compared whole
+PAIRS_A_MEMBER = 4  # that much left is compared whole at once
 BROADCAST_ROWS = 2_000_000  # keys of 8 to 16 bytes; beyond it a join shuffles
 
 
@@ -66,18 +67,18 @@ def connected_components(stages: Stages, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over the undirected ``edges`` (u, v longs).
 
     Alternating large-star and small-star until the edges no longer change. Every node's smallest
-    neighbour is an aggregate with map-side combine; hubs are joined by :func:`join_unique`."""
+    neighbour is an aggregate with map-side combine; it is joined back by a plain shuffle join, of
+    which adaptive execution splits a hub's partition."""
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = stages.put("edges", e)
     state = _edge_state(e)
     while state[0]:
         sym = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
-        large = join_unique(sym.where("v > u"), least, "u", ["m"], "n", 2 * state[0])
-        large = stages.put("large-star", large.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct())
-        total = large.count()
-        least = stages.put("small-min", large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")))
-        small = join_unique(large, least, "u", ["m"], "n", total).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        least = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        large = sym.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = stages.put("large-star", large)
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v")
         e = stages.put("small-star", small.distinct())
         before, state = state, _edge_state(e)
@@ -94,11 +95,10 @@ def semi_join(left: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     return left.join(F.broadcast(keys) if small else keys, key, "left_semi")
 
 
-def _named(stages: Stages, members: DataFrame, components: DataFrame) -> DataFrame:
+def _open_buckets(stages: Stages, members: DataFrame, components: DataFrame) -> DataFrame:
     """Members, with their component, of the buckets that still hold more than one component."""
-    counted = members.groupBy("node").agg(F.count("*").alias("n")).join(components, "node", "left")
-    named = members.join(counted.select("node", F.coalesce("component", "node").alias("component")), "node")
-    named = stages.put("named", named.select("bucket", "node", "component"))
+    named = members.select("bucket", "node").join(components, "node", "left")
+    named = stages.put("named", named.select("bucket", "node", F.coalesce("component", "node").alias("component")))
     mixed = named.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b")
     return stages.put("open", named.join(mixed.select("bucket"), "bucket", "left_semi"))
 
@@ -107,21 +107,22 @@ def linked_components(stages: Stages, members: DataFrame, confirm, links: DataFr
     """(node, component) over the links that ``confirm`` finds among members of a common bucket.
 
     ``members`` (bucket, node) is a written table; ``confirm`` maps pairs (u > v) to those that are
-    links; ``links`` are known ones. No bucket is expanded into its pairs: each round compares every
-    member with one hub of its bucket (by another hash order each time) and drops buckets that have
-    become one component. Members of a bucket that are still in different components after the
-    rounds are compared exhaustively, so the components are those of all links."""
+    links; ``links`` are known ones. Large buckets are not expanded into their pairs: a round compares
+    every member with one hub of its bucket (by another hash order each time) and drops buckets that
+    have become one component, until what is left is no more than PAIRS_A_MEMBER pairs a member or
+    HUB_ROUNDS rounds are over. Then members of a bucket that are still in different components are
+    compared exhaustively, so the components are those of all links."""
     if links is None:
         links = stages.spark.createDataFrame([], "u bigint, v bigint")
     tried, components = None, None
     rest = members.withColumn("component", F.col("node"))
     for turn in range(HUB_ROUNDS):
-        total = rest.count()
-        if not total:
+        left = rest.groupBy("bucket").agg(F.count("*").alias("n")).agg(F.sum("n"), F.sum(F.expr("CAST(n AS DOUBLE) * n / 2"))).first()
+        if not left[0] or left[1] <= PAIRS_A_MEMBER * left[0]:
             break
         rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("r"), "node", "component")
         hubs = rest.groupBy("bucket").agg(F.min(rank).alias("hub"), F.count("*").alias("n"))
-        at_hub = join_unique(rest, hubs, "bucket", ["hub"], "n", total)
+        at_hub = join_unique(rest, hubs, "bucket", ["hub"], "n", left[0])
         pairs = at_hub.where("component <> hub.component").select(
             F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v")).distinct()
         pairs = stages.put("pairs", pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
@@ -131,12 +132,13 @@ def linked_components(stages: Stages, members: DataFrame, confirm, links: DataFr
             break
         links = links.unionByName(new)
         components = connected_components(stages, links)
-        rest = _named(stages, members, components)
-    if not rest.isEmpty():
-        x = rest.select("bucket", F.col("node").alias("a"), F.col("component").alias("x"))
-        y = rest.select("bucket", F.col("node").alias("b"), F.col("component").alias("y"))
-        pairs = x.join(y, "bucket").where("x < y").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-        new = stages.put("links", confirm(stages.put("pairs", pairs.join(tried, ["u", "v"], "left_anti"))))
-        if not new.isEmpty():
-            components = connected_components(stages, links.unionByName(new))
+        rest = _open_buckets(stages, rest, components)
+    x = rest.select("bucket", F.col("node").alias("a"), F.col("component").alias("x"))
+    y = rest.select("bucket", F.col("node").alias("b"), F.col("component").alias("y"))
+    pairs = x.join(y, "bucket").where("x < y").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    pairs = stages.put("pairs", pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
+    if not pairs.isEmpty():
+        new = stages.put("links", confirm(pairs))
+        if components is None or not new.isEmpty():
+            return connected_components(stages, links.unionByName(new))
     return connected_components(stages, links) if components is None else components
