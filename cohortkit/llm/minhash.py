@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.tables import Stages, join_unique, linked_components
+from cohortkit.llm.tables import Stages, by_place, join_unique, linked_components
 from cohortkit.llm.textops import shingles, text_chunks
 
 SHINGLE_WORDS = 5
@@ -176,10 +176,13 @@ def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
 def keep_one_of_each(stages: Stages, documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that :func:`near_duplicates` keeps, one per doc_id, all columns."""
     found = near_duplicates(stages, documents)
-    kept = stages.put("kept", found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n")))
-    once = documents.join(kept.where("n = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = documents.join(kept.where("n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(documents.where("doc_id IS NULL")).select(*documents.columns)
+    rows, own = by_place(documents)
+    doc = F.col(own["doc_id"]).cast("long")
+    kept = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
+    kept = stages.put("kept", kept)
+    once = rows.join(kept.where("n = 1"), doc == F.col("doc_id"), "left_semi")
+    repeated = rows.join(kept.where("n > 1"), doc == F.col("doc_id"), "left_semi").dropDuplicates([own["doc_id"]])
+    return once.unionByName(repeated).unionByName(rows.where(doc.isNull())).toDF(*documents.columns)
 
 
 def op5_minhash_near_duplicates(spark, sf_dir: str) -> DataFrame:

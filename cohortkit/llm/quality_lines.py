@@ -16,8 +16,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from cohortkit.llm.tables import Stages, join_unique
+from cohortkit.llm.tables import Stages, by_place, join_unique
 from cohortkit.llm.textops import Texts, run_hashes, text_chunks, window_hashes
 
 MIN_WORDS = 50
@@ -101,10 +102,6 @@ def _frequent_lines(stages: Stages, measured: DataFrame) -> DataFrame:
     return stages.put("frequent", often.join(hosts, often.host.eqNullSafe(hosts.host)).where("documents > most").select(often.host, "line", "rows"))
 
 
-def _key(host) -> F.Column:
-    return F.xxhash64(F.coalesce(host, F.lit("")), F.col("line"))
-
-
 def quality_rules(stages: Stages, documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Verdicts per row of ``documents`` (doc_id, text, source), and the (host, line) pairs removed.
 
@@ -118,8 +115,8 @@ def quality_rules(stages: Stages, documents: DataFrame) -> tuple[DataFrame, Data
     measured = stages.put("measured", docs.mapInArrow(_measure, MEASURES))
     frequent = _frequent_lines(stages, measured)
     held = measured.select("uid", "host", F.explode("lines").alias("l")).select("uid", F.col("host"), "l.line", "l.words")
-    held = held.withColumn("key", _key(F.col("host"))).select("uid", "key", "words")
-    keys = frequent.select(_key(F.col("host")).alias("key"), F.lit(True).alias("often"), "rows")
+    held = held.withColumn("key", F.xxhash64("host", "line")).select("uid", "key", "words")
+    keys = frequent.select(F.xxhash64("host", "line").alias("key"), F.lit(True).alias("often"), "rows")
     total = measured.agg(F.coalesce(F.sum(F.size("lines")), F.lit(0))).first()[0]
     removed = join_unique(held, keys, "key", ["often"], "rows", total).where("often").groupBy("uid").agg(F.sum("words").alias("n"))
     out = measured.drop("lines", "text_id", "host").join(removed, "uid", "left").withColumn("n_removed_words", F.coalesce("n", F.lit(0)).cast("long"))
@@ -131,9 +128,9 @@ def quality_rules(stages: Stages, documents: DataFrame) -> tuple[DataFrame, Data
     return verdicts, frequent
 
 
-def _clean(schema: list[str]):
+def _clean(schema: list[str], text: str):
     """Texts without their host's frequent lines (last column), of the documents that pass."""
-    text_at = schema.index("text")
+    text_at = schema.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,11 +151,11 @@ def _clean(schema: list[str]):
                     gone = np.isin(normal[own], np.array(frequent[at + k] or [], np.int64)) & (words > 0)
                     if 100 * words[gone].sum() > DEPLETED_PERCENT * (b - a):
                         continue
-                    text = texts.data[texts.bounds[k]:texts.bounds[k + 1]].tobytes()
+                    data = texts.data[texts.bounds[k]:texts.bounds[k + 1]].tobytes()
                     if gone.any():
-                        text = b"\n".join(x for x, g in zip(text.split(b"\n"), gone, strict=True) if not g)
+                        data = b"\n".join(x for x, g in zip(data.split(b"\n"), gone, strict=True) if not g)
                     kept.append(at + k)
-                    out.append(text.decode("utf-8"))
+                    out.append(data.decode("utf-8"))
             rows = batch.take(pa.array(kept, pa.int64()))
             columns = [rows.column(i) if i != text_at else pa.array(out, pa.string()) for i in range(len(schema))]
             yield pa.RecordBatch.from_arrays(columns, names=schema)
@@ -175,14 +172,19 @@ def clean_documents(stages: Stages, documents: DataFrame) -> DataFrame:
         F.col("source").cast("string").alias("host"), F.col("text").cast("string").alias("text"))
     measured = stages.put("measured", docs.mapInArrow(_measure, MEASURES))
     frequent = _frequent_lines(stages, measured)
-    lines = frequent.groupBy(F.coalesce("host", F.lit("")).alias("_h"), F.col("host").isNull().alias("_none")).agg(F.collect_list("line").alias("_lines"))
-    sizes = measured.groupBy(F.coalesce("host", F.lit("")).alias("_h"), F.col("host").isNull().alias("_none")).agg(F.count("*").alias("_rows"))
-    hosts = stages.put("hosts", lines.join(sizes, ["_h", "_none"]).select(F.xxhash64("_h", "_none").alias("_hk1"), "_lines", "_rows"))
-    names = documents.columns
-    key = F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("")), F.col("source").isNull())
-    out = join_unique(documents.withColumn("_host_key", key), hosts.withColumnRenamed("_hk1", "_host_key"), "_host_key", ["_lines"], "_rows", measured.count())
-    kept = out.select(*names, "_lines").mapInArrow(_clean(names), documents.schema)
-    return kept.withColumn("n_chars", F.char_length("text").cast(documents.schema["n_chars"].dataType)) if "n_chars" in names else kept
+    host_key = F.xxhash64(F.coalesce("host", F.lit("")), F.col("host").isNull()).alias("host_key")
+    lines = frequent.groupBy(host_key).agg(F.collect_list("line").alias("lines"))
+    sizes = measured.groupBy(host_key).agg(F.count("*").alias("n"))
+    hosts = stages.put("hosts", lines.join(sizes, "host_key"))
+    rows, own = by_place(documents)
+    host = F.col(own["source"])
+    rows = rows.withColumn("host_key", F.xxhash64(F.coalesce(host.cast("string"), F.lit("")), host.isNull()))
+    out = join_unique(rows, hosts, "host_key", ["lines"], "n", measured.count())
+    places = list(own.values())
+    kept = out.select(*places, "lines").mapInArrow(_clean(places, own["text"]), StructType([StructField(own[f.name], f.dataType) for f in documents.schema]))
+    if "n_chars" in own:
+        kept = kept.withColumn(own["n_chars"], F.char_length(own["text"]).cast(documents.schema["n_chars"].dataType))
+    return kept.toDF(*documents.columns)
 
 
 def op1_line_frequency(spark, sf_dir: str) -> DataFrame:

@@ -18,7 +18,6 @@ import heapq
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -31,6 +30,7 @@ from cohortkit.llm.textops import run_hashes
 N_BEST = 4
 SPACE = "▁"
 CHUNK_CHARS = 1 << 22  # characters handled at once; a longer text is handled alone
+CACHED_CHUNKS = 300_000  # solved chunks a task keeps; then it starts anew
 UNKNOWN_PENALTY = 10.0
 _WIDTH = np.int64(1 << 21)  # more than any code point
 
@@ -119,7 +119,7 @@ def _best_into(n: int, source: np.ndarray, target: np.ndarray, score: np.ndarray
     """Viterbi over all chunks at once: best score of each place from the places ``start``, and the
     edge it comes by. ``order_key``: the target's distance from its chunk's start; edges are taken in
     that order, so a source is final before it is used."""
-    order = np.lexsort((source, target, order_key))
+    order = np.argsort((order_key << 40) | target, kind="stable")
     source, target, score, steps = source[order], target[order], score[order], order_key[order]
     best = np.full(n, -np.inf)
     best[start] = 0.0
@@ -133,7 +133,7 @@ def _best_into(n: int, source: np.ndarray, target: np.ndarray, score: np.ndarray
         top = np.maximum.reduceat(value, first)
         groups = np.repeat(np.arange(len(first)), np.diff(np.append(first, b - a)))
         at = np.flatnonzero(value == top[groups])
-        at = at[np.concatenate([[True], np.diff(groups[at]) != 0])]  # ties: the longest piece
+        at = at[np.concatenate([np.diff(groups[at]) != 0, [True]])]  # ties: the longest piece
         best[target[a:b][first]] = top
         by[target[a:b][first]] = order[a:b][at]
     return best, by
@@ -226,65 +226,112 @@ def _segment(model: str, n_best: int, digests: bool):
             yield held
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load_pieces(model)
+        pieces, known = load_pieces(model), {}
         for batch in batches:
             at = 0
             for texts in texts_at_once(batch.column(1)):
                 docs = batch.column(0).slice(at, len(texts))
                 at += len(texts)
-                yield _segment_some(pieces, docs, texts, n_best, digests)
+                yield _segment_some(pieces, known, docs, texts, n_best, digests)
     return run
 
 
-def _segment_some(pieces: Pieces, docs: pa.Array, texts: list[str], n_best: int, digests: bool) -> pa.RecordBatch:
+class Chunk:
+    """A chunk's best ids, score, loss of its second-best path and, once asked for, its best paths."""
+
+    __slots__ = ("text", "ids", "score", "second", "best")
+
+    def __init__(self, text: str, ids: bytes, score: float, second: float):
+        self.text, self.ids, self.score, self.second, self.best = text, ids, score, second, None
+
+
+def _lattice_of(pieces: Pieces, texts: list[str]) -> Lattice:
+    chars = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
+    return Lattice(pieces, chars, np.array([len(t) for t in texts], np.int64))
+
+
+def _solve(pieces: Pieces, texts: list[str]) -> list[Chunk]:
+    lattice = _lattice_of(pieces, texts)
+    ids, bounds = lattice.best_paths()
+    data = ids.astype("<i4").tobytes()
+    best = lattice.forward[lattice.last].tolist()
+    out = [Chunk(t, data[4 * a:4 * b], s, o) for t, a, b, s, o in zip(
+        texts, bounds.tolist(), bounds[1:].tolist(), best, lattice.second.tolist(), strict=False)]
+    for c in np.unique(np.searchsorted(bounds, np.flatnonzero(ids < 0), "right") - 1).tolist():
+        out[c].ids = pieces.ids(ids[bounds[c]:bounds[c + 1]].tolist(), texts[c])
+    return out
+
+
+def _find_best(pieces: Pieces, chunks: list[Chunk], n_best: int) -> None:
+    """Fill in ``best``, (loss, ids) of the best paths, of chunks that lack it."""
+    chunks = [c for c in chunks if c.best is None]
+    if chunks:
+        lattice = _lattice_of(pieces, [c.text for c in chunks])
+        for k, c in enumerate(chunks):
+            c.best = [(c.score - s, pieces.ids(p, c.text)) for s, p in lattice.n_best(k, n_best)]
+
+
+def _least_sums(options: list[list[tuple[float, bytes]]], n: int) -> list[tuple[float, tuple[int, ...]]]:
+    """The ``n`` least sums of one loss of each option, with the choices; ties: by the choices."""
+    if not options:
+        return [(0.0, ())]
+    total = np.zeros(())
+    for o in options:
+        total = total[..., None] + np.array([loss for loss, _ in o])
+    flat = total.ravel()
+    top = np.argsort(flat, kind="stable")[:n]
+    return [(float(flat[t]), tuple(int(i) for i in np.unravel_index(t, total.shape))) for t in top]
+
+
+def _segment_some(pieces: Pieces, known: dict[int, Chunk], docs: pa.Array, texts: list[str], n_best: int, digests: bool) -> pa.RecordBatch:
     normal = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
-    chars = np.frombuffer("".join(normal).encode("utf-32-le"), np.uint32).astype(np.int64)
+    whole = "".join(normal)
+    chars = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
     bounds = np.concatenate([[0], np.cumsum([len(t) for t in normal])]).astype(np.int64)
     begins = _chunk_bounds(pieces, chars, bounds)
     ends = np.append(begins[1:], len(chars)) if len(begins) else begins
     which, distinct = pd.factorize(run_hashes(chars, begins, ends))
     first = np.full(len(distinct), len(which), np.int64)
     np.minimum.at(first, which, np.arange(len(which)))
-    lengths = (ends - begins)[first]
-    flat = np.repeat(begins[first] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
-    lattice = Lattice(pieces, chars[flat], lengths)
-    text_of = lambda c: "".join(map(chr, chars[begins[first[c]]:ends[first[c]]]))
-    flat_ids, of_chunk = lattice.best_paths()
-    data = flat_ids.astype("<i4").tobytes()
-    as_bytes = [data[4 * a:4 * b] for a, b in zip(of_chunk.tolist(), of_chunk[1:].tolist(), strict=False)]
-    for c in np.unique(np.searchsorted(of_chunk, np.flatnonzero(flat_ids < 0), "right") - 1).tolist():
-        as_bytes[c] = pieces.ids(flat_ids[of_chunk[c]:of_chunk[c + 1]].tolist(), text_of(c))
-    best = lattice.forward[lattice.last]
-    others: dict[int, list[tuple[float, bytes]]] = {}
-
-    def alternatives(c: int) -> list[tuple[float, bytes]]:
-        if c not in others:
-            found = lattice.n_best(c, n_best)
-            others[c] = [(float(best[c]) - s, pieces.ids(p, text_of(c))) for s, p in found]
-        return others[c]
-
+    if len(known) + len(distinct) > CACHED_CHUNKS:
+        known.clear()
+    keys = distinct.tolist()
+    new = [c for c, key in enumerate(keys) if key not in known]
+    places = zip(begins[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+    for c, chunk in zip(new, _solve(pieces, [whole[a:b] for a, b in places]) if new else [], strict=True):
+        known[keys[c]] = chunk
+    chunks = [known[key] for key in keys]
+    score = np.array([c.score for c in chunks])
+    second = np.array([c.second for c in chunks])
     chunk_at = np.searchsorted(begins, bounds)
-    rows: list[tuple] = []
-    for k, text in enumerate(texts):
+    owns, fews = [], []
+    for k in range(len(texts)):
         own = which[chunk_at[k]:chunk_at[k + 1]]
-        ids = [as_bytes[c] for c in own.tolist()]
-        score = float(best[own].sum())
-        second = lattice.second[own]
-        few = np.argsort(second, kind="stable")[:n_best - 1]
-        few = np.sort(few[np.isfinite(second[few])]).tolist()
-        options = [alternatives(int(own[i])) for i in few]
-        picks = product(*(range(len(o)) for o in options))
-        choices = sorted((sum(o[j][0] for o, j in zip(options, pick, strict=True)), pick) for pick in picks)[:n_best]
-        out, scores = [], []
-        for loss, pick in choices:
+        loss = second[own]
+        least = np.argpartition(loss, n_best - 2)[:n_best - 1] if len(own) >= n_best and n_best > 1 else np.arange(len(own))[:n_best - 1]
+        limit = loss[least].max() if len(least) else 0
+        # of equal losses the first places count
+        few = np.flatnonzero(loss <= limit)
+        few = few[np.argsort(loss[few], kind="stable")][:n_best - 1]
+        owns.append(own)
+        fews.append(np.sort(few[np.isfinite(loss[few])]).tolist())
+    wanted = {int(own[i]) for own, few in zip(owns, fews, strict=True) for i in few}
+    _find_best(pieces, [chunks[c] for c in sorted(wanted)], n_best)
+    rows: list[tuple] = []
+    for text, own, few in zip(texts, owns, fews, strict=True):
+        ids = [chunks[c].ids for c in own.tolist()]
+        options = [chunks[own[i]].best for i in few]
+        out, scores, count = [], [], 0
+        for loss, pick in _least_sums(options, n_best):
             for i, o, j in zip(few, options, pick, strict=True):
                 ids[i] = o[j][1]
             joined = b"".join(ids)
             out.append(zlib.crc32(joined) if digests else joined)
-            scores.append(score - loss)
+            scores.append(float(score[own].sum()) - loss)
             if len(scores) == 1:
                 best_ids = np.frombuffer(joined, "<i4").tolist()
-        rows.append((len(best_ids), len(out), scores, out, (pieces.decode(best_ids) if text else "") == text))
+                count = len(best_ids)
+        rows.append((count, len(out), scores, out, (pieces.decode(best_ids) if text else "") == text))
     kinds = [pa.int64(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int64() if digests else pa.binary()), pa.bool_()]
     columns = list(zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays([docs, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=_schema(digests)[1])

@@ -17,6 +17,13 @@ PAIRS_A_MEMBER = 4  # that much left is compared whole at once
 BROADCAST_ROWS = 2_000_000  # keys of 8 to 16 bytes; beyond it a join shuffles
 
 
+def by_place(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns named c0, c1, ..., and the name of each in there: columns that only travel
+    along cannot clash with those of an operator."""
+    own = {name: f"c{i}" for i, name in enumerate(df.columns)}
+    return df.toDF(*own.values()), own
+
+
 class Stages:
     """Tables of one run under the cluster's shared ``spark.checkpoint.dir``.
 
