@@ -9,8 +9,8 @@ With 32 bands of 4 minima a pair at the threshold 0.75 shares no band with proba
 (1 - 0.75^4)^32 = 5e-6, and its signatures agree in fewer than 64 of 128 places with less than 1e-9.
 
 Equal shingle sets are collapsed first, and no bucket is expanded into its pairs (see
-``tables.linked_components``): members are compared with hubs, and exhaustively only where one bucket
-still holds several components.
+``tables.linked_components``): members are compared with hubs, and where a bucket then still holds
+several components, its documents are compared block by block on their full sets.
 """
 
 from __future__ import annotations
@@ -23,12 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.tables import Stages, by_place, join_unique, linked_components
+from cohortkit.llm.tables import Stages, by_place, connected_components, join_unique, linked_components
 from cohortkit.llm.textops import shingles, text_chunks
 
 SHINGLE_WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 32, 4
+BLOCK_MEMBERS = 256
 AGREE = (BANDS * ROWS) // 2  # equal minima that a candidate needs to be confirmed on full sets
 
 
@@ -128,6 +129,60 @@ def _paired(pairs: DataFrame, rows: DataFrame, col: str, keep) -> DataFrame:
     return with_v.select("u", "v", "_a", "_b").mapInArrow(keep, "u bigint, v bigint")
 
 
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links between members of different components of two blocks (lists of node, component, shingles)."""
+    for batch in batches:
+        u, v = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for row in range(batch.num_rows):
+            a, b = (batch.column(i)[row].values for i in (0, 1))
+            sets = [[np.frombuffer(x.as_py(), np.uint64) for x in side.field("shingles")] for side in (a, b)]
+            node, component = ([side.field(c).to_numpy() for side in (a, b)] for c in ("node", "component"))
+            sizes = [np.array([len(x) for x in side]) for side in sets]
+            flat = [np.concatenate(side) for side in sets]
+            common = np.intersect1d(*(np.unique(x) for x in flat), assume_unique=True)
+            held = []
+            for x, size in zip(flat, sizes, strict=True):
+                at = np.searchsorted(common, x)
+                hit = np.flatnonzero(common[np.minimum(at, len(common) - 1)] == x) if len(common) else np.zeros(0, np.int64)
+                held.append((np.repeat(np.arange(len(size)), size)[hit], at[hit]))
+            both = np.zeros((len(sizes[0]), len(sizes[1])), np.float32)
+            for start in range(0, len(common), 4096):  # shingles at once: counts stay exact in single precision
+                sides = []
+                for (who, at), size in zip(held, sizes, strict=True):
+                    inside = (at >= start) & (at < start + 4096)
+                    m = np.zeros((len(size), 4096), np.float32)
+                    m[who[inside], at[inside] - start] = 1
+                    sides.append(m)
+                both += sides[0] @ sides[1].T
+            total = sizes[0][:, None] + sizes[1][None, :] - both
+            i, j = np.nonzero((100 * both >= PERCENT * total) & (component[0][:, None] != component[1][None, :]))
+            u.append(np.maximum(node[0][i], node[1][j]))
+            v.append(np.minimum(node[0][i], node[1][j]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
+
+
+def _group_links(stages: Stages, rest: DataFrame, tried: DataFrame, sets: DataFrame) -> DataFrame:
+    """All links between different components among the members of open buckets.
+
+    Members of a bucket were compared with the same hub, so the components of those comparisons hold
+    whole buckets. Each is dealt to blocks of some BLOCK_MEMBERS members, and every two blocks are
+    compared by one small matrix product on their full sets; only links leave it."""
+    nodes = stages.put("open-nodes", rest.select("node", "component").distinct())
+    compared = tried.join(nodes.select(F.col("node").alias("u")), "u", "left_semi").join(nodes.select(F.col("node").alias("v")), "v", "left_semi")
+    groups = connected_components(stages, compared).withColumnRenamed("component", "grp")
+    sized = stages.put("groups", nodes.join(groups, "node"))
+    counts = sized.groupBy("grp").agg(F.count("*").alias("n"))
+    dealt = join_unique(sized, counts, "grp", ["n"], "n", sized.count())
+    blocks = F.ceil(F.col("n") / BLOCK_MEMBERS).cast("int")
+    dealt = dealt.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    member = F.struct("node", "component", "shingles")
+    block = dealt.join(sets, "node").groupBy("grp", "block", "blocks").agg(F.collect_list(member).alias("held"))
+    block = stages.put("blocks", block)
+    left = block.select("grp", F.col("held").alias("a"), F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)).alias("other"))
+    right = block.select("grp", F.col("block").alias("other"), F.col("held").alias("b"))
+    return left.join(right, ["grp", "other"]).select("a", "b").mapInArrow(_block_links, "u bigint, v bigint").distinct()
+
+
 def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
     """One row per row of ``documents`` (doc_id, text): doc_id, n_shingles, component_id, kept.
 
@@ -162,7 +217,7 @@ def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
         likely = stages.put("likely", _paired(pairs, nodes, "signature", _agree))
         return _paired(likely, sets, "shingles", _confirm)
 
-    components = linked_components(stages, members, confirmed, shared)
+    components = linked_components(stages, members, confirmed, lambda rest, tried: _group_links(stages, rest, tried, sets), shared)
 
     sizes = light.groupBy("node").agg(F.count("*").alias("n"))
     named = sizes.join(components.select("node", "component"), "node", "left").select(

@@ -12,8 +12,7 @@ from cohortkit.session import ensure_checkpoint_dir
 # A key holding at least this share of the rows is heavy; there are at most 1 / share such keys,
 # which is the proven bound of every broadcast in this module.
 HEAVY_SHARE = 1 / 1000
-HUB_ROUNDS = 6  # rounds of linear comparisons before the rest of the buckets is compared whole
-PAIRS_A_MEMBER = 4  # that much left is compared whole at once
+PAIRS_A_MEMBER = 4  # buckets that hold no more pairs in all are compared whole
 BROADCAST_ROWS = 2_000_000  # keys of 8 to 16 bytes; beyond it a join shuffles
 
 
@@ -110,42 +109,39 @@ def _open_buckets(stages: Stages, members: DataFrame, components: DataFrame) ->
     return stages.put("open", named.join(mixed.select("bucket"), "bucket", "left_semi"))
 
 
-def linked_components(stages: Stages, members: DataFrame, confirm, links: DataFrame | None = None) -> DataFrame:
+def bucket_pairs(members: DataFrame, *, condition: str = "true", cols: tuple[str, ...] = ()) -> DataFrame:
+    """Pairs (u > v) of members (bucket, node, component, ``cols``) of one bucket and different
+    components for which ``condition`` on the ``cols``, named x_... and y_..., holds."""
+    x = members.select("bucket", F.col("node").alias("a"), F.col("component").alias("x"), *[F.col(c).alias(f"x_{c}") for c in cols])
+    y = members.select("bucket", F.col("node").alias("b"), F.col("component").alias("y"), *[F.col(c).alias(f"y_{c}") for c in cols])
+    pairs = x.join(y, (x.bucket == y.bucket) & F.expr(f"x < y AND ({condition})"))
+    return pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+
+
+def linked_components(stages: Stages, members: DataFrame, confirm, rest_links=None, links: DataFrame | None = None) -> DataFrame:
     """(node, component) over the links that ``confirm`` finds among members of a common bucket.
 
     ``members`` (bucket, node) is a written table; ``confirm`` maps pairs (u > v) to those that are
-    links; ``links`` are known ones. Large buckets are not expanded into their pairs: a round compares
-    every member with one hub of its bucket (by another hash order each time) and drops buckets that
-    have become one component, until what is left is no more than PAIRS_A_MEMBER pairs a member or
-    HUB_ROUNDS rounds are over. Then members of a bucket that are still in different components are
-    compared exhaustively, so the components are those of all links."""
+    links; ``links`` are known ones. Large buckets are not expanded into their pairs: first every
+    member is compared with a hub of its bucket (a member of many buckets meets as many hubs). For
+    what is then still in different components, ``rest_links(rest, tried)`` finds the links (default:
+    among all pairs of a bucket); it may leave out none. So the components are those of all links."""
     if links is None:
         links = stages.spark.createDataFrame([], "u bigint, v bigint")
-    tried, components = None, None
     rest = members.withColumn("component", F.col("node"))
-    for turn in range(HUB_ROUNDS):
-        left = rest.groupBy("bucket").agg(F.count("*").alias("n")).agg(F.sum("n"), F.sum(F.expr("CAST(n AS DOUBLE) * n / 2"))).first()
-        if not left[0] or left[1] <= PAIRS_A_MEMBER * left[0]:
-            break
-        rank = F.struct(F.xxhash64("node", F.lit(turn)).alias("r"), "node", "component")
-        hubs = rest.groupBy("bucket").agg(F.min(rank).alias("hub"), F.count("*").alias("n"))
-        at_hub = join_unique(rest, hubs, "bucket", ["hub"], "n", left[0])
-        pairs = at_hub.where("component <> hub.component").select(
-            F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v")).distinct()
-        pairs = stages.put("pairs", pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        new = stages.put("links", confirm(pairs))
-        if turn and new.isEmpty():
-            break
-        links = links.unionByName(new)
-        components = connected_components(stages, links)
-        rest = _open_buckets(stages, rest, components)
-    x = rest.select("bucket", F.col("node").alias("a"), F.col("component").alias("x"))
-    y = rest.select("bucket", F.col("node").alias("b"), F.col("component").alias("y"))
-    pairs = x.join(y, "bucket").where("x < y").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    pairs = stages.put("pairs", pairs if tried is None else pairs.join(tried, ["u", "v"], "left_anti"))
-    if not pairs.isEmpty():
-        new = stages.put("links", confirm(pairs))
-        if components is None or not new.isEmpty():
-            return connected_components(stages, links.unionByName(new))
-    return connected_components(stages, links) if components is None else components
+    held = rest.groupBy("bucket").agg(F.count("*").alias("n")).agg(F.sum("n"), F.sum(F.expr("CAST(n AS DOUBLE) * n / 2"))).first()
+    if not held[0] or held[1] <= PAIRS_A_MEMBER * held[0]:
+        found = confirm(stages.put("pairs", bucket_pairs(rest)))
+        return connected_components(stages, links.unionByName(found))
+    rank = F.struct(F.xxhash64("node", "bucket").alias("r"), "node")
+    hubs = rest.groupBy("bucket").agg(F.min(rank).alias("hub"), F.count("*").alias("n"))
+    at_hub = join_unique(rest, hubs, "bucket", ["hub"], "n", held[0]).where("node <> hub.node")
+    tried = stages.put("pairs", at_hub.select(F.greatest("node", "hub.node").alias("u"), F.least("node", "hub.node").alias("v")).distinct())
+    links = links.unionByName(stages.put("links", confirm(tried)))
+    components = connected_components(stages, links)
+    rest = _open_buckets(stages, rest, components)
+    if rest.isEmpty():
+        return components
+    found = rest_links(rest, tried) if rest_links else confirm(stages.put("pairs", bucket_pairs(rest).join(tried, ["u", "v"], "left_anti")))
+    found = stages.put("links", found)
+    return components if found.isEmpty() else connected_components(stages, links.unionByName(found))

@@ -38,8 +38,8 @@ def test_components_of_random_graph(spark):
 
 
 def test_large_bucket_is_linked_without_all_pairs(spark):
-    """400 members of one bucket, of whose pairs two in five are links."""
-    members = spark.createDataFrame([(1, i) for i in range(400)] + [(2, 1000), (2, 2000)], "bucket bigint, node bigint")
+    """400 members of ten common buckets, of whose pairs two in five are links."""
+    members = spark.createDataFrame([(b, i) for i in range(400) for b in range(10)] + [(20, 1000), (20, 2000)], "bucket bigint, node bigint")
     seen = []
 
     def confirm(pairs):
