@@ -5,8 +5,9 @@ signature is cut into bands; documents with an equal band are candidates. Candid
 signatures agree enough are confirmed on their full shingle sets, and the components of confirmed
 links are found by alternating large-star and small-star.
 
-With 32 bands of 4 minima a pair at the threshold 0.75 shares no band with probability
-(1 - 0.75^4)^32 = 5e-6, and its signatures agree in fewer than 64 of 128 places with less than 1e-9.
+With 40 bands of 5 minima a pair at the threshold 0.75 shares no band with probability
+(1 - 0.75^5)^40 = 2e-5, and its signatures agree in fewer than 120 of 200 places with less than 1e-6.
+Only the bands' hashes and the last byte of every minimum are kept.
 
 Equal shingle sets are collapsed first, and no bucket is expanded into its pairs (see
 ``tables.linked_components``): members are compared with hubs, and where a bucket then still holds
@@ -23,14 +24,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortkit.llm.tables import Stages, by_place, connected_components, join_unique, linked_components
-from cohortkit.llm.textops import shingles, text_chunks
+from cohortkit.llm.tables import Stages, by_place, connected_components, join_unique, linked_components, semi_join
+from cohortkit.llm.textops import mix, shingles, text_chunks, weights
 
 SHINGLE_WORDS = 5
 PERCENT = 75
-BANDS, ROWS = 32, 4
+BANDS, ROWS = 40, 5
 BLOCK_MEMBERS = 256
-AGREE = (BANDS * ROWS) // 2  # equal minima that a candidate needs to be confirmed on full sets
+AGREE = BANDS * ROWS * 3 // 5  # equal minima that a candidate needs to be confirmed on full sets
 
 
 def _minima(sets: list[np.ndarray]) -> np.ndarray:
@@ -53,6 +54,12 @@ def _minima(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
+def _band_hashes(minima: np.ndarray) -> np.ndarray:
+    """(documents, bands): a hash of each band's number and minima."""
+    rows = minima.reshape(len(minima), BANDS, ROWS).astype(np.uint64)
+    return mix((rows * weights(ROWS)).sum(axis=2, dtype=np.uint64) ^ mix(np.arange(BANDS))).view(np.int64)
+
+
 def _doc_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
     """(row, sorted distinct shingle hashes) of every text that has a word."""
     for first, _, texts in text_chunks(column):
@@ -62,19 +69,20 @@ def _doc_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
                 yield first + k, shingles(words[texts.first_word[k]:texts.first_word[k + 1]], SHINGLE_WORDS)
 
 
-SIGNATURES = "doc_id bigint, n_shingles bigint, set_id binary, signature binary"
+SIGNATURES = "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"
 
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = batch.num_rows
-        sizes, ids, sigs = np.zeros(n, np.int64), [None] * n, [None] * n
+        sizes, ids, bands, sketches = np.zeros(n, np.int64), [None] * n, [None] * n, [None] * n
         rows, sets = [], []
 
         def flush() -> None:
             if sets:
-                for row, one, sig in zip(rows, sets, _minima(sets), strict=True):
-                    sizes[row], sigs[row] = len(one), sig.tobytes()
+                minima = _minima(sets)
+                for row, one, band, least in zip(rows, sets, _band_hashes(minima), minima.astype(np.uint8), strict=True):
+                    sizes[row], bands[row], sketches[row] = len(one), band, least.tobytes()
                     ids[row] = hashlib.blake2b(one.tobytes(), digest_size=16).digest()
                 rows.clear()
                 sets.clear()
@@ -89,8 +97,8 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 held = 0
         flush()
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes), pa.array(ids, pa.binary()), pa.array(sigs, pa.binary())],
-            names=["doc_id", "n_shingles", "set_id", "signature"])
+            [batch.column(0), pa.array(sizes), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+            names=["doc_id", "n_shingles", "set_id", "bands", "sketch"])
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,9 +123,9 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep the pairs whose signatures agree in enough places."""
+    """Keep the pairs whose sketches agree in enough places."""
     for batch in batches:
-        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(batch.num_rows, -1) for i in (2, 3))
+        a, b = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, BANDS * ROWS) for i in (2, 3))
         keep = (a == b).sum(axis=1) >= AGREE
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["u", "v"]).filter(pa.array(keep))
 
@@ -195,7 +203,7 @@ def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
 
     # one node per distinct set, named by its smallest doc_id
     classes = sig.where("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(
-        F.min("doc_id").alias("node"), F.count("*").alias("n"), F.first("n_shingles").alias("size"), F.first("signature").alias("signature"))
+        F.min("doc_id").alias("node"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
     classes = stages.put("classes", classes)
     light = join_unique(sig.select("doc_id", "n_shingles", "set_id"), classes, "set_id", ["node"], "n", sig.count())
     light = stages.put("light", light.select("doc_id", "n_shingles", "node"))
@@ -205,16 +213,15 @@ def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
     shared = stages.put("shared", shared.select(F.col("doc_id").alias("u"), F.col("node").alias("v")).where("u <> v"))
 
     # bands that at least two classes share
-    band = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.expr("signature").substr(i * (4 * ROWS) + 1, F.lit(4 * ROWS))))
-    members = classes.select("node", F.explode(band).alias("bucket"))
-    wide = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = stages.put("members", members.join(wide.select("bucket"), "bucket", "left_semi"))
-    nodes = stages.put("nodes", classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "signature"))
+    members = classes.select("node", F.explode("bands").alias("bucket"))
+    wide = stages.put("wide", members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
+    members = stages.put("members", semi_join(members, wide, "bucket"))
+    nodes = stages.put("nodes", classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "sketch"))
     sets = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     sets = stages.put("sets", sets.mapInArrow(_full_sets, "node bigint, shingles binary").dropDuplicates(["node"]))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
-        likely = stages.put("likely", _paired(pairs, nodes, "signature", _agree))
+        likely = stages.put("likely", _paired(pairs, nodes, "sketch", _agree))
         return _paired(likely, sets, "shingles", _confirm)
 
     components = linked_components(stages, members, confirmed, lambda rest, tried: _group_links(stages, rest, tried, sets), shared)
@@ -224,7 +231,7 @@ def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
         "node", "n", F.coalesce("component", "node").alias("component_id"))
     out = join_unique(light, named, "node", ["component_id"], "n", light.count())
     # a text without words may share its doc_id with one that has some
-    component = F.coalesce("component_id", "doc_id")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 

@@ -341,7 +341,7 @@ def segment_documents(documents: DataFrame, model: str, n_best: int = N_BEST, di
     """The ``n_best`` best segmentations of every row of ``documents`` (doc_id, text), best first: doc_id,
     n_pieces (of the best), n_segmentations, scores, ids (little-endian signed 32-bit, one binary a
     segmentation, or ids_crc32, their checksums, with ``digests``), round_trip (decoding the best gives
-    the text).
+    the text; a text that itself holds U+2581 gets spaces for it, as in SentencePiece).
 
     Null or empty text: one segmentation, of no pieces. Ties of whole texts go to the smaller change
     at the first place they differ. Null doc_ids and repeated rows are rows like any other; extra
