@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def int_div(a: Column, b: Column) -> Column:
     """Integer division truncating toward zero (T-SQL ``int / int``); null on a zero divisor."""
-    return F.when(b != 0, (a.cast("long") / b.cast("long")).cast("long"))
+    return F.when(b != 0, F.call_function("div", a.cast("long"), b.cast("long")))
 
 
 def int_percent(part: Column, total: Column) -> Column:
@@ -21,8 +21,8 @@ def round_ratio(num: Column, den: Column, digits: int = 2, scale: int = 1) -> Co
     ratio (as a SQL numeric would be) with integer arithmetic, so no engine's binary rounding of a
     half-way double (41 / 40 = 1.025) can move the result."""
     m = 10 ** int(digits)
-    q = (F.lit(2 * scale * m) * num.cast("long") + den.cast("long")) / (F.lit(2) * den.cast("long"))
-    return F.when(den != 0, F.floor(q).cast("long") / F.lit(float(m)))
+    q = int_div(F.lit(2 * scale * m) * num.cast("long") + den.cast("long"), F.lit(2) * den.cast("long"))
+    return F.when(den != 0, q / F.lit(float(m)))
 
 
 def round_percent(part: Column, total: Column, digits: int = 2) -> Column:

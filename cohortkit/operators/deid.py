@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from cohortkit.functions.dates import to_ts
 from cohortkit.functions.keyed import date_shift, replacement_birth_year
 from cohortkit.operators.rownum import row_number_global
+from cohortkit.plans.broadcast import broadcast_checked
 from cohortkit.schemas import conform
 
 
@@ -45,7 +46,7 @@ def visit_map(
 ) -> DataFrame:
     """(source_key, new_id) for visits inside the window after shifting."""
     s = pmap.select(F.col("source_key").alias("person_id"), "date_shift")
-    cand = visits.join(s, "person_id").where(
+    cand = visits.join(broadcast_checked(s), "person_id").where(
         (F.date_add("visit_start_date", F.col("date_shift")) >= F.lit(start))
         & (F.date_add("visit_end_date", F.col("date_shift")) <= F.lit(end))
     ).select(F.col("visit_occurrence_id").alias("source_key"))
@@ -148,10 +149,13 @@ def deidentify(fact: DataFrame, pmap: DataFrame, vmap: DataFrame | None, spec: D
                strict: bool = False) -> DataFrame:
     """One de-identified table in the target contract's column order."""
     s = pmap.select(F.col("source_key").alias("_pkey"), F.col("id").alias("_new_pid"), F.col("date_shift").alias("_shift"))
-    j = fact.join(s, F.col("person_id") == F.col("_pkey"))
+    j = fact.join(broadcast_checked(s), F.col("person_id") == F.col("_pkey"))
     if spec.uses_visit_map and vmap is not None:
+        # a record without a visit gets a negative key of its own instead of null: keys are positive,
+        # so it matches nothing and such records do not meet in one task where the map is shuffled
         v = vmap.select(F.col("source_key").alias("_vkey"), F.col("new_id").alias("_new_vid"))
-        j = j.join(v, F.col("visit_occurrence_id") == F.col("_vkey"), "left")
+        own = F.coalesce(F.col("visit_occurrence_id").cast("long"), -1 - F.monotonically_increasing_id())
+        j = j.withColumn("_vid", own).join(broadcast_checked(v.where("_vkey >= 0")), F.col("_vid") == F.col("_vkey"), "left")
     if spec.window is not None:
         sc, ec = spec.window
         s_shift = _shift(sc)

@@ -114,7 +114,9 @@ def _overlap_failures(facts: DataFrame, cohort: DataFrame, s: str, e: str) -> Da
     e <= vs <= ve <= s, so only facts with e <= s (zero-length or reversed) can fail, and only
     against visits starting inside [e, s]: those facts' ranges are expanded to days and joined on
     (person_id, visit_start_date). Malformed visits (vs > ve) are rare; only facts of persons who
-    have one are paired with them. The result is small (usually empty) and keyed by (person, s, e).
+    have one are paired with them. An open visit (no end) can only match by its start, so it fails
+    when vs >= e: a person's open starts form one sorted list with counts (one entry a calendar
+    day at most), against which each distinct record end is counted. The result is keyed by (person, s, e).
     """
     wf = cohort.where(F.col("visit_start_date") <= F.col("visit_end_date")).groupBy(
         "person_id", "visit_start_date", "visit_end_date"
@@ -146,7 +148,20 @@ def _overlap_failures(facts: DataFrame, cohort: DataFrame, s: str, e: str) -> Da
         .groupBy("person_id", "_s", "_e")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    return fail_wf.unionByName(fail_bad).groupBy("person_id", "_s", "_e").agg(F.sum("c").alias("c"))
+    starts = cohort.where(F.col("visit_end_date").isNull() & F.col("visit_start_date").isNotNull()).groupBy("person_id", "visit_start_date").agg(
+        F.count(F.lit(1)).alias("_n"))
+    starts = starts.groupBy("person_id").agg(F.collect_list(F.struct("visit_start_date", "_n")).alias("_open"))
+    later = F.aggregate(
+        "_open", F.lit(0).cast("long"), lambda a, v: a + F.when(v["visit_start_date"] >= F.col("_e"), v["_n"]).otherwise(F.lit(0).cast("long")))
+    fail_open = (
+        facts.where(F.col(e).isNotNull())
+        .select("person_id", F.col(s).alias("_s"), F.col(e).alias("_e"))
+        .join(broadcast_checked(starts), "person_id")
+        .distinct()
+        .select("person_id", "_s", "_e", later.alias("c"))
+        .where("c > 0")
+    )
+    return fail_wf.unionByName(fail_bad).unionByName(fail_open).groupBy("person_id", "_s", "_e").agg(F.sum("c").alias("c"))
 
 
 def _interval_counts(facts: DataFrame, cohort: DataFrame, s: str, e: str, per_person: DataFrame, fails: DataFrame) -> DataFrame:
@@ -183,6 +198,8 @@ def _matches(facts: DataFrame, cohort: DataFrame, spec: ExtractSpec, params: Par
             cov.withColumnRenamed("person_id", "_pid"),
             (F.col(spec.person_col) == F.col("_pid")) & (F.col(spec.date_col) == F.col("_day")),
         ).select(*facts.columns, F.col("k").alias("_k"))
+    if overlap == "interval":  # an open visit has no end that a record could start before
+        cohort = cohort.where(F.col("visit_end_date").isNotNull())
     per_person = broadcast_checked(cohort.groupBy("person_id").agg(F.count(F.lit(1)).alias("_n")))
     if spec.window == "person":
         return facts.join(per_person, spec.person_col).select(*facts.columns, F.col("_n").alias("_k"))

@@ -8,8 +8,8 @@ Scale notes:
   spreads a key held by most persons over the shuffle;
 * percentiles and ranks of the persons x concepts grid are computed from per-concept
   histograms of the non-zero counts plus an implicit zero bucket (``N - persons with a
-  record``), so neither the dense grid nor a window over all persons of a concept is built.
-  The dense grid stays available as ``count_grid`` because the reference outputs it.
+  record``), so neither the dense grid nor a window over all persons of a concept is built;
+  the grid itself is given as its non-zero cells and one row for the zeros of each concept.
 """
 
 from __future__ import annotations
@@ -25,11 +25,6 @@ from cohortkit.operators.intervals import day_coverage
 from cohortkit.plans.broadcast import broadcast_checked
 
 
-# The dense grid repeats every person once per registry concept of a domain; the concept list is
-# bounded by the registry's concept set and is checked against this bound before it is expanded.
-MAX_GRID_CONCEPTS = 100_000
-
-
 def _n_persons(person: DataFrame) -> Column:
     return person.agg(F.countDistinct("person_id")).scalar()
 
@@ -93,25 +88,16 @@ def sparse_counts(fact: DataFrame, closure: DataFrame, person: DataFrame, concep
 
 
 def count_grid(fact: DataFrame, closure: DataFrame, person: DataFrame, concept_col: str, grain: str = "ancestor") -> DataFrame:
-    """The dense persons x concepts grid with zeros. Output size is persons x concepts by
-    definition; each person row is expanded with the (small, registry-bounded) concept list,
-    so the work is spread over the person partitions."""
-    keys, _ = _grid_keys(closure, grain)
-    keys = keys.distinct().persist()
-    n_keys = keys.count()
-    if n_keys > MAX_GRID_CONCEPTS:
-        raise ValueError(f"{n_keys} registry concepts: the dense grid would hold persons x {n_keys} rows; "
-                         "use rank_percentiles / sparse_counts instead")
-    clist = keys.agg(F.collect_list(F.struct(F.col("_gk").alias("concept_id"), "concept_name")).alias("a")).scalar()
-    dense = person.select("person_id").select("person_id", F.explode(clist).alias("_k")).select(
-        "person_id", F.col("_k.concept_id").alias("concept_id"), F.col("_k.concept_name").alias("concept_name")
-    )
-    # the non-zero cells are few next to the dense side: broadcast them (measured) so the dense
-    # rows are produced and joined where their person partition already is
-    sc = broadcast_checked(sparse_counts(fact, closure, person, concept_col, grain))
-    return dense.join(sc, ["person_id", "concept_id", "concept_name"], "left").select(
-        "person_id", "concept_id", "concept_name", F.coalesce("concept_count", F.lit(0)).cast("long").alias("concept_count")
-    )
+    """The persons x concepts grid of counts, without writing its zeros one by one: a row per
+    non-zero cell (``persons`` = 1) and, per concept, one row with a null person_id and count 0
+    that stands for ``persons`` cells. No row is left out; the dense form would be persons x concepts."""
+    cells = sparse_counts(fact, closure, person, concept_col, grain)
+    rows = person.agg(F.countDistinct("person_id")).scalar()
+    zeros = count_histogram(cells, closure, rows, grain).where("concept_count = 0")
+    return cells.select(
+        F.col("person_id"), "concept_id", "concept_name", F.col("concept_count").cast("long").alias("concept_count"), F.lit(1).cast("long").alias("persons"),
+    ).unionByName(zeros.select(
+        F.lit(None).cast(person.schema["person_id"].dataType).alias("person_id"), "concept_id", "concept_name", "concept_count", F.col("n").alias("persons")))
 
 
 def count_histogram(sparse: DataFrame, closure: DataFrame, n_rows: Column, grain: str = "ancestor") -> DataFrame:
@@ -132,12 +118,11 @@ def count_histogram(sparse: DataFrame, closure: DataFrame, n_rows: Column, grain
 
 
 def rank_counts(fact: DataFrame, closure: DataFrame, person: DataFrame, concept_col: str, grain: str = "ancestor") -> DataFrame:
-    """(concept_name, concept_id, concept_count, rownumber) - every grid row ranked by count
-    within its concept. Rows of equal count are interchangeable, so each histogram bucket
-    expands to its rank range."""
+    """The grid ranked by count within its concept, as (concept_name, concept_id, concept_count, lo,
+    hi): cells of equal count are interchangeable and take the ranks lo to hi."""
     rows = person.agg(F.countDistinct("person_id")).scalar()
     h = count_histogram(sparse_counts(fact, closure, person, concept_col, grain), closure, rows, grain)
-    return h.select("concept_name", "concept_id", "concept_count", F.explode(F.sequence("lo", "hi")).alias("rownumber"))
+    return h.select("concept_name", "concept_id", "concept_count", "lo", "hi")
 
 
 def rank_percentiles(fact: DataFrame, closure: DataFrame, person: DataFrame, concept_col: str,

@@ -42,7 +42,7 @@ def _per_person_stats(df: DataFrame, keys: list[str], mean_name: str) -> DataFra
     per = df.groupBy(*keys, "person_id").agg(F.count(F.lit(1)).alias("_n"))
     return per.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("unique_person_count"),
-        round_ratio(F.sum("_n"), F.count(F.lit(1))).alias(mean_name),
+        (F.sum("_n") / F.count(F.lit(1))).alias(mean_name),
     )
 
 
@@ -84,7 +84,7 @@ def ancestor_profile(fact: DataFrame, concept_ancestor: DataFrame, concept: Data
     )
     per = keyed.groupBy("concept_id", "concept_name", source_col, "person_id").agg(F.sum("_n").alias("_n"))
     agg = per.groupBy("concept_id", "concept_name", source_col).agg(
-        F.count(F.lit(1)).alias("unique_person_count"), round_ratio(F.sum("_n"), F.count(F.lit(1))).alias(mean_name)
+        F.count(F.lit(1)).alias("unique_person_count"), (F.sum("_n") / F.count(F.lit(1))).alias(mean_name)
     )
     return agg.select(
         "concept_id", "concept_name", source_col, "unique_person_count",
@@ -113,9 +113,10 @@ def demographics(person: DataFrame, age: DataFrame) -> DataFrame:
 
 
 def death_info(death: DataFrame, concept: DataFrame) -> DataFrame:
-    """Death with the cause's name (left join)."""
-    c = concept.select(F.col("concept_id").alias("cause_concept_id"), F.col("concept_name").alias("cause_of_death"))
-    return death.join(c, "cause_concept_id", "left").select("person_id", "death_date", "cause_source_value", "cause_of_death")
+    """Death with the cause's name (left join). Only the names of causes that occur are looked
+    up, and joined to the deaths without shuffling them by cause."""
+    c = concept_slice(concept, death.select(F.col("cause_concept_id").alias("concept_id"))).select(F.col("concept_id").alias("cause_concept_id"), F.col("concept_name").alias("cause_of_death"))
+    return death.join(broadcast_checked(c), "cause_concept_id", "left").select("person_id", "death_date", "cause_source_value", "cause_of_death")
 
 
 def stay(visits: DataFrame, first: DataFrame) -> DataFrame:
@@ -146,9 +147,9 @@ def share(demo: DataFrame, concept: DataFrame, concept_col: str, label: str) ->
 
 def _share_counts(demo: DataFrame, concept: DataFrame, concept_col: str, label: str) -> tuple[DataFrame, Column]:
     c = concept.select(F.col("concept_id").alias(concept_col), F.col("concept_name").alias(label))
-    joined = demo.join(c, concept_col)
-    counts = joined.groupBy(label).agg(F.count(F.lit(1)).alias("count"))
-    return counts, joined.agg(F.count(F.lit(1))).scalar()
+    by_id = demo.groupBy(concept_col).agg(F.count(F.lit(1)).alias("_n")).join(c, concept_col)
+    counts = by_id.groupBy(label).agg(F.sum("_n").alias("count"))
+    return counts, by_id.agg(F.sum("_n")).scalar()
 
 
 def death_summary(info: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ over the driver's pre-registered tables (part, orders, lineitem, customer, natio
 
 from __future__ import annotations
 
+import re
+
 # Views in dependency order. Names are prefixed ``ck_`` so they never shadow a driver table.
 VIEWS: list[tuple[str, str]] = [
     (
@@ -210,6 +212,13 @@ VIEWS: list[tuple[str, str]] = [
 
 
 def with_views(query: str, *extra: tuple[str, str]) -> str:
-    """Prefix a query with every fixture view, then the query's own CTEs ``extra``."""
-    ctes = ",\n".join(f"{name} AS ({body}\n)" for name, body in [*VIEWS, *extra])
-    return f"WITH {ctes}\n{query}"
+    """Prefix a query with those fixture views and CTEs of ``extra`` that it reaches, in their order."""
+    bodies = dict([*VIEWS, *extra])
+    reached: set[str] = set()
+    todo = [query]
+    while todo:
+        new = set(re.findall(r"\w+", todo.pop())) & bodies.keys() - reached
+        reached |= new
+        todo += [bodies[name] for name in new]
+    ctes = ",\n".join(f"{name} AS ({body}\n)" for name, body in bodies.items() if name in reached)
+    return f"WITH {ctes}\n{query}" if ctes else query

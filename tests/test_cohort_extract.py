@@ -243,3 +243,35 @@ def test_binned_band_join_pairs_match_brute_force(spark):
         assert got == want, width
         semi = binned_band_join(fdf, idf, "person_id", "d", F.col("lo"), F.col("hi"), how="left_semi", width=width)
         assert sorted(r[0] for r in semi.select("fid").collect()) == sorted(want)
+
+
+def test_condition_overlap_with_open_visits(spark):
+    """A visit without an end matches by its start only, in both overlap modes."""
+    day = lambda n: D(2020, 1, 1) + dt.timedelta(days=n)
+    visits = [(1, day(10), None), (1, day(10), None), (1, day(20), day(25)), (2, day(5), None), (3, day(0), day(3)), (4, day(30), day(28))]
+    facts = []
+    for p in (1, 2, 3, 4, 5):
+        for s in range(-5, 40, 3):
+            for e in (None, s, s + 4, s - 2):
+                facts.append((len(facts), p, day(s), None if e is None else day(e)))
+    facts.append((len(facts), 1, day(-356), day(-352)))
+    coh = cohort_df(spark, [(p, 100 + i, s, e) for i, (p, s, e) in enumerate(visits)])
+    cond = table(spark, "condition_occurrence", [
+        {"condition_occurrence_id": i, "person_id": p, "condition_concept_id": 5, "condition_start_date": s, "condition_end_date": e}
+        for i, p, s, e in facts])
+    cs, ca = concept_set_df(spark, [(5, "C", "Condition", True)]), ancestor_df(spark, [(5, 5, 0)])
+
+    def matches(either):
+        out = {}
+        for i, p, s, e in facts:
+            n = 0
+            for q, vs, ve in visits:
+                starts, ends = ve is not None and s < ve, e is None or e > vs
+                n += q == p and ((starts or ends) if either else (starts and ends))
+            if n:
+                out[i] = n
+        return out
+
+    assert count_by(X.extract(cond, coh, X.SPECS["condition_occurrence"], P, cs, ca, None), "condition_occurrence_id") == matches(True)
+    interval = X.extract(cond, coh, X.SPECS["condition_occurrence"], P, cs, ca, None, overlap="interval")
+    assert count_by(interval, "condition_occurrence_id") == matches(False)

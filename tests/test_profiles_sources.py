@@ -34,10 +34,13 @@ def test_percentiles_and_ranks_match_dense_grid(spark, n_persons):
     counts = {p: {1: p % 3, 2: (p * 7) % 4} for p in range(0, n_persons, 2)}
     person, meas, closure = _grid_inputs(spark, n_persons, counts)
     grid = PR.count_grid(meas, closure, person, "measurement_concept_id")
-    assert grid.count() == n_persons
-    dense = sorted(r["concept_count"] for r in grid.collect())
+    cells = grid.collect()
+    assert {r["person_id"]: r["concept_count"] for r in cells if r["person_id"] is not None} == {
+        p: sum(per.values()) for p, per in counts.items() if sum(per.values())}
+    dense = sorted(r["concept_count"] for r in cells for _ in range(r["persons"]))
+    assert len(dense) == n_persons
     ranks = PR.rank_counts(meas, closure, person, "measurement_concept_id")
-    assert sorted((r["rownumber"], r["concept_count"]) for r in ranks.collect()) == list(enumerate(dense, start=1))
+    assert sorted((k, r["concept_count"]) for r in ranks.collect() for k in range(r["lo"], r["hi"] + 1)) == list(enumerate(dense, start=1))
     pct = PR.rank_percentiles(meas, closure, person, "measurement_concept_id").first()
     for q in (25, 50, 75, 95):
         k = q * n_persons // 100

@@ -20,7 +20,7 @@ def _skewed(spark, n_facts=900):
     base = D(2020, 1, 1)
     day = lambda n: base + dt.timedelta(days=n)
     visits = []
-    for p in range(1, 7):
+    for p in range(1, HOT + 1):
         k = 12 if p == HOT else 4
         for _ in range(k):
             s = rnd.randint(0, 300)
@@ -52,6 +52,7 @@ def test_hot_person_extracts_are_exact(spark):
         if k:
             want[i] = k
     assert got == want
+    assert sum(1 for i in want if facts[i][1] == HOT) > 50  # the hot person takes part
 
     cond = table(spark, "condition_occurrence", [
         {"condition_occurrence_id": i, "person_id": p, "condition_concept_id": 5, "condition_start_date": s,
@@ -85,7 +86,7 @@ def test_hot_person_fact_join_is_keyed_by_day(spark):
 
 def test_hot_person_deid_keeps_one_shift(spark):
     visits, facts = _skewed(spark, 300)
-    persons = table(spark, "person", [{"person_id": p, "gender_concept_id": 8507} for p in range(1, 7)])
+    persons = table(spark, "person", [{"person_id": p, "gender_concept_id": 8507} for p in range(1, HOT + 1)])
     pmap = DE.person_map(persons, "salt", D(2024, 1, 1))
     cond = table(spark, "condition_occurrence", [
         {"condition_occurrence_id": i, "person_id": p, "condition_concept_id": 5, "condition_start_date": s}
@@ -96,4 +97,6 @@ def test_hot_person_deid_keeps_one_shift(spark):
     src = {i: s for i, _, s, _ in facts}
     for r in out.collect():
         shifts.setdefault(r["person_id"], set()).add((r["condition_start_date"] - src[r["condition_occurrence_id"]]).days)
-    assert len(shifts) == 6 and all(len(v) == 1 for v in shifts.values())
+    assert len(shifts) == HOT and all(len(v) == 1 for v in shifts.values())
+    hot = {r["id"] for r in pmap.where(f"source_key = {HOT}").collect()}
+    assert sum(r["person_id"] in hot for r in out.collect()) == 100
