@@ -10,27 +10,6 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def add_days(c: str | Column, n: int | Column) -> Column:
-    """DATEADD(DAY, n, date)."""
-    return F.date_add(col(c), n if isinstance(n, Column) else F.lit(int(n)))
-
-
-def add_days_ts(c: str | Column, n: int | Column) -> Column:
-    """DATEADD(DAY, n, datetime): keeps the time of day."""
-    days = n if isinstance(n, Column) else F.lit(int(n))
-    return col(c) + F.make_dt_interval(days.cast("int"))
-
-
-def add_years(c: str | Column, n: int) -> Column:
-    """DATEADD(YEAR, n, date); Feb 29 clamps to Feb 28 as in the reference."""
-    return F.add_months(col(c), 12 * int(n))
-
-
-def days_between(start: str | Column, end: str | Column) -> Column:
-    """DATEDIFF(DAY, start, end) = end - start, on dates (never on timestamps)."""
-    return F.datediff(F.to_date(col(end)), F.to_date(col(start)))
-
-
 def to_ts(c: str | Column) -> Column:
     """Date as a time-zone-free timestamp at midnight."""
     return col(c).cast("timestamp_ntz")

@@ -114,5 +114,5 @@ def cohort_attrition(events: DataFrame, index: DataFrame, cohort: DataFrame) ->
 
 
 def preview(df: DataFrame, n: int = 100) -> DataFrame:
-    """First n rows, unordered, as the reference's TOP n."""
-    return df.limit(n)
+    """The first n rows in the order of all columns (person, visit, dates)."""
+    return df.orderBy(*df.columns).limit(n)

@@ -31,6 +31,8 @@ from cohortkit.schemas import conform
 
 def person_map(person: DataFrame, salt: str, as_of: dt.date, max_shift: int = 183, over_age: int = 89) -> DataFrame:
     """(source_key, id, date_shift, over_89_birth_year)."""
+    if not salt or as_of is None:
+        raise ValueError("de-identification needs a secret salt and an as-of date")
     keys = person.select(F.col("person_id").alias("source_key"), "gender_concept_id").distinct()
     numbered = row_number_global(keys, [F.col("gender_concept_id").desc(), F.col("source_key").desc()], "id")
     return numbered.select(

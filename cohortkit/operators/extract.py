@@ -278,16 +278,3 @@ def extract(
     times = F.col("_k") * (F.col("n_anc") if n_anc is not None else F.lit(1))
     out = replicate(m, times)
     return suppress_source_values(out.select(*cols), spec.suppress)
-
-
-def extract_all(tables: dict[str, DataFrame], cohort: DataFrame, params: Params, multiplicity: str = "reference") -> dict[str, DataFrame]:
-    """All nine registry tables from the source tables (keys as in ``SPECS``) and the vocabulary
-    (``concept``, ``concept_ancestor``, ``concept_set``)."""
-    return {
-        name: extract(
-            tables[name], cohort, spec, params,
-            concept_set=tables["concept_set"], concept_ancestor=tables["concept_ancestor"],
-            concept=tables["concept"], multiplicity=multiplicity,
-        )
-        for name, spec in SPECS.items()
-    }

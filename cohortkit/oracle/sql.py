@@ -142,6 +142,9 @@ def oracle_queries(p: Params = FIXTURE_PARAMS) -> dict[str, str]:
     q["cohort_index_visits"] = with_views(
         "SELECT person_id, visit_occurrence_id, visit_start_date, visit_end_date, diagnosis_date FROM o_inpat", *base
     )
+    order = ("person_id", "visit_occurrence_id", "visit_start_date", "visit_end_date", "birth_date", "death_date")
+    q["cohort_preview"] = with_views(
+        "SELECT * FROM o_cohort ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in order) + " LIMIT 100", *base)
     q["cohort_build"] = with_views("SELECT * FROM o_cohort", *base)
     q["cohort_attrition"] = with_views(
         """SELECT 'qualifying_events' AS step, COUNT(DISTINCT person_id) AS persons, CAST(NULL AS BIGINT) AS visits,
@@ -288,6 +291,8 @@ def generalise_and_deid_queries(p: Params = FIXTURE_PARAMS) -> dict[str, str]:
             *ctes,
         )
         q[f"rare_rewrite_{tag}"] = with_views(f"SELECT * FROM o_rare_removed_{tag}", *ctes)
+    q["rare_dropped_m10"] = with_views("""SELECT x.condition_concept_id, count(*) AS dropped_records FROM o_x_condition_occurrence x
+        WHERE NOT EXISTS (FROM o_choice_m10 k WHERE k.original_concept_id = x.condition_concept_id) GROUP BY ALL""", *ctes)
     q["rare_concept_counts"] = with_views("SELECT * FROM o_orig_counts_m10", *ctes)
     q["deid_person_map"] = with_views("SELECT * FROM o_pmap", *ctes)
     q["deid_visit_map"] = with_views("SELECT * FROM o_vmap", *ctes)

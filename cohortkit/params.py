@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 
 @dataclass(frozen=True)
@@ -24,13 +24,12 @@ class Params:
     # de-identification
     deid_start: dt.date = dt.date(2016, 1, 1)
     deid_end: dt.date = dt.date(2029, 12, 31)
-    as_of: dt.date = field(default_factory=dt.date.today)
-    salt: str = "change-me"
+    as_of: dt.date | None = None  # must be given: reruns would differ with the day
+    salt: str = ""               # must be given: with a known salt every shift can be computed anew
     max_shift: int = 183
     over_age: int = 89
     # profiles
     unmapped_min_count: int = 20
-    percentiles: tuple[int, ...] = (25, 50, 75, 95)
 
     def with_(self, **kw) -> "Params":
         return replace(self, **kw)

@@ -177,6 +177,7 @@ for _m in (10, 25):
     )
     query(f"rare_map_m{_m}")(lambda c, m=_m: c.rare_map(m))
     query(f"rare_rewrite_m{_m}")(lambda c, m=_m: c.rare_removed(m))
+query("rare_dropped_m10")(lambda c: G.dropped_facts(c.extract("condition_occurrence"), c.rare_map(10)))
 query("rare_concept_counts")(lambda c: G.concept_person_counts(G.person_concepts(c.extract("condition_occurrence")), c.v.concept))
 
 # ---------------------------------------------------------------- de-identification

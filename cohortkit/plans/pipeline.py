@@ -20,7 +20,9 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
+import re
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,6 +35,7 @@ from cohortkit.operators import profile as PR
 from cohortkit.operators import quality as Q
 from cohortkit.operators import summary as S
 from cohortkit.params import FIXTURE_PARAMS, Params
+from cohortkit.schemas import violations
 
 FACT_DATE = {
     "measurement": "measurement_date", "drug_exposure": "drug_exposure_start_date", "observation": "observation_date",
@@ -62,12 +65,16 @@ def run_registry(
     output: str,
     multiplicity: str = "reference",
     ingredients: tuple[int, ...] = (),
+    existing_visits: DataFrame | None = None,
 ) -> dict[str, str]:
     """Run the whole registry build; returns {table name: path}.
 
     ``tables`` holds the OMOP sources (person, visit_occurrence, condition_occurrence,
     procedure_occurrence, drug_exposure, device_exposure, measurement, observation, death,
-    concept, concept_ancestor) and the registry ``concept_set``."""
+    concept, concept_ancestor) and the registry ``concept_set``. ``existing_visits`` is the visit map of
+    the last run: its visits keep their ids and new ones are numbered after them."""
+    if not params.salt or params.as_of is None:
+        raise ValueError("a run needs a secret salt and an as-of date")
     w = Writer(spark, output)
     t = tables
     # 01: cohort
@@ -80,6 +87,7 @@ def run_registry(
         df = X.extract(t[name], cohort, spec, params, t["concept_set"], t["concept_ancestor"], t["concept"], multiplicity)
         sort = ["person_id"] + ([FACT_DATE[name]] if name in FACT_DATE else [])
         reg[name] = w(f"registry_{name}", df, sort=sort)
+    w("contract_violations", reduce(DataFrame.unionByName, [violations(reg[name], name) for name in X.SPECS]))
     # 03: rare-concept generalisation
     rmap = w("rare_concept_map", G.rare_concept_map(reg["condition_occurrence"], t["concept_ancestor"], t["concept"], params.min_count))
     w("rare_concept_dropped", G.dropped_facts(reg["condition_occurrence"], rmap))
@@ -87,7 +95,7 @@ def run_registry(
              sort=["person_id", "condition_start_date"])
     # 04/05: key maps (written before any table uses them) and de-identified tables
     pmap = w("person_map", D.person_map(reg["person"], params.salt, params.as_of, params.max_shift, params.over_age))
-    vmap = w("visit_map", D.visit_map(reg["visit_occurrence"], pmap, params.deid_start, params.deid_end))
+    vmap = w("visit_map", D.visit_map(reg["visit_occurrence"], pmap, params.deid_start, params.deid_end, existing_visits))
     deid = {"person": w("deid_person", D.deid_person(reg["person"], pmap, params.as_of, params.over_age), sort=["person_id"])}
     for name, spec in D.DEID_SPECS.items():
         src = cond if name == "condition_occurrence" else reg[name]
@@ -131,7 +139,9 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--concept-set", help="registry concept-set CSV")
     ap.add_argument("--fixture", help="use the clinical view of a star-schema test folder instead")
     ap.add_argument("--output", required=True)
-    ap.add_argument("--salt")
+    ap.add_argument("--salt", help="secret of the date shifts (required, but for --fixture)")
+    ap.add_argument("--ingredients", default="", help="comma-separated ingredient concept ids of the route profile")
+    ap.add_argument("--previous", help="folder of the last run, whose visit ids are kept")
     ap.add_argument("--start", type=_date)
     ap.add_argument("--end", type=_date)
     ap.add_argument("--as-of", type=_date)
@@ -139,7 +149,12 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--master", default=None, help="local[N] for a local run; omit under spark-submit")
     a = ap.parse_args(argv)
 
-    spark = local_session() if a.master else SparkSession.builder.appName("cohortkit-registry").getOrCreate()
+    cores = re.fullmatch(r"local\[(\d+)\]", a.master or "")
+    if a.master and not cores:
+        ap.error("--master must be local[N]; on a cluster leave it to spark-submit")
+    if not a.fixture and not (a.salt and a.as_of):
+        ap.error("--salt and --as-of are required")
+    spark = local_session(cores=int(cores[1])) if cores else SparkSession.builder.appName("cohortkit-registry").getOrCreate()
     if a.fixture:
         from cohortkit.sources.fixtures import clinical_view
 
@@ -157,7 +172,9 @@ def main(argv: list[str] | None = None) -> None:
     }.items() if v is not None}
     params = params.with_(**over)
     out = a.output.rstrip("/") + f"/run-{uuid.uuid4().hex[:8]}"
-    written = run_registry(spark, tables, params, out)
+    existing = spark.read.parquet(f"{a.previous.rstrip('/')}/visit_map") if a.previous else None
+    ingredients = tuple(int(x) for x in a.ingredients.split(",") if x.strip())
+    written = run_registry(spark, tables, params, out, ingredients=ingredients, existing_visits=existing)
     for name, path in written.items():
         print(f"{name}\t{path}")
 

@@ -2,6 +2,7 @@
 
 import uuid
 
+import pytest
 from conftest import SF001
 
 import __spark_entry__ as entry
@@ -27,3 +28,23 @@ def test_pipeline_matches_queries(spark):
         got = spark.read.parquet(written[table])
         want = q[query](spark, SF001)
         assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0, table
+
+
+def test_second_run_keeps_visit_ids(spark):
+    root = f"{ensure_checkpoint_dir(spark)}/pipeline-test-{uuid.uuid4().hex[:8]}"
+    tables = clinical_view(spark, SF001).as_dict()
+    early = {**tables, "visit_occurrence": tables["visit_occurrence"].where("visit_occurrence_id % 3 <> 0")}
+    first = run_registry(spark, early, FIXTURE_PARAMS, f"{root}/1")
+    old = spark.read.parquet(first["visit_map"])
+    second = run_registry(spark, tables, FIXTURE_PARAMS, f"{root}/2", existing_visits=old)
+    new = {r.source_key: r.new_id for r in spark.read.parquet(second["visit_map"]).collect()}
+    before = {r.source_key: r.new_id for r in old.collect()}
+    assert before and len(new) > len(before) and {k: new[k] for k in before} == before
+    assert sorted(new.values()) == list(range(1, len(new) + 1))
+    assert "contract_violations" in second
+
+
+def test_salt_and_date_are_required(spark):
+    for params in (FIXTURE_PARAMS.with_(salt=""), FIXTURE_PARAMS.with_(as_of=None)):
+        with pytest.raises(ValueError, match="salt"):
+            run_registry(spark, {}, params, "/nowhere")
