@@ -217,7 +217,7 @@ def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
     wide = stages.put("wide", members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
     members = stages.put("members", semi_join(members, wide, "bucket"))
     nodes = stages.put("nodes", classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "sketch"))
-    sets = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    sets = semi_join(docs, nodes.select(F.col("node").alias("doc_id")), "doc_id")
     sets = stages.put("sets", sets.mapInArrow(_full_sets, "node bigint, shingles binary").dropDuplicates(["node"]))
 
     def confirmed(pairs: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from cohortkit.session import ensure_checkpoint_dir
 # which is the proven bound of every broadcast in this module.
 HEAVY_SHARE = 1 / 1000
 PAIRS_A_MEMBER = 4  # buckets that hold no more pairs in all are compared whole
+EDGES_A_TASK = 100_000
 BROADCAST_ROWS = 2_000_000  # keys of 8 to 16 bytes; beyond it a join shuffles
 
 
@@ -65,31 +66,33 @@ def join_unique(left: DataFrame, right: DataFrame, key: str, cols: list[str], ro
     return out.select(*[F.col(c) for c in left.columns], *[both[c].alias(c) for c in cols])
 
 
-def _edge_state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or has one edge, to a centre."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    ends = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return ends.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
 
 
 def connected_components(stages: Stages, edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node reachable over the undirected ``edges`` (u, v longs).
 
-    Alternating large-star and small-star until the edges no longer change. Every node's smallest
-    neighbour is an aggregate with map-side combine; it is joined back by a plain shuffle join, of
-    which adaptive execution splits a hub's partition."""
+    Alternating large-star and small-star until the edges are stars around the smallest nodes.
+    Every node's smallest neighbour is an aggregate with map-side combine; it is joined back by a
+    plain shuffle join, of which adaptive execution splits a hub's partition. Tables of few edges
+    are written by few tasks."""
     e = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     e = stages.put("edges", e)
-    state = _edge_state(e)
-    while state[0]:
+    tasks = 4 + e.count() // EDGES_A_TASK
+    while not _is_forest_of_stars(e):
         sym = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = sym.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = sym.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        large = stages.put("large-star", large)
+        large = sym.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+        large = stages.put("large-star", large.coalesce(tasks).distinct().coalesce(tasks))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v")
-        e = stages.put("small-star", small.distinct())
-        before, state = state, _edge_state(e)
-        if state == before:
-            break
+        e = stages.put("small-star", small.coalesce(tasks).distinct().coalesce(tasks))
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)
 
