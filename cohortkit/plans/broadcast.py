@@ -27,17 +27,18 @@ def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT) -> DataF
     return F.broadcast(df) if estimated_bytes(df) <= limit_bytes else df
 
 
-DEFAULT_MAX_ROWS = 4_000_000
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, limit_bytes: int = DEFAULT_LIMIT) -> DataFrame:
+def broadcast_checked(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT) -> DataFrame:
     """Broadcast a side whose size is proven small.
 
     First the optimizer's upper bound; when that is inconclusive (joins of vocabulary slices are
-    estimated as the product of their inputs) the side is cached and its rows are counted - a
-    measured bound. Sides above ``max_rows`` are returned as they are and stay shuffle joins
-    (adaptive execution may still convert them from the measured shuffle size)."""
+    estimated as the product of their inputs) the side is cached and its rows are counted, and their
+    number times the width of a row is the measured bound. A side beyond ``limit_bytes`` is not kept
+    in the cache and stays a shuffle join (adaptive execution may still convert it from the measured
+    shuffle size)."""
     if estimated_bytes(df) <= limit_bytes:
         return F.broadcast(df)
     cached = df.persist()
-    return F.broadcast(cached) if cached.count() <= max_rows else cached
+    if cached.count() * max(8, df._jdf.schema().defaultSize()) <= limit_bytes:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df

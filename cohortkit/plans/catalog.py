@@ -293,12 +293,20 @@ query("summary_stay")(lambda c: S.stay_summary(S.stay(c.cohort(), _first(c))))
 query("summary_report")(lambda c: S.summary_report(c.cohort(), c.extract("person"), c.extract("death"), c.v.concept))
 
 
-_CONTEXTS: dict[tuple[str, str], Ctx] = {}
+_CONTEXTS: dict[tuple, Ctx] = {}
+
+
+def _state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the input files: another state is another input."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(sf_dir)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(path)
+    return tuple(sorted((f.getPath().getName(), f.getLen(), f.getModificationTime()) for f in files))
 
 
 def context(spark: SparkSession, sf_dir: str) -> Ctx:
-    """One context per (application, input folder): queries of one run share materialised stages."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    """One context per (application, input folder as it is now): queries of one run share materialised
+    stages."""
+    key = (spark.sparkContext.applicationId, sf_dir, _state(spark, sf_dir))
     ctx = _CONTEXTS.get(key)
     if ctx is None or ctx.spark is not spark:
         ctx = _CONTEXTS[key] = Ctx(spark, sf_dir)
