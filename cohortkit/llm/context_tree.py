@@ -26,7 +26,7 @@ from cohortkit.llm.textops import Texts, text_chunks
 
 DEPTH = 5
 BLOCK_BYTES = 32 << 20
-SHARD_GRAMS = 250_000
+SHARD_GRAMS = 60_000
 END = 0xFF  # not a UTF-8 byte: stands before every text (context) and after it (symbol)
 GRAM, WORD = 0, 1
 LOG_HALF = np.log(0.5)

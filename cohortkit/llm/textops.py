@@ -79,9 +79,14 @@ class Texts:
         return run_hashes(LOWER[self.data] if lower else self.data, self.begins, self.ends)
 
 
-def text_chunks(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
+def text_chunks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, Texts]]:
     """(first row, last row + 1, texts) of a string column; a null text is empty."""
-    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    if isinstance(column, pa.ChunkedArray):
+        before = 0
+        for chunk in column.chunks:
+            yield from ((before + a, before + b, texts) for a, b, texts in text_chunks(chunk))
+            before += len(chunk)
+        return
     column = column.cast(pa.large_binary()).fill_null(b"")
     offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
     data = np.frombuffer(column.buffers()[2], np.uint8) if column.buffers()[2] is not None else np.zeros(0, np.uint8)
