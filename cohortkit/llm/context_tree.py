@@ -25,8 +25,9 @@ from cohortkit.llm.tables import Stages
 from cohortkit.llm.textops import Texts, text_chunks
 
 DEPTH = 5
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 24 << 20
 SHARD_GRAMS = 60_000
+HELD_KEYS = 1_000_000  # keys of several chunks a task holds before it adds them up
 END = 0xFF  # not a UTF-8 byte: stands before every text (context) and after it (symbol)
 GRAM, WORD = 0, 1
 LOG_HALF = np.log(0.5)
@@ -71,6 +72,9 @@ def _vocabulary(depth: int):
                 weight = np.repeat(train[a:b], np.diff(ends)).astype(np.float64)
                 parts[kind][0].append(distinct)
                 parts[kind][1].append(np.bincount(where, weights=weight, minlength=len(distinct)))
+                if sum(map(len, parts[kind][0])) > HELD_KEYS:
+                    key, n = _counted(*parts[kind])
+                    parts[kind] = ([key], [n]) if len(key) < HELD_KEYS // 2 else parts[kind]
         out = []
         for kind, (keys, counts) in parts.items():
             key, n = _counted(keys, counts)
