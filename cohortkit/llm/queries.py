@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from cohortkit.llm import chat, context_tree, fuzzy_lines, minhash, one_bit_ann, packing, quality_lines, segment, separator_scan, warc
+from cohortkit.llm import (chat, context_tree, fill_in_middle, fuzzy_lines, lexical_search, minhash, one_bit_ann, packing, quality_lines, segment,
+                           separator_scan, warc)
 
 QUERIES = {
     "op1_line_frequency": quality_lines.op1_line_frequency,
@@ -15,6 +16,8 @@ QUERIES = {
     "op8_content_addressed_warc": warc.op8_content_addressed_warc,
     "op9_rotated_one_bit": one_bit_ann.op9_rotated_one_bit,
     "op10_n_best_segmentation": segment.op10_n_best_segmentation,
+    "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op13_ranked_lexical_search": lexical_search.op13_ranked_lexical_search,
 }
 
 ORACLE_SQL = {
@@ -22,4 +25,6 @@ ORACLE_SQL = {
     "op7_chat_formatting": chat.ORACLE,
     "op8_content_addressed_warc": warc.ORACLE,
     "op9_rotated_one_bit": one_bit_ann.ORACLE,
+    "op11_fill_in_middle": fill_in_middle.ORACLE,
+    "op13_ranked_lexical_search": lexical_search.ORACLE,
 }

@@ -1,7 +1,7 @@
 """Words of many texts at once: numpy over the UTF-8 bytes of an Arrow column.
 
-A word is a run of bytes other than space and the controls 9 to 13 (``[^\\x20\\x09-\\x0D]+``); only
-A-Z are lower-cased. Words, lines and shingles are known by 64-bit hashes.
+A word is a run of bytes other than space and the controls 9 to 13 (``[^\\x20\\x09-\\x0D]+``), or other
+than those of a table of one's own; only A-Z are lower-cased. Words, lines and shingles are known by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -53,9 +53,9 @@ def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 class Texts:
     """Some texts: their bytes, the words' bounds, and the first word of each text."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray):
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, gap: np.ndarray = SPACE):
         self.data, self.bounds = data, bounds
-        word = ~SPACE[data]
+        word = ~gap[data]
         edge = np.diff(word.astype(np.int8))
         begins = np.flatnonzero(edge == 1) + 1
         if len(word) and word[0]:
@@ -79,12 +79,12 @@ class Texts:
         return run_hashes(LOWER[self.data] if lower else self.data, self.begins, self.ends)
 
 
-def text_chunks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int, Texts]]:
+def text_chunks(column: pa.Array | pa.ChunkedArray, gap: np.ndarray = SPACE) -> Iterator[tuple[int, int, Texts]]:
     """(first row, last row + 1, texts) of a string column; a null text is empty."""
     if isinstance(column, pa.ChunkedArray):
         before = 0
         for chunk in column.chunks:
-            yield from ((before + a, before + b, texts) for a, b, texts in text_chunks(chunk))
+            yield from ((before + a, before + b, texts) for a, b, texts in text_chunks(chunk, gap))
             before += len(chunk)
         return
     column = column.cast(pa.large_binary()).fill_null(b"")
@@ -93,7 +93,7 @@ def text_chunks(column: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, int,
     at = 0
     while at < len(column):
         to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + CHUNK_BYTES, "right")) - 1)
-        yield at, to, Texts(data[offsets[at]:offsets[to]], (offsets[at:to + 1] - offsets[at]).astype(np.int64))
+        yield at, to, Texts(data[offsets[at]:offsets[to]], (offsets[at:to + 1] - offsets[at]).astype(np.int64), gap)
         at = to
 
 
