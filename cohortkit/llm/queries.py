@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohortkit.llm import (chat, context_tree, fill_in_middle, fuzzy_lines, lexical_search, minhash, one_bit_ann, packing, quality_lines, segment,
+from cohortkit.llm import (chat, context_tree, fill_in_middle, fuzzy_lines, lexical_search, minhash, ngram_join, one_bit_ann, packing, quality_lines, segment,
                            separator_scan, warc)
 
 QUERIES = {
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_rotated_one_bit": one_bit_ann.op9_rotated_one_bit,
     "op10_n_best_segmentation": segment.op10_n_best_segmentation,
     "op11_fill_in_middle": fill_in_middle.op11_fill_in_middle,
+    "op12_ngram_jaccard_join": ngram_join.op12_ngram_jaccard_join,
     "op13_ranked_lexical_search": lexical_search.op13_ranked_lexical_search,
 }
 
