@@ -3,15 +3,16 @@
 * person map: new id by (gender desc, person_id desc); date shift uniform in [-max_shift,
   max_shift] and a replacement birth year for the very old, both keyed on a secret salt (see
   ``functions.keyed``), so a retry or a re-run never shifts two tables of one person apart.
-* visit map: new id by visit id for visits whose shifted interval lies in [START, END]; visits
-  already mapped are skipped and numbering continues after the existing maximum (Q20).
+* visit map: new id by visit id for visits whose shifted interval lies in [START, END].
+* both maps are append-only over refreshes: mapped keys keep their ids (Q20), new ones are numbered after
+  the highest id ever given (``key_map``).
 * every date moves by the person's shift; datetimes are shifted (visit, condition) or rebuilt
   from the shifted date (others, Q18); provider and site ids become 1; a window filter keeps
   rows inside [START, END] - inclusive for visits, exclusive elsewhere (Q16); the visit id is
   replaced through a left join, so facts of unmapped visits keep a null visit (O34).
 
 The maps are joined by key: the person map is one row per cohort person, the visit map one row
-per cohort visit; adaptive execution broadcasts them when their measured size allows.
+per cohort visit. They are broadcast when their measured size allows, else split by heavy persons.
 """
 
 from __future__ import annotations
@@ -24,43 +25,42 @@ from pyspark.sql import functions as F
 
 from cohortkit.functions.dates import to_ts
 from cohortkit.functions.keyed import date_shift, replacement_birth_year
-from cohortkit.operators.rownum import row_number_global
-from cohortkit.plans.broadcast import broadcast_checked
+from cohortkit.operators.bag import weight_columns
+from cohortkit.operators.key_map import append_ids
+from cohortkit.plans.broadcast import join_lookup
 from cohortkit.schemas import conform
 
 
-def person_map(person: DataFrame, salt: str, as_of: dt.date, max_shift: int = 183, over_age: int = 89) -> DataFrame:
-    """(source_key, id, date_shift, over_89_birth_year)."""
+def person_map(person: DataFrame, salt: str, as_of: dt.date, max_shift: int = 183, over_age: int = 89,
+               existing: DataFrame | None = None, watermark: int | None = None) -> DataFrame:
+    """(source_key, id, date_shift, over_89_birth_year).
+
+    Persons of ``existing``, the map of the last run, keep their id, shift and birth year, also under another
+    ``as_of``; new ones are numbered after ``watermark`` (``key_map.append_ids``)."""
     if not salt or as_of is None:
         raise ValueError("de-identification needs a secret salt and an as-of date")
     keys = person.select(F.col("person_id").alias("source_key"), "gender_concept_id").distinct()
-    numbered = row_number_global(keys, [F.col("gender_concept_id").desc(), F.col("source_key").desc()], "id")
-    return numbered.select(
+    numbered = append_ids(keys, "source_key", [F.col("gender_concept_id").desc(), F.col("source_key").desc()], "id", existing, watermark)
+    new = numbered.select(
         "source_key",
         "id",
         date_shift(salt, F.col("source_key"), max_shift).alias("date_shift"),
         replacement_birth_year(salt, F.col("source_key"), as_of.year, over_age).alias("over_89_birth_year"),
     )
+    return new if existing is None else existing.select(*new.columns).unionByName(new)
 
 
 def visit_map(
-    visits: DataFrame, pmap: DataFrame, start: dt.date, end: dt.date, existing: DataFrame | None = None
+    visits: DataFrame, pmap: DataFrame, start: dt.date, end: dt.date, existing: DataFrame | None = None, watermark: int | None = None
 ) -> DataFrame:
-    """(source_key, new_id) for visits inside the window after shifting."""
-    s = pmap.select(F.col("source_key").alias("person_id"), "date_shift")
-    cand = visits.join(broadcast_checked(s), "person_id").where(
+    """(source_key, new_id) for visits inside the window after shifting; mapped visits keep their id (Q20)."""
+    s = pmap.select(F.col("source_key").alias("_pkey"), "date_shift")
+    cand = join_lookup(visits, s, "person_id", "_pkey").where(
         (F.date_add("visit_start_date", F.col("date_shift")) >= F.lit(start))
         & (F.date_add("visit_end_date", F.col("date_shift")) <= F.lit(end))
     ).select(F.col("visit_occurrence_id").alias("source_key"))
-    offset = 1
-    if existing is not None:
-        cand = cand.join(existing.select("source_key"), "source_key", "left_anti")
-        top = existing.agg(F.max("new_id")).first()[0]
-        offset = int(top or 0) + 1
-    numbered = row_number_global(cand, [F.col("source_key").asc()], "new_id", start=offset).select("source_key", "new_id")
-    if existing is not None:
-        numbered = existing.select("source_key", "new_id").unionByName(numbered)
-    return numbered
+    new = append_ids(cand, "source_key", [F.col("source_key").asc()], "new_id", existing, watermark).select("source_key", "new_id")
+    return new if existing is None else existing.select("source_key", "new_id").unionByName(new)
 
 
 # ---- generic spec ------------------------------------------------------------------------
@@ -148,16 +148,14 @@ LINKABLE_COLUMNS = ("visit_detail_id", "preceding_visit_occurrence_id", "lot_num
 
 
 def deidentify(fact: DataFrame, pmap: DataFrame, vmap: DataFrame | None, spec: DeidSpec, start: dt.date, end: dt.date,
-               strict: bool = False) -> DataFrame:
-    """One de-identified table in the target contract's column order."""
+               strict: bool = False, limit_bytes: int | None = None) -> DataFrame:
+    """One de-identified table in the target contract's column order. Maps above ``limit_bytes`` are joined
+    by a split join (``broadcast.join_lookup``), records without a visit staying where they are."""
     s = pmap.select(F.col("source_key").alias("_pkey"), F.col("id").alias("_new_pid"), F.col("date_shift").alias("_shift"))
-    j = fact.join(broadcast_checked(s), F.col("person_id") == F.col("_pkey"))
+    j = join_lookup(fact, s, "person_id", "_pkey", limit_bytes=limit_bytes)
     if spec.uses_visit_map and vmap is not None:
-        # a record without a visit gets a negative key of its own instead of null: keys are positive,
-        # so it matches nothing and such records do not meet in one task where the map is shuffled
         v = vmap.select(F.col("source_key").alias("_vkey"), F.col("new_id").alias("_new_vid"))
-        own = F.coalesce(F.col("visit_occurrence_id").cast("long"), -1 - F.monotonically_increasing_id())
-        j = j.withColumn("_vid", own).join(broadcast_checked(v.where("_vkey >= 0")), F.col("_vid") == F.col("_vkey"), "left")
+        j = join_lookup(j, v, "visit_occurrence_id", "_vkey", "left", limit_bytes)
     if spec.window is not None:
         sc, ec = spec.window
         s_shift = _shift(sc)
@@ -194,7 +192,7 @@ def deidentify(fact: DataFrame, pmap: DataFrame, vmap: DataFrame | None, spec: D
         if strict and c in LINKABLE_COLUMNS:
             e = F.lit(None)
         out.append(e.alias(c))
-    return conform(j.select(*out), spec.table)
+    return conform(j.select(*out), spec.table, along=weight_columns(fact))
 
 
 def deid_person(person: DataFrame, pmap: DataFrame, as_of: dt.date, over_age: int = 89) -> DataFrame:

@@ -9,18 +9,14 @@ One function, ``extract``, with a spec per table replaces nine scripts. Window k
 * ``visit``   same (person_id, visit_occurrence_id) and start >= a date  (visit)
 * ``person``  any cohort row of the person                               (person, death)
 
-Multiplicity (§2.3). ``"reference"`` reproduces the bag the reference's joins produce: a record
-repeats once per matching cohort row and once per matching registry ancestor, for the tables the
-reference does not DISTINCT. ``"distinct"`` returns each matching record once. DISTINCT tables
-(person, measurement, observation, visit) give the same rows in both modes, as record ids are
-primary keys.
-
-No mode pairs a fact with cohort rows it does not match. For day-scale bands the number of
-matching cohort rows ``k`` comes from an equi-join on (person_id, day) against a day-coverage
-table; for year-scale windows a binned join on (person_id, 32-day bin) with the exact test as
-residual finds each matching pair once; for the OR overlap ``k`` is ``person's cohort rows - rows
-failing the test`` (only zero-length or reversed intervals can fail it, see
-``_overlap_failures``). The bag is produced by repeating the record ``k`` times.
+Multiplicity (§2.3). The reference's joins produce a bag: a record repeats once per matching cohort row and
+once per matching registry ancestor, for the tables the reference does not DISTINCT. ``"weighted"`` returns each
+record once with that number (``bag.TIMES``), ``"reference"`` the bag itself, ``"distinct"`` each matching
+record once. DISTINCT tables (person, measurement, observation, visit) have no weight, as record ids are primary keys.
+
+No mode pairs a fact with cohort rows. For bands and year windows the number ``k`` of matching cohort rows is a running
+sum of the windows' boundaries (``intervals.count_covering``); for the OR overlap ``k`` is ``person's cohort rows -
+rows failing the test``, which few kinds of records can fail (see ``_overlap_failures``).
 """
 
 from __future__ import annotations
@@ -31,9 +27,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.operators.concepts import concept_multiplicity, expand_concepts
-from cohortkit.operators.intervals import binned_band_join, count_at_or_below, day_coverage, replicate
+from cohortkit.operators.bag import TIMES, expand_bag
+from cohortkit.operators.intervals import BIN_DAYS, count_covering, points, running_count
 from cohortkit.params import Params
-from cohortkit.plans.broadcast import broadcast_checked
+from cohortkit.plans.broadcast import broadcast_checked, join_lookup
 
 
 @dataclass(frozen=True)
@@ -108,28 +105,27 @@ def _window_bounds(spec: ExtractSpec, params: Params) -> tuple[Column, Column]:
 
 
 def _overlap_failures(facts: DataFrame, cohort: DataFrame, s: str, e: str) -> DataFrame:
-    """(person_id, _s, _e, c): number of cohort rows failing ``s < ve OR e > vs OR e IS NULL``.
+    """(person_id, _s, _e, c): number of closed cohort rows failing ``s < ve OR e > vs OR e IS NULL``.
 
     A row fails when ve <= s and vs >= e. For a well-formed visit (vs <= ve) that needs
     e <= vs <= ve <= s, so only facts with e <= s (zero-length or reversed) can fail, and only
-    against visits starting inside [e, s]: those facts' ranges are expanded to days and joined on
-    (person_id, visit_start_date). Malformed visits (vs > ve) are rare; only facts of persons who
-    have one are paired with them. An open visit (no end) can only match by its start, so it fails
-    when vs >= e: a person's open starts form one sorted list with counts (one entry a calendar
-    day at most), against which each distinct record end is counted. The result is keyed by (person, s, e).
+    against visits starting inside [e, s]: those facts are joined by the bins of that span, with the exact
+    test as residual. Malformed visits (vs > ve) are rare; only facts of persons who have one are paired
+    with them. The result is keyed by (person, s, e).
     """
+    day_bin = lambda c: F.floor(F.unix_date(c) / BIN_DAYS).cast("int")
     wf = cohort.where(F.col("visit_start_date") <= F.col("visit_end_date")).groupBy(
         "person_id", "visit_start_date", "visit_end_date"
-    ).agg(F.count(F.lit(1)).alias("_n"))
+    ).agg(F.count(F.lit(1)).alias("_n")).withColumn("_bin", day_bin("visit_start_date"))
     cand = (
         facts.where(F.col(e).isNotNull() & (F.col(e) <= F.col(s)))
         .select("person_id", F.col(s).alias("_s"), F.col(e).alias("_e"))
         .distinct()
-        .select("person_id", "_s", "_e", F.explode(F.sequence("_e", "_s")).alias("visit_start_date"))
+        .select("person_id", "_s", "_e", F.explode(F.sequence(day_bin("_e"), day_bin("_s"))).alias("_bin"))
     )
     fail_wf = (
-        cand.join(wf, ["person_id", "visit_start_date"])
-        .where(F.col("visit_end_date") <= F.col("_s"))
+        cand.join(wf, ["person_id", "_bin"])
+        .where((F.col("visit_start_date") >= F.col("_e")) & (F.col("visit_end_date") <= F.col("_s")))
         .groupBy("person_id", "_s", "_e")
         .agg(F.sum("_n").alias("c"))
     )
@@ -148,73 +144,48 @@ def _overlap_failures(facts: DataFrame, cohort: DataFrame, s: str, e: str) -> Da
         .groupBy("person_id", "_s", "_e")
         .agg(F.count(F.lit(1)).alias("c"))
     )
-    starts = cohort.where(F.col("visit_end_date").isNull() & F.col("visit_start_date").isNotNull()).groupBy("person_id", "visit_start_date").agg(
-        F.count(F.lit(1)).alias("_n"))
-    starts = starts.groupBy("person_id").agg(F.collect_list(F.struct("visit_start_date", "_n")).alias("_open"))
-    later = F.aggregate(
-        "_open", F.lit(0).cast("long"), lambda a, v: a + F.when(v["visit_start_date"] >= F.col("_e"), v["_n"]).otherwise(F.lit(0).cast("long")))
-    fail_open = (
-        facts.where(F.col(e).isNotNull())
-        .select("person_id", F.col(s).alias("_s"), F.col(e).alias("_e"))
-        .join(broadcast_checked(starts), "person_id")
-        .distinct()
-        .select("person_id", "_s", "_e", later.alias("c"))
-        .where("c > 0")
-    )
-    return fail_wf.unionByName(fail_bad).unionByName(fail_open).groupBy("person_id", "_s", "_e").agg(F.sum("c").alias("c"))
-
-
-def _interval_counts(facts: DataFrame, cohort: DataFrame, s: str, e: str, per_person: DataFrame, fails: DataFrame) -> DataFrame:
-    """facts with ``_k`` = cohort rows with ``s < visit_end AND (e IS NULL OR e > visit_start)`` (the
-    interval reading of Q6), by inclusion-exclusion over the two failing tests:
-    k = N - #(visit_end <= s) - #(visit_start >= e) + #(both), where #(both) is the OR form's
-    failure count. Both single counts are rank lookups (``count_at_or_below``)."""
-    a = count_at_or_below(cohort, "person_id", "visit_end_date", facts, s).select(
-        F.col("person_id").alias("_ap"), F.col(s).alias("_as"), F.col("cnt").alias("_a"))
-    starts_before = count_at_or_below(
-        cohort, "person_id", "visit_start_date", facts.select("person_id", F.date_sub(e, 1).alias("_e1")), "_e1"
-    ).select(F.col("person_id").alias("_bp"), F.col("_e1").alias("_be"), F.col("cnt").alias("_b"))
-    j = (
-        facts.join(per_person, "person_id")
-        .join(a, (F.col("person_id") == F.col("_ap")) & (F.col(s) == F.col("_as")), "left")
-        .join(starts_before, (F.col("person_id") == F.col("_bp")) & (F.date_sub(e, 1) == F.col("_be")), "left")
-        .join(fails, (F.col("person_id") == F.col("_fpid")) & (F.col(s) == F.col("_s")) & (F.col(e) == F.col("_e")), "left")
-    )
-    not_after_start = F.when(F.col(e).isNull(), F.lit(0)).otherwise(F.col("_n") - F.coalesce("_b", F.lit(0)))
-    k = F.col("_n") - F.coalesce("_a", F.lit(0)) - not_after_start + F.coalesce("c", F.lit(0))
-    return j.select(*facts.columns, k.alias("_k")).where(F.col("_k") > 0)
+    return fail_wf.unionByName(fail_bad).groupBy("person_id", "_s", "_e").agg(F.sum("c").alias("c"))
+
+
+def _overlap_counts(facts: DataFrame, cohort: DataFrame, s: str, e: str, per_person: DataFrame, overlap: str) -> DataFrame:
+    """facts with ``_k`` = cohort rows that pass the overlap test.
+
+    ``"any"``: N - failures, where an open visit (no end) can only match by its start, so it fails when vs >= e;
+    those are the person's open visits without the ones that start before e.
+    ``"interval"``: ``s < visit_end AND (e IS NULL OR e > visit_start)`` by inclusion-exclusion over the two
+    failing tests: k = N - #(visit_end <= s) - #(visit_start >= e) + #(both), #(both) being the failures."""
+    cols = facts.columns
+    fails = broadcast_checked(_overlap_failures(facts, cohort, s, e).withColumnRenamed("person_id", "_fpid"))
+    j = join_lookup(facts, per_person, "person_id", "_pid").withColumn("_before", F.date_sub(e, 1))
+    if overlap == "interval":
+        j = running_count(j, "person_id", F.col(s), points(cohort, "person_id", F.col("visit_end_date")), "_ended")
+        j = running_count(j, "person_id", F.col("_before"), points(cohort, "person_id", F.col("visit_start_date")), "_started")
+    else:
+        open_visits = cohort.where(F.col("visit_end_date").isNull())
+        j = running_count(j, "person_id", F.col("_before"), points(open_visits, "person_id", F.col("visit_start_date")), "_started")
+    j = j.join(fails, (F.col("person_id") == F.col("_fpid")) & (F.col(s) == F.col("_s")) & (F.col(e) == F.col("_e")), "left")
+    failed = F.coalesce(F.col("c"), F.lit(0))
+    if overlap == "interval":
+        late = F.when(F.col(e).isNull(), F.lit(0)).otherwise(F.col("_n") - F.col("_started"))
+        k = F.col("_n") - F.col("_ended") - late + failed
+    else:
+        k = F.when(F.col(e).isNull(), F.col("_n")).otherwise(F.col("_n") - failed - (F.col("_open") - F.col("_started")))
+    return j.select(*cols, k.alias("_k")).where(F.col("_k") > 0)
 
 
 def _matches(facts: DataFrame, cohort: DataFrame, spec: ExtractSpec, params: Params, overlap: str = "any") -> DataFrame:
     """facts with a column ``_k``: number of cohort rows each fact matches (rows with 0 dropped)."""
-    if spec.window == "years":
-        lo, hi = _window_bounds(spec, params)
-        pairs = binned_band_join(facts, cohort, spec.person_col, spec.date_col, lo, hi, how="inner")
-        return pairs.withColumn("_k", F.lit(1))
-    if spec.window == "band":
+    if spec.window in ("band", "years"):
         lo, hi = _window_bounds(spec, params)
-        cov = day_coverage(cohort, "person_id", lo, hi, day="_day")
-        return facts.join(
-            cov.withColumnRenamed("person_id", "_pid"),
-            (F.col(spec.person_col) == F.col("_pid")) & (F.col(spec.date_col) == F.col("_day")),
-        ).select(*facts.columns, F.col("k").alias("_k"))
+        return count_covering(facts, spec.person_col, F.col(spec.date_col), cohort, "person_id", lo, hi, "_k")
     if overlap == "interval":  # an open visit has no end that a record could start before
         cohort = cohort.where(F.col("visit_end_date").isNotNull())
-    per_person = broadcast_checked(cohort.groupBy("person_id").agg(F.count(F.lit(1)).alias("_n")))
+    is_open = F.col("visit_end_date").isNull() & F.col("visit_start_date").isNotNull()
+    per_person = cohort.groupBy(F.col("person_id").alias("_pid")).agg(F.count(F.lit(1)).alias("_n"), F.count(F.when(is_open, 1)).alias("_open"))
     if spec.window == "person":
-        return facts.join(per_person, spec.person_col).select(*facts.columns, F.col("_n").alias("_k"))
+        return join_lookup(facts, per_person, spec.person_col, "_pid").select(*facts.columns, F.col("_n").alias("_k"))
     if spec.window == "overlap":
-        s, e = spec.date_col, spec.end_col
-        fails = broadcast_checked(_overlap_failures(facts, cohort, s, e).withColumnRenamed("person_id", "_fpid"))
-        if overlap == "interval":
-            return _interval_counts(facts, cohort, s, e, per_person, fails)
-        j = facts.join(per_person, "person_id").join(
-            fails,
-            (F.col("person_id") == F.col("_fpid")) & (F.col(s) == F.col("_s")) & (F.col(e) == F.col("_e")),
-            "left",
-        )
-        k = F.when(F.col(e).isNull(), F.col("_n")).otherwise(F.col("_n") - F.coalesce(F.col("c"), F.lit(0)))
-        return j.select(*facts.columns, k.alias("_k")).where(F.col("_k") > 0)
+        return _overlap_counts(facts, cohort, spec.date_col, spec.end_col, per_person, overlap)
     raise ValueError(spec.window)
 
 
@@ -230,8 +201,9 @@ def extract(
     overlap: str = "any",
 ) -> DataFrame:
     """Rows of ``fact`` for the cohort, per ``spec``; columns and order of ``fact``, source
-    values suppressed. ``overlap`` applies to the condition table: ``"any"`` is the reference's OR
-    test (Q6), ``"interval"`` the interval overlap start < visit_end AND (end > visit_start or open)."""
+    values suppressed, and the weight ``bag.TIMES`` with ``multiplicity="weighted"``. ``overlap`` applies to the
+    condition table: ``"any"`` is the reference's OR test (Q6), ``"interval"`` the interval overlap
+    start < visit_end AND (end > visit_start or open)."""
     cols = fact.columns
     if spec.window == "visit":
         keys = cohort.select("person_id", "visit_occurrence_id").distinct()
@@ -240,41 +212,31 @@ def extract(
         )
         return suppress_source_values(out.select(*cols), spec.suppress)
 
-    bag = multiplicity == "reference" and not spec.distinct
+    bag = multiplicity != "distinct" and not spec.distinct
     # only cohort persons can match: drop everyone else map-side, before any shuffle of the facts
-    persons = broadcast_checked(cohort.select(F.col("person_id").alias(spec.person_col)).distinct())
-    facts = fact.join(persons, spec.person_col, "left_semi")
+    persons = cohort.select(F.col("person_id").alias("_pid")).distinct()
+    facts = join_lookup(fact, persons, spec.person_col, "_pid", "left_semi")
     n_anc = None
     if spec.domain is not None:
         expansion = expand_concepts(concept_set, concept_ancestor, spec.domain)
         if bag:
-            n_anc = broadcast_checked(concept_multiplicity(expansion)).withColumnRenamed("concept_id", spec.concept_col)
-            facts = facts.join(n_anc, spec.concept_col)
+            n_anc = concept_multiplicity(expansion).withColumnRenamed("concept_id", "_cid")
+            facts = join_lookup(facts, n_anc, spec.concept_col, "_cid")
         else:
-            ids = broadcast_checked(expansion.select(F.col("concept_id").alias(spec.concept_col)).distinct())
-            facts = facts.join(ids, spec.concept_col, "left_semi")
+            ids = expansion.select(F.col("concept_id").alias("_cid")).distinct()
+            facts = join_lookup(facts, ids, spec.concept_col, "_cid", "left_semi")
     if spec.join_concept:
         # inner join with the vocabulary on its key = keep facts whose concept exists; only the
         # concepts the facts use are looked up, so the side joined back is small and measured
         used = facts.select(spec.concept_col).distinct()
         known = used.join(concept.select(F.col("concept_id").alias(spec.concept_col)), spec.concept_col, "left_semi")
-        facts = facts.join(broadcast_checked(known), spec.concept_col, "left_semi")
+        facts = join_lookup(facts, known.withColumnRenamed(spec.concept_col, "_cid"), spec.concept_col, "_cid", "left_semi")
 
+    if spec.window == "person" and not bag:
+        return suppress_source_values(facts.select(*cols), spec.suppress)
+    out = _matches(facts, cohort, spec, params, overlap)
     if not bag:
-        if spec.window == "years":
-            lo, hi = _window_bounds(spec, params)
-            out = binned_band_join(facts, cohort, spec.person_col, spec.date_col, lo, hi, how="left_semi")
-        elif spec.window == "band":
-            lo, hi = _window_bounds(spec, params)
-            cov = day_coverage(cohort, "person_id", lo, hi, day=spec.date_col).withColumnRenamed("person_id", spec.person_col)
-            out = facts.join(cov, [spec.person_col, spec.date_col], "left_semi")
-        elif spec.window == "person":
-            out = facts.join(cohort.select("person_id").distinct(), spec.person_col, "left_semi")
-        else:
-            out = _matches(facts, cohort, spec, params, overlap)
         return suppress_source_values(out.select(*cols), spec.suppress)
-
-    m = _matches(facts, cohort, spec, params, overlap)
-    times = F.col("_k") * (F.col("n_anc") if n_anc is not None else F.lit(1))
-    out = replicate(m, times)
-    return suppress_source_values(out.select(*cols), spec.suppress)
+    weight = F.col("_k") * (F.col("n_anc") if n_anc is not None else F.lit(1))
+    out = suppress_source_values(out.select(*cols, weight.cast("long").alias(TIMES)), spec.suppress)
+    return out if multiplicity == "weighted" else expand_bag(out)

@@ -16,18 +16,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortkit.operators.bag import times
 from cohortkit.operators.concepts import closure_slice
-from cohortkit.plans.broadcast import broadcast_checked
+from cohortkit.operators.distinct import count_persons, person_bitmaps
+from cohortkit.plans.broadcast import broadcast_checked, join_lookup
 
 
 def person_concepts(facts: DataFrame, concept_col: str = "condition_concept_id") -> DataFrame:
-    """Distinct (person_id, original_concept_id): the grain every count below is based on."""
-    return facts.select("person_id", F.col(concept_col).alias("original_concept_id")).distinct()
+    """The persons of each original concept, as bitmaps: what every count below is based on."""
+    return person_bitmaps(facts, [F.col(concept_col).alias("original_concept_id")])
+
+
+def _persons(pairs: DataFrame) -> DataFrame:
+    """(original_concept_id, persons): its distinct (person, concept) pairs."""
+    return count_persons(pairs, ["original_concept_id"], "persons")
 
 
 def concept_person_counts(pairs: DataFrame, concept: DataFrame) -> DataFrame:
     """Persons per original concept, with its name."""
-    counts = pairs.groupBy("original_concept_id").agg(F.count(F.lit(1)).alias("original_concept_count"))
+    counts = _persons(pairs).withColumnRenamed("persons", "original_concept_count")
     names = concept.select(F.col("concept_id").alias("original_concept_id"), F.col("concept_name").alias("original_concept_name"))
     return counts.join(names, "original_concept_id", "left").select(
         "original_concept_id", "original_concept_name", "original_concept_count"
@@ -37,7 +44,7 @@ def concept_person_counts(pairs: DataFrame, concept: DataFrame) -> DataFrame:
 def _rollup(pairs: DataFrame, concept_ancestor: DataFrame) -> DataFrame:
     """(original_concept_id, persons, ancestor_concept_id, min_levels_of_separation); ancestor null
     when the concept has no closure row (left join, as the reference)."""
-    per_concept = pairs.groupBy("original_concept_id").agg(F.count(F.lit(1)).alias("persons"))
+    per_concept = _persons(pairs)
     ca = closure_slice(concept_ancestor, per_concept.select("original_concept_id")).select(
         F.col("descendant_concept_id").alias("original_concept_id"), "ancestor_concept_id", "min_levels_of_separation"
     )
@@ -52,14 +59,10 @@ def ancestor_counts(pairs: DataFrame, concept_ancestor: DataFrame, concept: Data
             F.sum(F.when(F.col("ancestor_concept_id").isNotNull(), F.col("persons")).otherwise(0)).cast("long").alias("ancestor_concept_count")
         )
     elif count == "persons":
-        ca = concept_ancestor.select(F.col("descendant_concept_id").alias("original_concept_id"), "ancestor_concept_id")
-        agg = (
-            pairs.join(ca, "original_concept_id", "left")
-            .select("person_id", "ancestor_concept_id")
-            .distinct()
-            .groupBy("ancestor_concept_id")
-            .agg(F.count("ancestor_concept_id").alias("ancestor_concept_count"))
-        )
+        ca = closure_slice(concept_ancestor, pairs.select("original_concept_id")).select(
+            F.col("descendant_concept_id").alias("original_concept_id"), "ancestor_concept_id")
+        per = count_persons(pairs.join(broadcast_checked(ca), "original_concept_id", "left"), ["ancestor_concept_id"], "_n")
+        agg = per.select("ancestor_concept_id", F.when(F.col("ancestor_concept_id").isNotNull(), F.col("_n")).otherwise(0).cast("long").alias("ancestor_concept_count"))
     else:
         raise ValueError(count)
     names = concept.select(F.col("concept_id").alias("ancestor_concept_id"), F.col("concept_name").alias("ancestor_concept_name"))
@@ -116,14 +119,14 @@ def rare_concept_map(
 
 def generalise(facts: DataFrame, concept_map: DataFrame, concept_col: str = "condition_concept_id") -> DataFrame:
     """Facts with the concept replaced by its revised ancestor; facts whose concept has no
-    common-enough ancestor are dropped (inner join, Q13). Column order kept."""
+    common-enough ancestor are dropped (inner join, Q13). Column order and weights kept."""
     m = concept_map.select(F.col("original_concept_id").alias("_orig"), F.col("revised_concept_id").alias("_rev"))
     cols = facts.columns
-    j = facts.join(broadcast_checked(m), F.col(concept_col) == F.col("_orig"))
+    j = join_lookup(facts, m, concept_col, "_orig")
     return j.select(*[F.col("_rev").alias(c) if c == concept_col else F.col(c) for c in cols])
 
 
 def dropped_facts(facts: DataFrame, concept_map: DataFrame, concept_col: str = "condition_concept_id") -> DataFrame:
     """Q13 report: facts that ``generalise`` drops, counted per original concept."""
     m = concept_map.select(F.col("original_concept_id").alias(concept_col))
-    return facts.join(m, concept_col, "left_anti").groupBy(concept_col).agg(F.count(F.lit(1)).alias("dropped_records"))
+    return facts.join(m, concept_col, "left_anti").groupBy(concept_col).agg(F.sum(times(facts)).alias("dropped_records"))

@@ -1,115 +1,94 @@
-"""Band joins without pair enumeration.
+"""Band joins as boundary sweeps.
 
-The reference joins facts to cohort visits on ``person_id`` with a date-range residual. On a
-cluster that plan pairs every fact of a person with every cohort visit of the person before the
-residual runs, and a person holding a large share of the facts lands in one task.
+The reference joins facts to cohort visits on ``person_id`` with a date-range residual. That plan pairs
+every fact of a person with every cohort visit of the person before the residual runs, and a person holding a
+large share of the facts lands in one task.
 
-Here a band condition is turned into an equi-join whose key contains the day:
+Here an interval is two boundary rows, +1 on its first day and -1 on the day after its last, however long it
+is; an interval that ends on 9999-12-31 is two rows like any other. How many intervals cover a day is the sum of
+the boundaries up to it:
 
-* ``day_coverage`` explodes each interval into its days and counts, per (key, day), how many
-  intervals cover it (partial aggregation happens map-side, duplicates collapse early).
-* a fact joins that table on (key, fact_date) - at most one row per fact - and learns ``k``, its
-  number of matching intervals. The bag form of the reference repeats the fact ``k`` times; the
-  set form keeps facts with ``k > 0`` through a semi join.
+* boundaries are added up per (key, day) on the map side, and gathered per (key, bin) of BIN_DAYS days as a
+  short list of steps (``_steps``; at most BIN_DAYS entries);
+* what earlier bins add up to is carried into a bin (``_carried``): a running sum over the key's bins, which are
+  at most the bins of the calendar, whatever the number of facts and intervals;
+* a fact meets at most one row, that of its own (key, bin), and adds the steps up to its day to the carry.
 
-The join key includes the day, so a hot person is spread over many partitions, and no
-intermediate is larger than the output.
+Facts are shuffled once, by (key, bin), so a hot key spreads over its bins; nothing is paired.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortkit.plans.broadcast import broadcast_checked
+
+BIN_DAYS = 32
+
+
+def _day(c: Column) -> Column:
+    return F.unix_date(c)
+
+
+def _bin(day: Column) -> Column:
+    return F.floor(day / F.lit(BIN_DAYS)).cast("int")
+
+
+def boundaries(intervals: DataFrame, key: str, lo: Column, hi: Column) -> DataFrame:
+    """(_key, _day, _step): by how much the number of intervals [lo, hi] (inclusive dates) changes on a day.
+    An interval without lo or hi, or with hi before lo, holds no day. Days that change nothing are left out."""
+    iv = intervals.select(F.col(key).alias("_key"), _day(lo).alias("_lo"), _day(hi).alias("_hi")).where("_lo <= _hi")
+    ends = F.array(F.struct(F.col("_lo").alias("_day"), F.lit(1).cast("long").alias("_step")),
+                   F.struct((F.col("_hi") + 1).alias("_day"), F.lit(-1).cast("long").alias("_step")))
+    steps = iv.select("_key", F.inline(ends)).groupBy("_key", "_day").agg(F.sum("_step").alias("_step"))
+    return steps.where("_step <> 0")
+
+
+def points(rows: DataFrame, key: str, day: Column) -> DataFrame:
+    """(_key, _day, _step): as :func:`boundaries`, for a count of the rows up to a day."""
+    return rows.select(F.col(key).alias("_key"), _day(day).alias("_day")).where("_day IS NOT NULL").groupBy("_key", "_day").agg(
+        F.count(F.lit(1)).alias("_step"))
+
+
+def _steps(bounds: DataFrame) -> DataFrame:
+    """(_key, _bin, _steps, _total): the boundaries of a bin, and what they add up to."""
+    return bounds.groupBy("_key", _bin(F.col("_day")).alias("_bin")).agg(
+        F.collect_list(F.struct("_day", "_step")).alias("_steps"), F.sum("_step").alias("_total"))
+
+
+def _carried(bounds: DataFrame, asked: DataFrame) -> DataFrame:
+    """(_key, _bin, _carry, _steps) of the bins ``asked`` (_key, _bin, distinct) in which a count can differ
+    from 0. The window runs over one key's bins, boundary rows and facts being gathered before it."""
+    both = _steps(bounds).withColumn("_asked", F.lit(False)).unionByName(asked.select(
+        "_key", "_bin", F.lit(None).cast("array<struct<_day:int,_step:bigint>>").alias("_steps"), F.lit(0).cast("long").alias("_total"),
+        F.lit(True).alias("_asked")))
+    # a bin has one row with steps and one that is asked for at most
+    bins = both.groupBy("_key", "_bin").agg(F.max("_steps").alias("_steps"), F.sum("_total").alias("_total"), F.max("_asked").alias("_asked"))
+    before = Window.partitionBy("_key").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    carried = bins.withColumn("_carry", F.coalesce(F.sum("_total").over(before), F.lit(0).cast("long")))
+    return carried.where(F.col("_asked") & ((F.col("_carry") != 0) | F.col("_steps").isNotNull())).select("_key", "_bin", "_carry", "_steps")
+
+
+def running_count(facts: DataFrame, key: str, day: Column, bounds: DataFrame, out: str, how: str = "left") -> DataFrame:
+    """``facts`` with ``out``: the sum of the steps of ``bounds`` up to ``day`` for the fact's key.
+
+    ``how="left"`` keeps every fact (0 where nothing was added up, also for a null key or day); ``"inner"``
+    keeps those whose bin can hold another count than 0."""
+    cols = facts.columns
+    asked = facts.select(F.col(key).alias("_key"), _bin(_day(day)).alias("_bin")).where("_key IS NOT NULL AND _bin IS NOT NULL").distinct()
+    table = broadcast_checked(_carried(bounds, asked))
+    f = facts.withColumn("_fday", _day(day)).withColumn("_fbin", _bin(F.col("_fday")))
+    j = f.join(table, (F.col(key) == F.col("_key")) & (F.col("_fbin") == F.col("_bin")), how)
+    inside = F.aggregate(F.filter("_steps", lambda s: s["_day"] <= F.col("_fday")), F.lit(0).cast("long"), lambda a, s: a + s["_step"])
+    count = F.coalesce("_carry", F.lit(0).cast("long")) + F.coalesce(inside, F.lit(0).cast("long"))
+    return j.select(*cols, count.alias(out))
+
+
+def count_covering(facts: DataFrame, key: str, day: Column, intervals: DataFrame, interval_key: str, lo: Column, hi: Column, out: str,
+                   how: str = "inner") -> DataFrame:
+    """``facts`` with ``out``: the number of ``intervals`` of the fact's key that cover ``day``. ``how="inner"``
+    keeps the facts that one interval covers at least, ``"left"`` all."""
+    counted = running_count(facts, key, day, boundaries(intervals, interval_key, lo, hi), out, how)
+    return counted.where(F.col(out) > 0) if how == "inner" else counted
 
-def day_coverage(intervals: DataFrame, key: str, lo: Column, hi: Column, day: str = "day") -> DataFrame:
-    """(key, day, k): number of rows of ``intervals`` whose [lo, hi] (inclusive dates) covers day."""
-    return (
-        intervals.select(F.col(key), lo.alias("_lo"), hi.alias("_hi"))
-        .where(F.col("_lo").isNotNull() & F.col("_hi").isNotNull() & (F.col("_lo") <= F.col("_hi")))
-        .select(key, F.explode(F.sequence("_lo", "_hi")).alias(day))
-        .groupBy(key, day)
-        .agg(F.count(F.lit(1)).alias("k"))
-    )
-
-
-def replicate(df: DataFrame, times: Column) -> DataFrame:
-    """Repeat each row ``times`` times (bag semantics of a join whose other side is dropped).
-    Rows with times <= 0 disappear, like unmatched rows of an inner join."""
-    cols = df.columns
-    return (
-        df.withColumn("_rep", times.cast("int"))
-        .where(F.col("_rep") > 0)
-        .select(*cols, F.explode(F.array_repeat(F.lit(True), F.col("_rep"))).alias("_r"))
-        .drop("_r")
-    )
-
-
-def _bin(c: Column, width: int) -> Column:
-    return F.floor(F.unix_date(c) / F.lit(int(width))).cast("long")
-
-
-def binned_band_join(
-    facts: DataFrame,
-    intervals: DataFrame,
-    key: str,
-    date_col: str,
-    lo: Column,
-    hi: Column,
-    how: str = "left_semi",
-    width: int = 32,
-) -> DataFrame:
-    """Band join for long windows (e.g. +-1 year): intervals are expanded to the ``width``-day bins
-    they touch, facts fall in exactly one bin, and the join runs on (key, bin) with the exact date
-    test as residual. Each (fact, interval) match is found once; the expanded side holds
-    (span / width + 1) rows per interval instead of one per day.
-
-    ``how="left_semi"`` keeps matching facts once; ``how="inner"`` returns one row per matching
-    (fact, interval) pair - the bag the reference's join produces, nothing more."""
-    iv = (
-        intervals.select(F.col(key).alias("_bk"), lo.alias("_lo"), hi.alias("_hi"))
-        .where(F.col("_lo").isNotNull() & F.col("_hi").isNotNull() & (F.col("_lo") <= F.col("_hi")))
-        .select("_bk", "_lo", "_hi", F.explode(F.sequence(_bin(F.col("_lo"), width), _bin(F.col("_hi"), width))).alias("_bin"))
-    )
-    f = facts.withColumn("_fbin", _bin(F.col(date_col), width))
-    cond = (
-        (F.col(key) == F.col("_bk")) & (F.col("_fbin") == F.col("_bin"))
-        & (F.col(date_col) >= F.col("_lo")) & (F.col(date_col) <= F.col("_hi"))
-    )
-    return f.join(iv, cond, how).select(*facts.columns)
-
-
-def count_at_or_below(points: DataFrame, key: str, value: str, queries: DataFrame, q: str, width: int = 32) -> DataFrame:
-    """(key, q, cnt): for each distinct query (key, q) the number of ``points`` rows of the key
-    with value <= q (dates) - a rank lookup that never pairs queries with points.
-
-    Per key the distinct point values become a step function: segment [v_i, v_(i+1) - 1] holds the
-    running count at v_i. A query falls in exactly one segment, found by an equi-join on
-    (key, ``width``-day bin) with the exact range test as residual; queries below the first value
-    get 0 and queries at or above the last value the key's total. The window that builds the
-    segments runs over one key's distinct point values (visits of one person)."""
-    from pyspark.sql import Window
-
-    per_value = points.groupBy(key, value).agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(key).orderBy(value)
-    steps = per_value.select(
-        key, F.col(value).alias("_v"),
-        F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_cum"),
-        F.lead(value).over(w).alias("_next"),
-    )
-    ends = steps.groupBy(key).agg(F.min("_v").alias("_first"), F.max("_v").alias("_last"), F.max("_cum").alias("_total"))
-    seg_bins = steps.where(F.col("_next").isNotNull()).select(
-        key, F.col("_v").alias("_lo"), F.date_sub("_next", 1).alias("_hi"), "_cum",
-    ).select("*", F.explode(F.sequence(_bin(F.col("_lo"), width), _bin(F.col("_hi"), width))).alias("_qb"))
-
-    qs = queries.select(key, q).where(F.col(q).isNotNull()).distinct().join(ends, key, "left")
-    is_mid = F.col("_first").isNotNull() & (F.col(q) >= F.col("_first")) & (F.col(q) < F.col("_last"))
-    mid = (
-        qs.where(is_mid).select(key, q, _bin(F.col(q), width).alias("_qb"))
-        .join(seg_bins, [key, "_qb"])
-        .where((F.col(q) >= F.col("_lo")) & (F.col(q) <= F.col("_hi")))
-        .select(key, q, F.col("_cum").cast("long").alias("cnt"))
-    )
-    edge_cnt = F.when(F.col("_first").isNull() | (F.col(q) < F.col("_first")), F.lit(0)).otherwise(F.col("_total"))
-    edges = qs.where(~is_mid).select(key, q, edge_cnt.cast("long").alias("cnt"))
-    return mid.unionByName(edges)

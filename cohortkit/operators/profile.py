@@ -4,8 +4,7 @@ unmapped drug review, device use.
 Scale notes:
 * totals in ratios are uncorrelated scalar subqueries (``DataFrame.scalar()``): computed once,
   no join against a one-row table;
-* distinct-person counts are formed as distinct (key, person) first and then counted, which
-  spreads a key held by most persons over the shuffle;
+* distinct persons are counted by bitmaps (``operators.distinct``), which a closure fan-out merges;
 * percentiles and ranks of the persons x concepts grid are computed from per-concept
   histograms of the non-zero counts plus an implicit zero bucket (``N - persons with a
   record``), so neither the dense grid nor a window over all persons of a concept is built;
@@ -20,8 +19,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortkit.functions.arith import int_div, mean, percent
+from cohortkit.operators.bag import TIMES, times, weight_columns
 from cohortkit.operators.concepts import closure_slice
-from cohortkit.operators.intervals import day_coverage
+from cohortkit.operators.distinct import count_persons, person_bitmaps
+from cohortkit.operators.intervals import count_covering
 from cohortkit.plans.broadcast import broadcast_checked
 
 
@@ -33,7 +34,7 @@ def _n_persons(person: DataFrame) -> Column:
 def prevalence_observed(cond: DataFrame, concept_ancestor: DataFrame, concept: DataFrame, person: DataFrame,
                         concept_col: str = "condition_concept_id", integer: bool = True) -> DataFrame:
     """Persons per ancestor that is itself an observed concept (descendants included)."""
-    pairs = cond.select("person_id", F.col(concept_col).alias("_c")).distinct()
+    persons = person_bitmaps(cond, [F.col(concept_col).alias("_c")])
     observed = cond.select(F.col(concept_col).alias("ancestor_concept_id")).distinct()
     ca = (
         closure_slice(concept_ancestor, observed, on="ancestor_concept_id")
@@ -41,10 +42,7 @@ def prevalence_observed(cond: DataFrame, concept_ancestor: DataFrame, concept: D
               "descendant_concept_id", "left_semi")
         .select(F.col("descendant_concept_id").alias("_c"), "ancestor_concept_id")
     )
-    per = (
-        pairs.join(broadcast_checked(ca), "_c").select("ancestor_concept_id", "person_id").distinct()
-        .groupBy("ancestor_concept_id").agg(F.count(F.lit(1)).alias("persons_with_condition_or_descendant"))
-    )
+    per = count_persons(persons.join(broadcast_checked(ca), "_c"), ["ancestor_concept_id"], "persons_with_condition_or_descendant")
     names = concept.select(F.col("concept_id").alias("ancestor_concept_id"), F.col("concept_name").alias("condition_name"))
     return per.join(names, "ancestor_concept_id", "left").select(
         "condition_name", "ancestor_concept_id", "persons_with_condition_or_descendant",
@@ -55,12 +53,8 @@ def prevalence_observed(cond: DataFrame, concept_ancestor: DataFrame, concept: D
 def prevalence_registry(cond: DataFrame, closure: DataFrame, person: DataFrame, concept_col: str = "condition_concept_id",
                         integer: bool = True) -> DataFrame:
     """Persons per registry parent; ``closure`` is ``expand_concepts(.., 'Condition')``."""
-    pairs = cond.select("person_id", F.col(concept_col).alias("concept_id")).distinct()
-    per = (
-        pairs.join(broadcast_checked(closure), "concept_id")
-        .select("ancestor_concept_id", "concept_name", "person_id").distinct()
-        .groupBy("ancestor_concept_id", "concept_name").agg(F.count(F.lit(1)).alias("persons_with_condition"))
-    )
+    persons = person_bitmaps(cond, [F.col(concept_col).alias("concept_id")])
+    per = count_persons(persons.join(broadcast_checked(closure), "concept_id"), ["ancestor_concept_id", "concept_name"], "persons_with_condition")
     return per.select(
         F.col("concept_name").alias("condition_name"), "ancestor_concept_id", "persons_with_condition",
         percent(F.col("persons_with_condition"), _n_persons(person), integer).alias("percent_persons_with_condition"),
@@ -79,11 +73,11 @@ def sparse_counts(fact: DataFrame, closure: DataFrame, person: DataFrame, concep
     cl = closure.select(F.col("concept_id").alias(concept_col), "ancestor_concept_id", "concept_name")
     key = "ancestor_concept_id" if grain == "ancestor" else concept_col
     return (
-        fact.select("person_id", concept_col)
+        fact.select("person_id", concept_col, times(fact).alias(TIMES))
         .join(person.select("person_id").distinct(), "person_id", "left_semi")
         .join(broadcast_checked(cl), concept_col)
         .groupBy("person_id", F.col(key).alias("concept_id"), "concept_name")
-        .agg(F.count(F.lit(1)).alias("concept_count"))
+        .agg(F.sum(TIMES).alias("concept_count"))
     )
 
 
@@ -200,43 +194,45 @@ def exposure_by_ingredient(drug: DataFrame, imap: DataFrame) -> DataFrame:
     a null ingredient (left join)."""
     m = imap.select(F.col("drug_concept_id").alias("_dc"), "ingredient_name", "ingredient_concept_id")
     return drug.join(broadcast_checked(m), F.col("drug_concept_id") == F.col("_dc"), "left").select(
-        "ingredient_name", "ingredient_concept_id", "drug_concept_id", "person_id"
+        "ingredient_name", "ingredient_concept_id", "drug_concept_id", "person_id", *weight_columns(drug)
     )
 
 
+def _ingredient_doses(exposure: DataFrame) -> DataFrame:
+    """(person_id, ingredient_concept_id, ingredient_name, n): a person's administrations of an ingredient; 0 for
+    drugs without one."""
+    mapped = F.when(F.col("ingredient_concept_id").isNotNull(), times(exposure)).otherwise(F.lit(0).cast("long"))
+    return exposure.groupBy("person_id", "ingredient_concept_id", "ingredient_name").agg(F.sum(mapped).alias("n"))
+
+
 def ingredient_use(exposure: DataFrame, integer: bool = True) -> DataFrame:
     """Persons per ingredient and their integer percent of persons with any exposure."""
     total = exposure.agg(F.countDistinct("person_id")).scalar()
-    per = (
-        exposure.select("person_id", "ingredient_concept_id", "ingredient_name").distinct()
-        .groupBy("ingredient_concept_id", "ingredient_name").agg(F.count("person_id").alias("person_count"))
-    )
+    keys = ["ingredient_concept_id", "ingredient_name"]
+    per = count_persons(person_bitmaps(exposure, keys), keys, "person_count")
     return per.select("ingredient_name", "ingredient_concept_id", "person_count",
                       percent(F.col("person_count"), total, integer).alias("person_perc"))
 
 
 def ingredient_intensity(exposure: DataFrame, integer: bool = True) -> DataFrame:
     """Integer mean and max administrations per person, per ingredient."""
-    per_person = exposure.groupBy("person_id", "ingredient_concept_id", "ingredient_name").agg(
-        F.count("ingredient_concept_id").alias("n")
-    )
-    return per_person.groupBy("ingredient_concept_id", "ingredient_name").agg(
+    return _ingredient_doses(exposure).groupBy("ingredient_concept_id", "ingredient_name").agg(
         mean(F.sum("n"), F.count("n"), integer).alias("average_admin_per_person"),
         F.max("n").alias("max_admin_per_person"),
     )
 
 
 def ingredient_profile(drug: DataFrame, concept_ancestor: DataFrame, concept: DataFrame, integer: bool = True) -> DataFrame:
-    """Ingredient summary; joined on the id only, so the null ingredient gets null mean/max."""
-    exp = exposure_by_ingredient(drug, ingredient_map(drug, concept_ancestor, concept))
-    use = ingredient_use(exp, integer)
-    inten = ingredient_intensity(exp, integer).select(
-        F.col("ingredient_concept_id").alias("_ic"), "average_admin_per_person", "max_admin_per_person"
-    )
-    return use.join(inten, F.col("ingredient_concept_id") == F.col("_ic"), "left").select(
-        "ingredient_name", "ingredient_concept_id", "person_count", "person_perc",
-        "average_admin_per_person", "max_admin_per_person",
-    )
+    """Ingredient summary; the null ingredient has null mean and max, as a join on the id gives. Use and
+    intensity come from one count per person and ingredient, so the exposures are shuffled once."""
+    exposure = exposure_by_ingredient(drug, ingredient_map(drug, concept_ancestor, concept))
+    total = exposure.agg(F.countDistinct("person_id")).scalar()
+    per = _ingredient_doses(exposure).groupBy("ingredient_concept_id", "ingredient_name").agg(
+        F.count("person_id").alias("person_count"), mean(F.sum("n"), F.count("n"), integer).alias("_mean"), F.max("n").alias("_max"))
+    known = lambda c: F.when(F.col("ingredient_concept_id").isNotNull(), F.col(c))
+    return per.select(
+        "ingredient_name", "ingredient_concept_id", "person_count", percent(F.col("person_count"), total, integer).alias("person_perc"),
+        known("_mean").alias("average_admin_per_person"), known("_max").alias("max_admin_per_person"))
 
 
 # ------------------------------------------------------------------ unmapped drugs
@@ -244,14 +240,14 @@ def unmapped_review(raw_drug: DataFrame, visits: DataFrame, min_count: int = 20,
     """Source values of unmapped drugs (concept 0) seen more than ``min_count`` times, each
     record counted once per extract visit of the person that contains its start date (at least
     once: left join, Q25). The containing-visit count comes from a day-coverage equi-join."""
-    cov = day_coverage(visits, "person_id", F.col("visit_start_date"), F.col("visit_end_date"), day="drug_exposure_start_date")
     d = raw_drug.where(F.col("drug_concept_id") == 0).select("person_id", "drug_exposure_start_date", "drug_source_value")
     # reference: left join, a record outside every visit still counts once (Q25); cohort_only keeps
     # records inside an extract visit only
-    j = d.join(cov, ["person_id", "drug_exposure_start_date"], "inner" if cohort_only else "left")
-    times = F.coalesce(F.col("k"), F.lit(1))
+    j = count_covering(d, "person_id", F.col("drug_exposure_start_date"), visits, "person_id", F.col("visit_start_date"),
+                       F.col("visit_end_date"), "k", "inner" if cohort_only else "left")
+    visits_or_one = F.greatest(F.col("k"), F.lit(1).cast("long"))
     agg = j.groupBy("drug_source_value").agg(
-        F.sum(F.when(F.col("drug_source_value").isNotNull(), times).otherwise(0)).cast("long").alias("unmapped_drug_count")
+        F.sum(F.when(F.col("drug_source_value").isNotNull(), visits_or_one).otherwise(0)).cast("long").alias("unmapped_drug_count")
     )
     return agg.where(F.col("unmapped_drug_count") > int(min_count))
 
@@ -259,9 +255,8 @@ def unmapped_review(raw_drug: DataFrame, visits: DataFrame, min_count: int = 20,
 # ------------------------------------------------------------------ devices
 def device_use(device: DataFrame, closure: DataFrame, person: DataFrame, integer: bool = True) -> DataFrame:
     """Persons per device concept (descendant grain), zero users kept (left join)."""
-    pairs = device.select(F.col("device_concept_id").alias("concept_id"), "person_id").distinct()
     dci = closure.select("concept_id", "concept_name")
-    users = pairs.groupBy("concept_id").agg(F.count(F.lit(1)).alias("_u"))
+    users = count_persons(person_bitmaps(device, [F.col("device_concept_id").alias("concept_id")]), ["concept_id"], "_u")
     j = dci.join(users, "concept_id", "left")
     n = F.coalesce(F.col("_u"), F.lit(0)).cast("long")
     return j.groupBy("concept_id", "concept_name").agg(F.max(n).alias("person_count")).select(

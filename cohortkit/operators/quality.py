@@ -12,6 +12,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortkit.operators.bag import times
+from cohortkit.operators.distinct import count_persons, person_bitmaps
+
 # Per-table date columns of the range checks; condition and device use
 # coalesce(end, start) for the maximum, drug uses the end date.
 RANGE_COLUMNS: dict[str, tuple[str, str]] = {
@@ -47,12 +50,10 @@ def qc_deaths(death: DataFrame) -> DataFrame:
 
 
 def qc_concepts(fact: DataFrame, concept_col: str) -> DataFrame:
-    """Per concept, distinct persons and records. Distinct (concept, person) is formed first,
-    so a concept held by most persons spreads over the shuffle rather than one task."""
-    per_pair = fact.groupBy(concept_col, "person_id").agg(F.count(F.lit(1)).alias("_n"))
-    return per_pair.groupBy(concept_col).agg(
-        F.count(F.lit(1)).alias("num_people"), F.sum("_n").cast("long").alias("num_records")
-    )
+    """Per concept, distinct persons and records. Persons are bits of bitmaps per block of ids, so a concept
+    held by most persons is a few rows of the shuffle."""
+    bitmaps = person_bitmaps(fact, [concept_col], _n=times(fact))
+    return count_persons(bitmaps, [concept_col], "num_people", num_records="_n")
 
 
 def qc_range(fact: DataFrame, max_expr: str | Column, min_col: str) -> DataFrame:

@@ -13,7 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortkit.functions.arith import round_percent, round_ratio
+from cohortkit.operators.bag import times, weight_columns
 from cohortkit.operators.concepts import closure_slice, concept_slice
+from cohortkit.operators.distinct import BITS, BLOCK, count_persons, person_bitmaps
 from cohortkit.plans.broadcast import broadcast_checked
 
 
@@ -39,7 +41,7 @@ def ingredient_route_profile(drug: DataFrame, concept_ancestor: DataFrame, conce
 
 def _per_person_stats(df: DataFrame, keys: list[str], mean_name: str) -> DataFrame:
     """Distinct persons and records per key, pre-aggregated per (key, person)."""
-    per = df.groupBy(*keys, "person_id").agg(F.count(F.lit(1)).alias("_n"))
+    per = df.groupBy(*keys, "person_id").agg(F.sum(times(df)).alias("_n"))
     return per.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("unique_person_count"),
         (F.sum("_n") / F.count(F.lit(1))).alias(mean_name),
@@ -61,12 +63,10 @@ def ancestor_profile(fact: DataFrame, concept_ancestor: DataFrame, concept: Data
     """Prevalence by every ancestor (self included); concepts without closure rows are
     kept under their own id, and names fall back to the concept's, then the source text.
 
-    Records are first counted per (person, concept, source text), so the closure fan-out is
-    applied to that much smaller table."""
+    Persons and records are first gathered per (concept, source text) as bitmaps and counts, so the closure
+    fan-out repeats and merges those, and no person."""
     total = fact.agg(F.countDistinct("person_id")).scalar()
-    base = fact.groupBy("person_id", F.col(concept_col).alias("_c"), F.col(source_col).alias(source_col)).agg(
-        F.count(F.lit(1)).alias("_n")
-    )
+    base = person_bitmaps(fact, [F.col(concept_col).alias("_c"), F.col(source_col).alias(source_col)], _n=times(fact))
     used = base.select(F.col("_c").alias("descendant_concept_id"))
     ca_slice = closure_slice(concept_ancestor, used)
     ca = broadcast_checked(ca_slice.select(F.col("descendant_concept_id").alias("_c"), F.col("ancestor_concept_id").alias("_a")))
@@ -80,15 +80,12 @@ def ancestor_profile(fact: DataFrame, concept_ancestor: DataFrame, concept: Data
     keyed = j.select(
         F.coalesce("_a", "_c").alias("concept_id"),
         F.coalesce("_an", "_sn", F.col(source_col)).alias("concept_name"),
-        source_col, "person_id", "_n",
-    )
-    per = keyed.groupBy("concept_id", "concept_name", source_col, "person_id").agg(F.sum("_n").alias("_n"))
-    agg = per.groupBy("concept_id", "concept_name", source_col).agg(
-        F.count(F.lit(1)).alias("unique_person_count"), (F.sum("_n") / F.count(F.lit(1))).alias(mean_name)
+        source_col, BLOCK, BITS, "_n",
     )
+    agg = count_persons(keyed, ["concept_id", "concept_name", source_col], "unique_person_count", _n="_n")
     return agg.select(
         "concept_id", "concept_name", source_col, "unique_person_count",
-        round_percent(F.col("unique_person_count"), total).alias("percent_of_persons"), mean_name,
+        round_percent(F.col("unique_person_count"), total).alias("percent_of_persons"), (F.col("_n") / F.col("unique_person_count")).alias(mean_name),
     )
 
 
@@ -116,7 +113,8 @@ def death_info(death: DataFrame, concept: DataFrame) -> DataFrame:
     """Death with the cause's name (left join). Only the names of causes that occur are looked
     up, and joined to the deaths without shuffling them by cause."""
     c = concept_slice(concept, death.select(F.col("cause_concept_id").alias("concept_id"))).select(F.col("concept_id").alias("cause_concept_id"), F.col("concept_name").alias("cause_of_death"))
-    return death.join(broadcast_checked(c), "cause_concept_id", "left").select("person_id", "death_date", "cause_source_value", "cause_of_death")
+    return death.join(broadcast_checked(c), "cause_concept_id", "left").select(
+        "person_id", "death_date", "cause_source_value", "cause_of_death", *weight_columns(death))
 
 
 def stay(visits: DataFrame, first: DataFrame) -> DataFrame:
@@ -155,7 +153,7 @@ def _share_counts(demo: DataFrame, concept: DataFrame, concept_col: str, label:
 def death_summary(info: DataFrame) -> DataFrame:
     """O79."""
     return info.agg(
-        F.count(F.lit(1)).alias("total_deaths"),
+        F.coalesce(F.sum(times(info)), F.lit(0)).cast("long").alias("total_deaths"),
         F.countDistinct("cause_of_death").alias("causes_of_death"),
         F.countDistinct("cause_source_value").alias("causes_source_value"),
     )

@@ -43,42 +43,37 @@ def _cols(table: str, alias: str) -> str:
     )
 
 
+def _entries(domain: str) -> str:
+    """A row for each registry entry of the domain and concept that it stands for."""
+    return f"""SELECT a.descendant_concept_id AS concept_id, s.concept_id AS ancestor_concept_id, s.concept_name
+        FROM ck_concept_ancestor a JOIN ck_concept_set s ON s.domain = '{domain}' AND s.concept_id = a.ancestor_concept_id
+        WHERE CASE WHEN s.include_descendants THEN TRUE ELSE a.descendant_concept_id = s.concept_id END"""
+
+
+def _valid_descendants(p: Params) -> str:
+    """Valid concepts that have one of the roots above them."""
+    return f"""SELECT concept_id FROM ck_concept WHERE invalid_reason IS NULL AND concept_id IN (
+        SELECT unnest(list(descendant_concept_id)) FROM ck_concept_ancestor WHERE list_contains([{_ints(p.diagnosis_roots)}], ancestor_concept_id))"""
+
+
 def cohort_ctes(p: Params = FIXTURE_PARAMS) -> list[tuple[str, str]]:
+    """O05-O08. A person's diagnosis days are a list; a visit is taken once for each of them that it follows closely
+    enough."""
+    first, last = p.window_lo + 1, p.window_hi - 1
     return [
-        (
-            "o_dx",
-            f"""SELECT DISTINCT person_id, condition_start_date AS diagnosis_date
-            FROM ck_condition_occurrence
-            WHERE condition_concept_id IN (
-                SELECT c.concept_id FROM ck_concept c
-                JOIN ck_concept_ancestor ca ON c.concept_id = ca.descendant_concept_id
-                WHERE ca.ancestor_concept_id IN ({_ints(p.diagnosis_roots)}) AND c.invalid_reason IS NULL)
-            AND condition_start_date >= {_d(p.study_start)}""",
-        ),
-        (
-            "o_inpat",
-            f"""SELECT v.person_id, v.visit_occurrence_id, v.visit_start_date, v.visit_end_date, sd.diagnosis_date
-            FROM ck_visit_occurrence v JOIN o_dx sd ON v.person_id = sd.person_id
-            WHERE v.visit_concept_id IN ({_ints(p.visit_types)}) AND v.visit_start_date >= {_d(p.study_start)}
-              AND datediff('day', sd.diagnosis_date, v.visit_start_date) > {p.window_lo}
-              AND datediff('day', sd.diagnosis_date, v.visit_start_date) < {p.window_hi}""",
-        ),
-        (
-            "o_cohort",
-            """SELECT i.person_id, i.visit_occurrence_id, i.visit_start_date, i.visit_end_date,
-                   CAST(pe.birth_datetime AS DATE) AS birth_date, CAST(d.death_datetime AS DATE) AS death_date
-            FROM o_inpat i JOIN ck_person pe ON i.person_id = pe.person_id
-            LEFT JOIN ck_death d ON i.person_id = d.person_id""",
-        ),
+        ("o_dx", f"""SELECT person_id, unnest(list_distinct(list(condition_start_date))) AS diagnosis_date
+            FROM ck_condition_occurrence SEMI JOIN ({_valid_descendants(p)}) n ON n.concept_id = condition_concept_id
+            WHERE condition_start_date >= {_d(p.study_start)} GROUP BY person_id"""),
+        ("o_index", f"""SELECT person_id, visit_occurrence_id, visit_start_date, visit_end_date,
+                unnest(list_filter(days, lambda day: visit_start_date - day BETWEEN {first} AND {last})) AS diagnosis_date
+            FROM ck_visit_occurrence JOIN (SELECT person_id, list(diagnosis_date) AS days FROM o_dx GROUP BY ALL) USING (person_id)
+            WHERE list_contains([{_ints(p.visit_types)}], visit_concept_id) AND visit_start_date >= {_d(p.study_start)}"""),
+        ("o_cohort", """SELECT person_id, visit_occurrence_id, visit_start_date, visit_end_date, birth_date, death_date FROM o_index
+            JOIN (SELECT person_id, birth_datetime::DATE AS birth_date FROM ck_person) USING (person_id)
+            LEFT JOIN (SELECT person_id, death_datetime::DATE AS death_date FROM ck_death) USING (person_id)"""),
     ]
 
 
-def _concept_filter(domain: str, fact_alias: str, concept_col: str) -> str:
-    return f"""JOIN ck_concept_ancestor ca ON ca.descendant_concept_id = {fact_alias}.{concept_col}
-        JOIN ck_concept_set cs ON ca.ancestor_concept_id = cs.concept_id
-        WHERE cs.domain = '{domain}' AND (cs.include_descendants OR ca.ancestor_concept_id = ca.descendant_concept_id)"""
-
-
 # Concept domain that a table is restricted to, and its concept column.
 _DOMAIN = {
     "measurement": ("Measurement", "measurement_concept_id"), "observation": ("Observation", "observation_concept_id"),
@@ -108,11 +103,10 @@ def extract_ctes(p: Params = FIXTURE_PARAMS, distinct_all: bool = False) -> list
     out = []
     for table, condition in holds.items():
         domain, concept = _DOMAIN.get(table, (None, None))
-        entries = f", ({_closure_sql(domain)}) e" if domain else ""
-        own = f" AND e.concept_id = f.{concept}" if domain else ""
+        entries = f" JOIN ({_entries(domain)}) e ON e.concept_id = f.{concept}" if domain else ""
         once = "DISTINCT " if distinct_all or table in _ONCE else ""
-        out.append((f"o_x_{table}", f"SELECT {once}{_cols(table, 'f')} FROM ck_{table} f, o_cohort k{entries} "
-                                    f"WHERE f.person_id = k.person_id AND {condition}{own}"))
+        out.append((f"o_x_{table}", f"SELECT {once}{_cols(table, 'f')} FROM ck_{table} f JOIN o_cohort k ON k.person_id = f.person_id{entries} "
+                                    f"WHERE {condition}"))
     return out
 
 
@@ -127,42 +121,32 @@ def oracle_queries(p: Params = FIXTURE_PARAMS) -> dict[str, str]:
     x = extract_ctes(p)
     xd = [(n.replace("o_x_", "o_xd_"), b) for n, b in extract_ctes(p, distinct_all=True)]
     q: dict[str, str] = {}
-    q["concept_descendants"] = with_views(
-        f"""SELECT DISTINCT c.concept_id FROM ck_concept c
-        JOIN ck_concept_ancestor ca ON c.concept_id = ca.descendant_concept_id
-        WHERE ca.ancestor_concept_id IN ({_ints(p.diagnosis_roots)}) AND c.invalid_reason IS NULL"""
-    )
+    q["concept_descendants"] = with_views(_valid_descendants(p))
     for dom in ["Measurement", "Procedure", "Device", "Condition", "Observation", "Drug"]:
-        q[f"concept_expand_{dom.lower()}"] = with_views(
-            f"""SELECT ca.descendant_concept_id AS concept_id, ca.ancestor_concept_id, cs.concept_name
-            FROM ck_concept_set cs JOIN ck_concept_ancestor ca ON ca.ancestor_concept_id = cs.concept_id
-            WHERE cs.domain = '{dom}' AND (cs.include_descendants OR ca.ancestor_concept_id = ca.descendant_concept_id)"""
-        )
+        q[f"concept_expand_{dom.lower()}"] = with_views(_entries(dom))
     q["cohort_events"] = with_views("SELECT * FROM o_dx", *base)
     q["cohort_index_visits"] = with_views(
-        "SELECT person_id, visit_occurrence_id, visit_start_date, visit_end_date, diagnosis_date FROM o_inpat", *base
+        "FROM o_index", *base
     )
     order = ("person_id", "visit_occurrence_id", "visit_start_date", "visit_end_date", "birth_date", "death_date")
     q["cohort_preview"] = with_views(
         "SELECT * FROM o_cohort ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in order) + " LIMIT 100", *base)
     q["cohort_build"] = with_views("SELECT * FROM o_cohort", *base)
     q["cohort_attrition"] = with_views(
-        """SELECT 'qualifying_events' AS step, COUNT(DISTINCT person_id) AS persons, CAST(NULL AS BIGINT) AS visits,
-                  COUNT(*) AS records FROM o_dx
-        UNION ALL SELECT 'index_visits', COUNT(DISTINCT person_id), COUNT(DISTINCT visit_occurrence_id), COUNT(*) FROM o_inpat
-        UNION ALL SELECT 'cohort', COUNT(DISTINCT person_id), COUNT(DISTINCT visit_occurrence_id), COUNT(*) FROM o_cohort""",
+        " UNION ALL ".join(f"SELECT '{step}' AS step, len(list_distinct(list(person_id))) AS persons, {visits} AS visits, count(*) AS records FROM {table}"
+                           for step, table, visits in (
+                               ("qualifying_events", "o_dx", "CAST(NULL AS BIGINT)"),
+                               ("index_visits", "o_index", "len(list_distinct(list(visit_occurrence_id)))"),
+                               ("cohort", "o_cohort", "len(list_distinct(list(visit_occurrence_id)))"))),
         *base,
     )
     for t in EXTRACT_TABLES:
         q[f"extract_{t}"] = with_views(f"SELECT * FROM o_x_{t}", *base, *x)
     for t in ["drug_exposure", "death", "procedure_occurrence", "condition_occurrence", "device_exposure"]:
         q[f"extract_{t}_distinct"] = with_views(f"SELECT * FROM o_xd_{t}", *base, *xd)
-    q["extract_condition_occurrence_interval"] = with_views(f"""SELECT {_cols('condition_occurrence', 'c')}
-        FROM ck_condition_occurrence c
-        JOIN o_cohort coh ON c.person_id = coh.person_id
-         AND c.condition_start_date < coh.visit_end_date
-         AND (c.condition_end_date > coh.visit_start_date OR c.condition_end_date IS NULL)
-        {_concept_filter('Condition', 'c', 'condition_concept_id')}""", *base)
+    q["extract_condition_occurrence_interval"] = with_views(f"""SELECT {_cols('condition_occurrence', 'f')}
+        FROM ck_condition_occurrence f JOIN o_cohort k ON k.person_id = f.person_id JOIN ({_entries('Condition')}) e ON e.concept_id = f.condition_concept_id
+        WHERE k.visit_end_date > f.condition_start_date AND coalesce(f.condition_end_date, DATE '9999-12-31') > k.visit_start_date""", *base)
     q.update(generalise_and_deid_queries(p))
     q.update(late_queries(p))
     return q
@@ -191,7 +175,7 @@ def rare_ctes(min_count: int, tag: str) -> list[tuple[str, str]]:
                 WHERE c.ancestor_concept_count > {int(min_count)} GROUP BY 1) b ON b.descendant_concept_id = o.original_concept_id
             LEFT JOIN ck_concept n ON n.concept_id = -b.least.id"""),
         (f"o_rare_removed_{tag}", f"""SELECT x.* REPLACE (k.revised_concept_id AS condition_concept_id)
-            FROM o_x_condition_occurrence x, o_choice_{tag} k WHERE k.original_concept_id = x.condition_concept_id"""),
+            FROM o_x_condition_occurrence x JOIN o_choice_{tag} k ON k.original_concept_id = x.condition_concept_id"""),
     ]
 
 
@@ -232,11 +216,11 @@ def deid_ctes(p: Params = FIXTURE_PARAMS) -> list[tuple[str, str]]:
         ("o_pmap", f"""SELECT person_id AS source_key, {shift} AS date_shift, {year} AS over_89_birth_year,
                 row_number() OVER (ORDER BY gender_concept_id DESC, person_id DESC) AS id FROM o_x_person"""),
         ("o_vmap", f"""SELECT f.visit_occurrence_id AS source_key, row_number() OVER (ORDER BY f.visit_occurrence_id) AS new_id
-            FROM o_x_visit_occurrence f, o_pmap m WHERE m.source_key = f.person_id AND {inside}"""),
+            FROM o_x_visit_occurrence f JOIN o_pmap m ON m.source_key = f.person_id WHERE {inside}"""),
         ("o_born", f"""SELECT f.person_id, m.id, CAST(f.birth_datetime AS DATE) + m.date_shift AS born,
                 CASE WHEN datediff('day', f.birth_datetime, {_d(p.as_of)}) > 365.25 * {p.over_age} THEN m.over_89_birth_year
                      ELSE year(CAST(f.birth_datetime AS DATE) + m.date_shift) END AS birth_year
-            FROM o_x_person f, o_pmap m WHERE m.source_key = f.person_id"""),
+            FROM o_x_person f JOIN o_pmap m ON m.source_key = f.person_id"""),
         ("o_d_person", """SELECT f.* REPLACE (b.id AS person_id, b.birth_year AS year_of_birth, month(b.born) AS month_of_birth, 1 AS day_of_birth,
                 CAST(make_date(CAST(b.birth_year AS BIGINT), CAST(month(b.born) AS BIGINT), 1) AS TIMESTAMP) AS birth_datetime,
                 1 AS location_id, 1 AS provider_id, 1 AS care_site_id, '0' AS person_source_value, '0' AS gender_source_value,
@@ -347,10 +331,14 @@ def qc_queries(ctes, p: Params = FIXTURE_PARAMS) -> dict[str, str]:
 
 
 # ---------------------------------------------------------------- profiles
-def _closure_sql(domain: str) -> str:
-    return f"""SELECT ca.descendant_concept_id AS concept_id, ca.ancestor_concept_id, cs.concept_name
-        FROM ck_concept_set cs JOIN ck_concept_ancestor ca ON ca.ancestor_concept_id = cs.concept_id
-        WHERE cs.domain = '{domain}' AND (cs.include_descendants OR ca.ancestor_concept_id = ca.descendant_concept_id)"""
+# The persons of each concept that was diagnosed.
+_PATIENTS = "SELECT condition_concept_id AS own, list(DISTINCT person_id) AS people FROM o_d_condition_occurrence GROUP BY ALL"
+_ALL_PERSONS = "(SELECT len(list_distinct(list(person_id))) FROM o_d_person)"
+
+
+def _people(lists: str) -> str:
+    """How many persons some lists hold together."""
+    return f"len(list_distinct(flatten(list({lists}))))"
 
 
 def _sentence_sql() -> str:
@@ -386,7 +374,7 @@ def profile_ctes() -> list[tuple[str, str]]:
             ("m", "Measurement", "o_d_measurement", "measurement_concept_id", "ancestor_concept_id"),
             ("d", "Device", "o_d_device_exposure", "device_concept_id", "concept_id")):
         out += [
-            (f"o_{tag}entry", _closure_sql(domain)),
+            (f"o_{tag}entry", _entries(domain)),
             (f"o_{tag}cell", f"""SELECT e.{grain} AS concept_id, e.concept_name, f.person_id, count(*) AS concept_count
                 FROM o_{tag}entry e JOIN {table} f ON f.{concept} = e.concept_id
                 WHERE f.person_id IN (SELECT person_id FROM o_d_person) GROUP BY ALL"""),
@@ -413,22 +401,15 @@ def _percentiles_sql(names: dict[int, str]) -> str:
 
 def profile_queries(ctes, p: Params = FIXTURE_PARAMS) -> dict[str, str]:
     q = {}
-    q["profile_condition_observed"] = with_views("""SELECT c2.concept_name AS condition_name, ca.ancestor_concept_id,
-            COUNT(DISTINCT c.person_id) AS persons_with_condition_or_descendant,
-            (100 * COUNT(DISTINCT c.person_id)) // (SELECT COUNT(DISTINCT person_id) FROM o_d_person) AS percent_persons_with_condition
-        FROM o_d_condition_occurrence c
-        JOIN ck_concept_ancestor ca ON ca.descendant_concept_id = c.condition_concept_id
-         AND ca.ancestor_concept_id IN (SELECT condition_concept_id FROM o_d_condition_occurrence)
-        LEFT JOIN ck_concept c2 ON c2.concept_id = ca.ancestor_concept_id
-        GROUP BY ca.ancestor_concept_id, c2.concept_name""", *ctes)
-    q["profile_condition_registry"] = with_views("""SELECT cs.concept_name AS condition_name, ca.ancestor_concept_id,
-            COUNT(DISTINCT c.person_id) AS persons_with_condition,
-            (100 * COUNT(DISTINCT c.person_id)) // (SELECT COUNT(DISTINCT person_id) FROM o_d_person) AS percent_persons_with_condition
-        FROM o_d_condition_occurrence c
-        LEFT JOIN ck_concept_ancestor ca ON ca.descendant_concept_id = c.condition_concept_id
-        JOIN ck_concept_set cs ON ca.ancestor_concept_id = cs.concept_id
-        WHERE cs.domain = 'Condition' AND (cs.include_descendants OR ca.ancestor_concept_id = ca.descendant_concept_id)
-        GROUP BY ca.ancestor_concept_id, cs.concept_name""", *ctes)
+    q["profile_condition_observed"] = with_views(f"""SELECT (SELECT concept_name FROM ck_concept n WHERE n.concept_id = id) AS condition_name,
+            id AS ancestor_concept_id, persons AS persons_with_condition_or_descendant, 100 * persons // {_ALL_PERSONS} AS percent_persons_with_condition
+        FROM (SELECT up.own AS id, {_people('o.people')} AS persons
+              FROM ({_PATIENTS}) up JOIN ck_concept_ancestor a ON a.ancestor_concept_id = up.own JOIN ({_PATIENTS}) o ON o.own = a.descendant_concept_id
+              GROUP BY ALL)""", *ctes)
+    q["profile_condition_registry"] = with_views(f"""SELECT concept_name AS condition_name, ancestor_concept_id, persons AS persons_with_condition,
+            100 * persons // {_ALL_PERSONS} AS percent_persons_with_condition
+        FROM (SELECT e.concept_name, e.ancestor_concept_id, {_people('o.people')} AS persons
+              FROM ({_entries('Condition')}) e JOIN ({_PATIENTS}) o ON o.own = e.concept_id GROUP BY ALL)""", *ctes)
     q["profile_measurement_grid"] = with_views(_grid_sql("m"), *ctes)
     q["profile_measurement_rank"] = with_views("""SELECT concept_name, concept_id, concept_count, min(place) AS lo, max(place) AS hi
         FROM (SELECT concept_name, concept_id, unnest(counts) AS concept_count, generate_subscripts(counts, 1) AS place FROM o_mlist)
@@ -448,14 +429,13 @@ def profile_queries(ctes, p: Params = FIXTURE_PARAMS) -> dict[str, str]:
             CASE WHEN u.ingredient_concept_id IS NOT NULL THEN u.max_admin_per_person END AS max_admin_per_person FROM o_used{} u"""
     q["profile_ingredient"] = with_views(by_id.format(""), *ctes)
     q["summary_mapped_drug_profile"] = with_views(by_id.format("_x"), *ctes)
-    q["profile_unmapped_drugs"] = with_views(f"""SELECT * FROM (
-            SELECT de.drug_source_value, COUNT(de.drug_source_value) AS unmapped_drug_count
-            FROM ck_drug_exposure de
-            LEFT JOIN o_x_visit_occurrence coh ON de.person_id = coh.person_id
-             AND de.drug_exposure_start_date >= coh.visit_start_date AND de.drug_exposure_start_date <= coh.visit_end_date
-            WHERE de.drug_concept_id = 0
-            GROUP BY de.drug_source_value) x1
-        WHERE unmapped_drug_count > {p.unmapped_min_count}""", *ctes)
+    q["profile_unmapped_drugs"] = with_views(f"""SELECT drug_source_value, sum(times)::BIGINT AS unmapped_drug_count
+        FROM (SELECT d.drug_source_value, greatest(1, len(list_filter(coalesce(stays, []),
+                     lambda s: s.a <= d.drug_exposure_start_date AND d.drug_exposure_start_date <= s.b))) AS times
+              FROM ck_drug_exposure d LEFT JOIN (
+                  SELECT person_id, list({{'a': visit_start_date, 'b': visit_end_date}}) AS stays FROM o_x_visit_occurrence GROUP BY ALL) USING (person_id)
+              WHERE d.drug_concept_id = 0 AND d.drug_source_value IS NOT NULL)
+        GROUP BY ALL HAVING sum(times) > {p.unmapped_min_count}""", *ctes)
     per_device = """SELECT e.concept_name, e.concept_id, count(DISTINCT f.person_id) AS person_count,
             100 * count(DISTINCT f.person_id) // (SELECT count(DISTINCT person_id) FROM o_d_person) AS person_perc
         FROM o_dentry e LEFT JOIN o_d_device_exposure f ON f.device_concept_id = e.concept_id GROUP BY ALL"""
@@ -522,14 +502,13 @@ def summary_queries(ctes) -> dict[str, str]:
     i = lambda x: f"CAST(CAST({x} AS BIGINT) AS VARCHAR)"
     n = "CAST(NULL AS VARCHAR)"
     q = {}
-    q["summary_ingredient_route"] = with_views(f"""SELECT i.concept_id AS ingredient_concept_id, i.concept_name AS ingredient_name,
-            de.route_source_value AS route_source_value, de.drug_source_value AS drug_source_value,
-            COUNT(DISTINCT de.person_id) AS patient_count
-        FROM ck_drug_exposure de
-        JOIN ck_concept_ancestor ca ON ca.descendant_concept_id = de.drug_concept_id
-        JOIN ck_concept i ON i.concept_id = ca.ancestor_concept_id AND i.concept_class_id = 'Ingredient'
-        WHERE i.concept_id IN ({_ints(FIXTURE_INGREDIENTS)})
-        GROUP BY i.concept_id, i.concept_name, de.drug_source_value, de.route_source_value""", *ctes)
+    q["summary_ingredient_route"] = with_views(f"""SELECT n.concept_id AS ingredient_concept_id, n.concept_name AS ingredient_name,
+            d.route_source_value, d.drug_source_value, {_people('d.people')} AS patient_count
+        FROM (SELECT drug_concept_id, route_source_value, drug_source_value, list(DISTINCT person_id) AS people FROM ck_drug_exposure GROUP BY ALL) d
+        JOIN ck_concept_ancestor a ON a.descendant_concept_id = d.drug_concept_id
+        JOIN (FROM ck_concept WHERE concept_class_id = 'Ingredient' AND list_contains([{_ints(FIXTURE_INGREDIENTS)}], concept_id)) n
+          ON n.concept_id = a.ancestor_concept_id
+        GROUP BY ALL""", *ctes)
     people = "(SELECT count(DISTINCT person_id) FROM ck_measurement)"
     q["summary_measurement_source"] = with_views(f"""SELECT measurement_concept_id, measurement_source_value,
             count(DISTINCT person_id) AS unique_person_count, {_share_sql('count(DISTINCT person_id)', people)} AS percent_of_persons,

@@ -85,17 +85,15 @@ VIEWS: list[tuple[str, str]] = [
                0 AS gender_source_concept_id, n_name AS race_source_value, 0 AS race_source_concept_id,
                c_mktsegment AS ethnicity_source_value, 0 AS ethnicity_source_concept_id
         FROM (
-            SELECT c.*, n.*, CAST(c_custkey // 10 AS BIGINT) AS person_id,
-                   make_date(CAST(1900 + (7 * (c_custkey // 10)) % 100 AS BIGINT),
-                             CAST(1 + (c_custkey // 10) % 12 AS BIGINT), CAST(1 + (c_custkey // 10) % 28 AS BIGINT)) AS birth
+            SELECT c.*, n.*, CAST(c_custkey AS BIGINT) AS person_id,
+                   make_date(CAST(1900 + (7 * c_custkey) % 100 AS BIGINT), CAST(1 + c_custkey % 12 AS BIGINT), CAST(1 + c_custkey % 28 AS BIGINT)) AS birth
             FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey
-            WHERE c.c_custkey % 10 = 0
         ) x""",
     ),
     (
         "ck_visit_occurrence",
         """
-        SELECT CAST(o_orderkey AS BIGINT) AS visit_occurrence_id, CAST(o_custkey // 10 AS BIGINT) AS person_id,
+        SELECT CAST(o_orderkey AS BIGINT) AS visit_occurrence_id, CAST(o_custkey AS BIGINT) AS person_id,
                CASE o_orderstatus WHEN 'F' THEN 9201 WHEN 'P' THEN 262 ELSE 9202 END AS visit_concept_id,
                vs AS visit_start_date, CAST(vs AS TIMESTAMP) AS visit_start_datetime,
                ve AS visit_end_date, CAST(ve AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS BIGINT)) AS visit_end_datetime,
@@ -113,7 +111,7 @@ VIEWS: list[tuple[str, str]] = [
                CAST(ed AS TIMESTAMP) + to_hours(hrs) AS edt
         FROM (
             SELECT CAST((((l_orderkey * 10 + l_linenumber) * 20000 + l_partkey) * 1000 + l_suppkey) AS BIGINT) AS rid,
-                   CAST(o_custkey // 10 AS BIGINT) AS pid, CAST(o_orderkey AS BIGINT) AS vid,
+                   CAST(o_custkey AS BIGINT) AS pid, CAST(o_orderkey AS BIGINT) AS vid,
                    CASE WHEN l_returnflag = 'R' AND l_linenumber <= 3 THEN CAST(0 AS BIGINT) ELSE 1000000 + p.p_partkey END AS cid,
                    p.p_name AS src,
                    CAST(o_orderdate AS DATE) + CAST(3 * l_linenumber - 4 AS INTEGER) AS sd,

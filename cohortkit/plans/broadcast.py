@@ -1,44 +1,110 @@
-"""Size-checked broadcast.
-
-A side is hinted for broadcast only when the optimizer's size estimate of its plan is below a
-limit. For the plans this library broadcasts (scans, filters, projections, aggregates and
-joins of vocabulary slices) the estimate without CBO is an upper bound: filters and
-aggregates never shrink it, and joins multiply it. Above the limit no hint is given, so the
-join stays a shuffle join; adaptive execution may still convert it at run time, from the
-measured size of the materialised shuffle (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+"""Measured broadcasts, and joins with a lookup table of any size.
+
+A side is broadcast only after its rows have been measured: its bytes are added up row by row, strings and lists by
+their real length, while it is written as a stage under the cluster's checkpoint folder (an optimizer's estimate counts a
+list as one element and trusts compressed file sizes). The written table is what is then joined, so the side is
+computed once and lost executors cost a re-read. A plain projection of a table that is already written is measured
+in place.
+
+Above the limit ``join_lookup`` splits the facts: the few keys that hold a large share of them are found by a count,
+their lookup rows are broadcast (their number is bounded by the share), and only the other facts are shuffled.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import re
+import uuid
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from cohortkit.session import ensure_checkpoint_dir
 
 DEFAULT_LIMIT = 64 * 1024 * 1024
+ROW_OVERHEAD = 16
+# A key that holds at least this share of the facts is heavy, so there are at most 1 / HEAVY_SHARE of them.
+HEAVY_SHARE = 1 / 1000
+
+
+def value_bytes(value: Column, kind: T.DataType) -> Column:
+    """Bytes of a value in memory, 0 for its content if null."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.lit(8) + F.coalesce(F.octet_length(value), F.lit(0))
+    if isinstance(kind, T.ArrayType):
+        each = F.aggregate(F.transform(value, lambda x: value_bytes(x, kind.elementType).cast("long")), F.lit(0).cast("long"), lambda a, b: a + b)
+        return F.lit(24) + F.coalesce(each, F.lit(0))
+    if isinstance(kind, T.MapType):
+        return F.lit(24) + value_bytes(F.map_keys(value), T.ArrayType(kind.keyType)) + value_bytes(F.map_values(value), T.ArrayType(kind.valueType))
+    if isinstance(kind, T.StructType):
+        out = F.lit(16)
+        for f in kind.fields:
+            out = out + value_bytes(value.getField(f.name), f.dataType)
+        return out
+    return F.lit(16 if isinstance(kind, T.DecimalType) else 8)
+
 
+def _row_bytes(df: DataFrame) -> Column:
+    out = F.lit(ROW_OVERHEAD)
+    for f in df.schema.fields:
+        out = out + value_bytes(F.col(f"`{f.name}`"), f.dataType)
+    return F.coalesce(F.sum(out.cast("long")), F.lit(0).cast("long"))
 
-def estimated_bytes(df: DataFrame) -> int:
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:  # pragma: no cover - no JVM handle (e.g. Spark Connect): be conservative
-        return 1 << 62
 
+def _is_written(df: DataFrame) -> bool:
+    """Whether ``df`` is columns of one file table, perhaps filtered."""
+    nodes = re.findall(r"^[\s:+\-]*(\w+)", df._jdf.queryExecution().optimizedPlan().toString(), re.M)
+    return bool(nodes) and nodes[-1] == "Relation" and set(nodes[:-1]) <= {"Project", "Filter"}
 
-def broadcast_if_small(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT) -> DataFrame:
-    return F.broadcast(df) if estimated_bytes(df) <= limit_bytes else df
+
+def written(df: DataFrame, *metrics: Observation | Column) -> DataFrame:
+    """``df`` as a table under the checkpoint folder; with an observation and its columns, observed on the way."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/cohortkit-sides/{uuid.uuid4().hex}"
+    (df.observe(*metrics) if metrics else df).write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` as a written table, and its bytes in memory."""
+    if _is_written(df):
+        return df, df.agg(_row_bytes(df)).first()[0]
+    seen = Observation()
+    side = written(df, seen, _row_bytes(df).alias("bytes"))
+    return side, seen.get["bytes"] or 0
 
 
 def broadcast_checked(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT) -> DataFrame:
-    """Broadcast a side whose size is proven small.
-
-    First the optimizer's upper bound; when that is inconclusive (joins of vocabulary slices are
-    estimated as the product of their inputs) the side is cached and its rows are counted, and their
-    number times the width of a row is the measured bound. A side beyond ``limit_bytes`` is not kept
-    in the cache and stays a shuffle join (adaptive execution may still convert it from the measured
-    shuffle size)."""
-    if estimated_bytes(df) <= limit_bytes:
-        return F.broadcast(df)
-    cached = df.persist()
-    if cached.count() * max(8, df._jdf.schema().defaultSize()) <= limit_bytes:
-        return F.broadcast(cached)
-    cached.unpersist()
-    return df
+    """``df``, hinted for broadcast if its measured bytes stay within the limit, else for a shuffle join (without a
+    hint the optimizer would go by the size of compressed files)."""
+    side, size = measured(df)
+    return F.broadcast(side) if size <= limit_bytes else side.hint("shuffle_merge")
+
+
+def join_lookup(facts: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: str, how: str = "inner",
+                limit_bytes: int | None = None) -> DataFrame:
+    """``facts`` joined (inner, left or left_semi) with ``lookup``, which has one row per ``lookup_key`` and shares
+    no column name with ``facts``. A null key matches nothing.
+
+    Within the limit the lookup is broadcast. Beyond it, facts of heavy keys meet the broadcast rows of those keys
+    where they are, facts without a key are not joined at all, and the others are shuffled: none of their keys
+    holds more than HEAVY_SHARE of the facts."""
+    if how not in ("inner", "left", "left_semi"):
+        raise ValueError(how)
+    side, size = measured(lookup)
+    on = F.col(fact_key) == F.col(lookup_key)
+    if size <= (DEFAULT_LIMIT if limit_bytes is None else limit_bytes):
+        return facts.join(F.broadcast(side), on, how)
+    facts = facts if _is_written(facts) else written(facts)  # read several times below
+    held = facts.where(F.col(fact_key).isNotNull()).groupBy(F.col(fact_key).alias("_held")).agg(F.count(F.lit(1)).alias("_n"))
+    held = written(held)
+    total = held.agg(F.sum("_n")).first()[0] or 0
+    heavy = F.broadcast(held.where(F.col("_n") >= max(2, int(total * HEAVY_SHARE))).select("_held"))  # at most 1 / HEAVY_SHARE rows
+    heavy_rows = F.broadcast(side.join(heavy, F.col(lookup_key) == F.col("_held"), "left_semi"))
+    keyed = facts.where(F.col(fact_key).isNotNull())
+    is_heavy = F.col(fact_key) == F.col("_held")
+    out = keyed.join(heavy, is_heavy, "left_semi").join(heavy_rows, on, how).unionByName(
+        keyed.join(heavy, is_heavy, "left_anti").join(side.hint("shuffle_merge"), on, how))
+    if how == "left":
+        none = [F.lit(None).cast(f.dataType).alias(f.name) for f in side.schema.fields]
+        out = out.unionByName(facts.where(F.col(fact_key).isNull()).select("*", *none))
+    return out

@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortkit.operators.bag import expand_bag
 from cohortkit.operators import cohort as C
 from cohortkit.operators import concepts as K
 from cohortkit.operators import deid as D
@@ -92,7 +93,7 @@ class Ctx:
         )
 
     # -- extract
-    def extract(self, table: str, multiplicity: str = "reference") -> DataFrame:
+    def extract(self, table: str, multiplicity: str = "weighted") -> DataFrame:
         return self.stage(
             f"x_{table}_{multiplicity}",
             lambda: X.extract(
@@ -162,7 +163,7 @@ query("cohort_preview")(lambda c: C.preview(c.cohort(), 100))
 
 # ---------------------------------------------------------------- extract
 for _t in X.SPECS:
-    query(f"extract_{_t}")(lambda c, t=_t: c.extract(t))
+    query(f"extract_{_t}")(lambda c, t=_t: expand_bag(c.extract(t)))
 for _t in ["drug_exposure", "death", "procedure_occurrence", "condition_occurrence", "device_exposure"]:
     query(f"extract_{_t}_distinct")(lambda c, t=_t: c.extract(t, "distinct"))
 query("extract_condition_occurrence_interval")(
@@ -176,7 +177,7 @@ for _m in (10, 25):
         lambda c: G.ancestor_counts(G.person_concepts(c.extract("condition_occurrence")), c.v.concept_ancestor, c.v.concept)
     )
     query(f"rare_map_m{_m}")(lambda c, m=_m: c.rare_map(m))
-    query(f"rare_rewrite_m{_m}")(lambda c, m=_m: c.rare_removed(m))
+    query(f"rare_rewrite_m{_m}")(lambda c, m=_m: expand_bag(c.rare_removed(m)))
 query("rare_dropped_m10")(lambda c: G.dropped_facts(c.extract("condition_occurrence"), c.rare_map(10)))
 query("rare_concept_counts")(lambda c: G.concept_person_counts(G.person_concepts(c.extract("condition_occurrence")), c.v.concept))
 
@@ -185,7 +186,7 @@ query("deid_person_map")(lambda c: c.person_map())
 query("deid_visit_map")(lambda c: c.visit_map())
 for _t in ["person", "visit_occurrence", "condition_occurrence", "procedure_occurrence", "drug_exposure",
            "observation", "death", "device_exposure", "measurement"]:
-    query(f"deid_{_t}")(lambda c, t=_t: c.deid(t))
+    query(f"deid_{_t}")(lambda c, t=_t: expand_bag(c.deid(t)))
 
 # ---------------------------------------------------------------- contract
 def _contract(c: Ctx) -> DataFrame:
@@ -281,7 +282,7 @@ def _age(c: Ctx) -> DataFrame:
 query("summary_first_visit")(_first)
 query("summary_age_rows")(_age)
 query("summary_demographics")(lambda c: S.demographics(c.extract("person"), _age(c)))
-query("summary_death_info")(lambda c: S.death_info(c.extract("death"), c.v.concept))
+query("summary_death_info")(lambda c: expand_bag(S.death_info(c.extract("death"), c.v.concept)))
 query("summary_stay_rows")(lambda c: S.stay(c.cohort(), _first(c)))
 query("summary_age")(lambda c: S.age_summary(_age(c)))
 query("summary_race")(lambda c: S.share(S.demographics(c.extract("person"), _age(c)), c.v.concept, "race_concept_id", "race"))

@@ -2,22 +2,31 @@
 VARCHAR(n) limits of the key maps and the nine ``deid_*`` tables.
 
 Spark does not enforce NOT NULL or string lengths on a DataFrame, so ``conform`` casts to the
-contract and ``violations`` counts what would fail an insert into the reference's DDL (Q4, Q17:
-an open visit or a drug with no end date), in one aggregate per table.
+contract, ``violations`` counts what would fail an insert into the reference's DDL (Q4, Q17:
+an open visit or a drug with no end date), in one aggregate per table, and ``broken_rules`` names, row by
+row, the rules that a row breaks, by which a run keeps such rows out of the tables it publishes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortkit.operators.bag import times
+
 _TYPES = {"long": T.LongType(), "int": T.IntegerType(), "date": T.DateType(), "ts": T.TimestampNTZType(),
           "double": T.DoubleType(), "string": T.StringType()}
 
 # The target DDL. Each entry "name type[!][:maxlen]"; '!' marks NOT NULL.
 # Ids and concept ids are long (the source keys are int64); small codes are int.
 _SPEC = {
+    "cohort": (
+        "person_id long!, visit_occurrence_id long!, visit_start_date date!, visit_end_date date!, birth_date date, "
+        "death_date date"
+    ),
     "person_map": "source_key long!, id long!, date_shift int, over_89_birth_year int",
     "visit_map": "source_key long!, new_id long!",
     "person": (
@@ -108,29 +117,43 @@ def column_names(table: str) -> list[str]:
     return [c[0] for c in COLUMNS[table]]
 
 
-def conform(df: DataFrame, table: str) -> DataFrame:
-    """Select the contract's columns in order, cast to its types (missing columns become NULL)."""
+def conform(df: DataFrame, table: str, along: Sequence[str] = ()) -> DataFrame:
+    """Select the contract's columns in order, cast to its types (missing columns become NULL), and after them
+    the columns ``along`` as they are."""
     have = set(df.columns)
     return df.select(
         *[
             (F.col(n) if n in have else F.lit(None)).cast(_TYPES[t]).alias(n)
             for n, t, _, _ in COLUMNS[table]
-        ]
+        ],
+        *along,
     )
 
 
+def _rules(df: DataFrame, table: str) -> list[tuple[str, str, Column]]:
+    """(column, rule, whether a row breaks it) of the contract's rules on the columns of ``df``."""
+    out = []
+    for n, _, not_null, max_len in COLUMNS[table]:
+        if n not in df.columns:
+            continue
+        if not_null:
+            out.append((n, "not_null", F.col(n).isNull()))
+        if max_len is not None:
+            out.append((n, f"max_length_{max_len}", F.coalesce(F.length(F.col(n)) > max_len, F.lit(False))))
+    return out
+
+
+def broken_rules(df: DataFrame, table: str) -> Column:
+    """The rules ("column: rule") that a row breaks, an empty list for most."""
+    named = [F.when(broken, F.lit(f"{n}: {rule}")) for n, rule, broken in _rules(df, table)]
+    return F.filter(F.array(*named), lambda r: r.isNotNull()) if named else F.array().cast("array<string>")
+
+
 def violations(df: DataFrame, table: str) -> DataFrame:
     """(table_name, column_name, rule, violations): NULLs in NOT NULL columns and strings longer than
     the VARCHAR limit, from one global aggregate; only rules with a count are returned as rows
     with violations > 0 filtered by the caller if wanted."""
-    checks = []
-    for n, _, nn, max_len in COLUMNS[table]:
-        if n not in df.columns:
-            continue
-        if nn:
-            checks.append((n, "not_null", F.sum(F.when(F.col(n).isNull(), 1).otherwise(0))))
-        if max_len is not None:
-            checks.append((n, f"max_length_{max_len}", F.sum(F.when(F.length(F.col(n)) > max_len, 1).otherwise(0))))
+    checks = [(n, rule, F.sum(F.when(broken, times(df)).otherwise(0))) for n, rule, broken in _rules(df, table)]
     agg = df.agg(*[F.coalesce(c, F.lit(0)).cast("long").alias(f"c{i}") for i, (_, _, c) in enumerate(checks)])
     stack = ", ".join(f"'{n}', '{r}', c{i}" for i, (n, r, _) in enumerate(checks))
     return agg.selectExpr(f"stack({len(checks)}, {stack}) AS (column_name, rule, violations)").select(

@@ -272,11 +272,10 @@ def clinical_view(spark: SparkSession, sf_dir: str) -> ClinicalTables:
     parts = _parts(spark, sf_dir)
 
     # ---- person
-    p = F.expr("c_custkey div 10")
+    p = F.col("c_custkey")
     birth = F.make_date(1900 + (7 * p) % 100, 1 + p % 12, 1 + p % 28)
     person = (
-        customer.where(F.col("c_custkey") % 10 == 0)
-        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             p.cast("long").alias("person_id"),
             F.when(p % 2 == 0, GENDER_EVEN).otherwise(GENDER_ODD).cast("int").alias("gender_concept_id"),
@@ -309,7 +308,7 @@ def clinical_view(spark: SparkSession, sf_dir: str) -> ClinicalTables:
     )
     visit = orders.select(
         F.col("o_orderkey").cast("long").alias("visit_occurrence_id"),
-        F.expr("o_custkey div 10").cast("long").alias("person_id"),
+        F.col("o_custkey").cast("long").alias("person_id"),
         vtype.cast("int").alias("visit_concept_id"),
         vstart.alias("visit_start_date"),
         _hours(vstart, F.lit(0)).alias("visit_start_datetime"),
@@ -340,7 +339,7 @@ def clinical_view(spark: SparkSession, sf_dir: str) -> ClinicalTables:
         (((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 20000 + F.col("l_partkey")) * 1000 + F.col("l_suppkey"))
         .cast("long")
         .alias("rid"),
-        F.expr("o_custkey div 10").cast("long").alias("pid"),
+        F.col("o_custkey").cast("long").alias("pid"),
         F.col("o_orderkey").cast("long").alias("vid"),
         F.when((F.col("l_returnflag") == "R") & (F.col("l_linenumber") <= 3), F.lit(0).cast("long"))
         .otherwise(F.lit(LEAF_BASE) + F.col("l_partkey"))

@@ -8,6 +8,7 @@ from helpers import D, F, ancestor_df, cohort_df, concept_df, concept_set_df, co
 
 from cohortkit.operators import cohort as C
 from cohortkit.operators import extract as X
+from cohortkit.operators.bag import TIMES
 from cohortkit.params import Params
 
 P = Params(study_start=D(2020, 1, 1), extract_visit_start=D(2020, 1, 1))
@@ -222,27 +223,18 @@ def test_cohort_options_distinct_and_death_fallback(spark):
     assert len(one) == 1 and one[0]["death_date"] == D(2020, 4, 1) and one[0]["birth_date"] == D(1950, 5, 1)
 
 
-def test_binned_band_join_pairs_match_brute_force(spark):
-    from cohortkit.operators.intervals import binned_band_join
-
-    rnd = random.Random(5)
-    base = D(2019, 1, 1)
-    day = lambda n: base + dt.timedelta(days=n)
-    ivs = [(p, day(s), day(s + rnd.randint(-5, 400))) for p in range(1, 4) for s in rnd.sample(range(0, 700), 6)]
-    facts = [(i, rnd.randint(1, 3), day(rnd.randint(-30, 1200))) for i in range(400)]
-    idf = spark.createDataFrame(ivs, "person_id bigint, lo date, hi date")
-    fdf = spark.createDataFrame(facts, "fid bigint, person_id bigint, d date")
-    for width in (7, 32, 365):
-        pairs = binned_band_join(fdf, idf, "person_id", "d", F.col("lo"), F.col("hi"), how="inner", width=width)
-        got = count_by(pairs, "fid")
-        want = {}
-        for i, p, d in facts:
-            k = sum(1 for q, lo, hi in ivs if q == p and lo <= hi and lo <= d <= hi)
-            if k:
-                want[i] = k
-        assert got == want, width
-        semi = binned_band_join(fdf, idf, "person_id", "d", F.col("lo"), F.col("hi"), how="left_semi", width=width)
-        assert sorted(r[0] for r in semi.select("fid").collect()) == sorted(want)
+def test_distinct_interval_and_weighted_forms_agree(spark):
+    cs, ca, c = _vocab(spark)
+    cs = cs.withColumn("domain", F.lit("Procedure"))
+    coh = cohort_df(spark, [(1, 50, D(2020, 5, 10), D(2020, 5, 12)), (1, 51, D(2020, 5, 11), D(2020, 5, 11))])
+    pr = table(spark, "procedure_occurrence", [
+        {"procedure_occurrence_id": i, "person_id": 1, "procedure_concept_id": 101, "procedure_date": D(2020, 5, 7 + i)} for i in range(9)
+    ])
+    args = (pr, coh, X.SPECS["procedure_occurrence"], P, cs, ca, c)
+    weighted = {r["procedure_occurrence_id"]: r[TIMES] for r in X.extract(*args, multiplicity="weighted").collect()}
+    assert weighted == {2: 2, 3: 4, 4: 4, 5: 4, 6: 2}
+    assert count_by(X.extract(*args), "procedure_occurrence_id") == weighted
+    assert ids(X.extract(*args, multiplicity="distinct"), "procedure_occurrence_id") == sorted(weighted)
 
 
 def test_condition_overlap_with_open_visits(spark):

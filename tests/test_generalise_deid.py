@@ -8,6 +8,8 @@ from helpers import D, F, ancestor_df, concept_df, ids, plan_text, table
 from cohortkit.functions.keyed import date_shift
 from cohortkit.operators import deid as DE
 from cohortkit.operators import generalise as G
+from cohortkit.operators.bag import TIMES
+from cohortkit.operators.quality import qc_concepts
 from cohortkit.operators.rownum import row_number_global
 
 
@@ -170,3 +172,30 @@ def test_visit_map_continues_after_existing_ids(spark):
     vmap = DE.visit_map(visits, pmap, D(2000, 1, 1), D(2030, 1, 1), existing=existing)
     got = sorted((r["source_key"], r["new_id"]) for r in vmap.collect())
     assert got == [(3, 1), (5, 2), (7, 3), (9, 4)]
+
+
+def test_person_map_over_refreshes(spark):
+    """A new person that sorts first changes no old id, shift or birth year; ids are never given anew."""
+    def persons(rows):
+        return table(spark, "person", [{"person_id": p, "gender_concept_id": g} for p, g in rows])
+
+    first = DE.person_map(persons([(1, 8507), (5, 8532), (9, 8507)]), "salt", D(2024, 1, 1))
+    old = {r["source_key"]: r for r in first.collect()}
+    assert [old[k]["id"] for k in (5, 9, 1)] == [1, 2, 3]
+    second = DE.person_map(persons([(1, 8507), (5, 8507), (77, 8532), (99, 8532), (9, 8507)]), "salt", D(2031, 6, 1), existing=first)
+    new = {r["source_key"]: r for r in second.collect()}
+    assert {k: new[k] for k in old} == old and [new[99]["id"], new[77]["id"]] == [4, 5]
+    # the highest id ever given counts, although its row has left the map
+    third = DE.person_map(persons([(123, 8507)]), "salt", D(2031, 6, 1), existing=second.where("id < 3"), watermark=5)
+    assert sorted(r["id"] for r in third.collect()) == [1, 2, 6]
+
+
+def test_weights_are_carried_and_counted(spark):
+    facts = _facts(spark, [(1, 5), (2, 5), (3, 6)]).withColumn(TIMES, F.col("person_id"))
+    m = spark.createDataFrame([(5, 50)], "original_concept_id bigint, revised_concept_id bigint")
+    assert [(r["condition_concept_id"], r[TIMES]) for r in G.generalise(facts, m).orderBy("person_id").collect()] == [(50, 1), (50, 2)]
+    assert G.dropped_facts(facts, m).collect()[0]["dropped_records"] == 3
+    persons = table(spark, "person", [{"person_id": p, "gender_concept_id": 8507} for p in range(1, 4)])
+    out = DE.deidentify(facts, DE.person_map(persons, "s", D(2024, 1, 1)), None, DE.DEID_SPECS["condition_occurrence"], D(1900, 1, 1), D(2100, 1, 1))
+    assert sorted(r[TIMES] for r in out.collect()) == [1, 2, 3]
+    assert {r["condition_concept_id"]: r["num_records"] for r in qc_concepts(out, "condition_concept_id").collect()} == {5: 3, 6: 3}

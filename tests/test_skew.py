@@ -1,11 +1,11 @@
 """One person holds a third of all facts and of the cohort's visits: results stay exact and the fact
-side is never joined on person_id alone (the join key carries the day), so the hot person's rows are
-spread by date instead of landing in one task."""
+side is never joined on person_id alone (the join key carries a bin of days, or the person's map row is
+broadcast), so the hot person's rows are spread instead of landing in one task."""
 
 import datetime as dt
 import random
 
-from helpers import D, ancestor_df, cohort_df, concept_set_df, count_by, plan_text, table
+from helpers import D, F, ancestor_df, cohort_df, concept_set_df, count_by, plan_text, table
 
 from cohortkit.operators import deid as DE
 from cohortkit.operators import extract as X
@@ -68,7 +68,7 @@ def test_hot_person_extracts_are_exact(spark):
     assert got == want
 
 
-def test_hot_person_fact_join_is_keyed_by_day(spark):
+def test_hot_person_fact_join_is_keyed_by_bin(spark):
     visits, facts = _skewed(spark, 300)
     coh = cohort_df(spark, [(p, 1000 + i, s, e) for i, (p, s, e) in enumerate(visits)])
     meas = table(spark, "measurement", [
@@ -78,10 +78,44 @@ def test_hot_person_fact_join_is_keyed_by_day(spark):
                     ancestor_df(spark, [(5, 5, 0)]), None)
     out.count()
     txt = plan_text(out)
-    # the only join between the facts and the cohort-derived coverage is on (person_id, date)
-    assert "measurement_date" in txt and "CartesianProduct" not in txt and "BroadcastNestedLoopJoin" not in txt
-    joins = [line for line in txt.splitlines() if "Join" in line and "LeftSemi" in line and "measurement_date" in line]
-    assert joins, txt
+    assert "CartesianProduct" not in txt and "BroadcastNestedLoopJoin" not in txt
+    # the only join between the facts and what comes of the cohort's windows is on (person_id, bin)
+    joins = [line for line in txt.splitlines() if "Join" in line and "person_id" in line and "LeftSemi" not in line]
+    assert joins and all("_fbin" in line and "_bin" in line for line in joins), txt
+
+
+def _map_case(spark, n=3000):
+    visits, facts = _skewed(spark, n)
+    persons = table(spark, "person", [{"person_id": p, "gender_concept_id": 8507} for p in range(1, HOT + 1)])
+    pmap = DE.person_map(persons, "salt", D(2024, 1, 1))
+    rows = [{"condition_occurrence_id": i, "person_id": p, "condition_concept_id": 5, "condition_start_date": s,
+             "visit_occurrence_id": None if i % 4 == 0 else -5 if i % 4 == 1 else i % 60} for i, p, s, _ in facts]
+    vmap = spark.createDataFrame([(-5, 1)] + [(v, v + 2) for v in range(40)], "source_key bigint, new_id bigint")
+    return facts, rows, table(spark, "condition_occurrence", rows).repartition(8, "condition_occurrence_id"), pmap, vmap
+
+
+def test_deid_maps_above_the_broadcast_bound(spark):
+    """With the bound at 0 no task gets a third of the rows, and ids, shifts and visits are the same."""
+    facts, rows, cond, pmap, vmap = _map_case(spark)
+    spec, window = DE.DEID_SPECS["condition_occurrence"], (D(1900, 1, 1), D(2100, 1, 1))
+    small = DE.deidentify(cond, pmap, vmap, spec, *window)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        large = DE.deidentify(cond, pmap, vmap, spec, *window, limit_bytes=0)
+        assert small.count() == large.count() == len(rows) and small.exceptAll(large).isEmpty()
+        sizes = [r["count"] for r in large.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        assert 3 * max(sizes) < len(rows), sizes
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_deid_keeps_visits_with_negative_ids(spark):
+    _, rows, cond, pmap, vmap = _map_case(spark, 300)
+    out = DE.deidentify(cond, pmap, vmap, DE.DEID_SPECS["condition_occurrence"], D(1900, 1, 1), D(2100, 1, 1))
+    new = {r["source_key"]: r["new_id"] for r in vmap.collect()}
+    got = {r["condition_occurrence_id"]: r["visit_occurrence_id"] for r in out.collect()}
+    assert got == {r["condition_occurrence_id"]: new.get(r["visit_occurrence_id"]) for r in rows}
+    assert 1 in got.values()
 
 
 def test_hot_person_deid_keeps_one_shift(spark):
