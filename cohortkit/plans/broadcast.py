@@ -1,10 +1,11 @@
 """Measured broadcasts, and joins with a lookup table of any size.
 
-A side is broadcast only after its rows have been measured: its bytes are added up row by row, strings and lists by
-their real length, while it is written as a stage under the cluster's checkpoint folder (an optimizer's estimate counts a
-list as one element and trusts compressed file sizes). The written table is what is then joined, so the side is
-computed once and lost executors cost a re-read. A plain projection of a table that is already written is measured
-in place.
+A side is broadcast only if its size is proven. Columns of fixed width are, where the rows that the plan can give are
+bounded by the row counts in the footers of a few files (``_row_bound``). Otherwise its rows are measured: their bytes
+are added up, strings and lists by their real length, while the side is written as a stage under the cluster's
+checkpoint folder (an optimizer's estimate counts a list as one element and trusts compressed file sizes). The written
+table is what is then joined, so the side is computed once and lost executors cost a re-read. A plain projection
+of a table that is already written is measured in place.
 
 Above the limit ``join_lookup`` splits the facts: the few keys that hold a large share of them are found by a count,
 their lookup rows are broadcast (their number is bounded by the share), and only the other facts are shuffled.
@@ -25,6 +26,9 @@ DEFAULT_LIMIT = 64 * 1024 * 1024
 ROW_OVERHEAD = 16
 # A key that holds at least this share of the facts is heavy, so there are at most 1 / HEAVY_SHARE of them.
 HEAVY_SHARE = 1 / 1000
+FOOTERS = 64  # files whose footers are read for a bound
+_ROWS: dict[tuple, int] = {}
+_FIXED = (T.LongType, T.IntegerType, T.ShortType, T.ByteType, T.DoubleType, T.FloatType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 def value_bytes(value: Column, kind: T.DataType) -> Column:
@@ -64,6 +68,60 @@ def written(df: DataFrame, *metrics: Observation | Column) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _footer_rows(spark, files: list[str]) -> int | None:
+    """Rows of some parquet files by their footers; None for many files, or for another format."""
+    jvm, conf, total = spark._jvm, spark._jsc.hadoopConfiguration(), 0
+    if len(files) > FOOTERS:
+        return None
+    for name in files:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        state = path.getFileSystem(conf).getFileStatus(path)
+        key = (name, state.getLen(), state.getModificationTime())
+        if key not in _ROWS:
+            if not name.endswith(".parquet"):
+                return None
+            reader = jvm.org.apache.parquet.hadoop.ParquetFileReader.open(jvm.org.apache.parquet.hadoop.util.HadoopInputFile.fromPath(path, conf))
+            try:
+                _ROWS[key] = reader.getRecordCount()
+            finally:
+                reader.close()
+        total += _ROWS[key]
+    return total
+
+
+def _row_bound(spark, node) -> int | None:
+    """The most rows that a logical plan can give, None if that is not plain. Filters, projections, aggregates and
+    semi joins give no more rows than they get, a join no more than all pairs."""
+    name, children = node.nodeName(), node.children()
+    kids = [_row_bound(spark, children.apply(i)) for i in range(children.size())] if name != "LogicalRelation" else []
+    if any(k is None for k in kids):
+        return None
+    if name in ("Project", "Filter", "Aggregate", "Distinct", "Deduplicate", "Sort", "Window", "ResolvedHint", "SubqueryAlias"):
+        return max(1, kids[0])
+    if name == "Union":
+        return sum(kids)
+    if name == "LocalRelation":
+        return node.data().size()
+    if name == "Join":
+        kind = node.joinType().toString()
+        if kind in ("LeftSemi", "LeftAnti"):
+            return kids[0]
+        pairs = max(1, kids[0]) * max(1, kids[1])
+        return pairs + kids[0] + kids[1] if kind == "FullOuter" else pairs if kind in ("Inner", "LeftOuter", "RightOuter") else None
+    if node.getClass().getSimpleName() == "LogicalRelation":
+        location = getattr(node.relation(), "location", None)
+        return _footer_rows(spark, list(location().inputFiles())) if location else None
+    return None
+
+
+def _bound(df: DataFrame) -> int | None:
+    """Bytes that ``df`` can have at most, if its plan shows it."""
+    if not all(isinstance(f.dataType, _FIXED) for f in df.schema.fields):
+        return None
+    rows = _row_bound(df.sparkSession, df._jdf.queryExecution().optimizedPlan())
+    return None if rows is None else rows * (ROW_OVERHEAD + 16 * len(df.columns))
+
+
 def measured(df: DataFrame) -> tuple[DataFrame, int]:
     """``df`` as a written table, and its bytes in memory."""
     if _is_written(df):
@@ -76,10 +134,15 @@ def measured(df: DataFrame) -> tuple[DataFrame, int]:
 def broadcast_checked(df: DataFrame, limit_bytes: int = DEFAULT_LIMIT) -> DataFrame:
     """``df``, hinted for broadcast if its measured bytes stay within the limit, else for a shuffle join (without a
     hint the optimizer would go by the size of compressed files)."""
-    side, size = measured(df)
+    side, size = _side(df, limit_bytes)
     return F.broadcast(side) if size <= limit_bytes else side.hint("shuffle_merge")
 
 
+def _side(df: DataFrame, limit_bytes: int) -> tuple[DataFrame, int]:
+    bound = _bound(df)
+    return (df, bound) if bound is not None and bound <= limit_bytes else measured(df)
+
+
 def join_lookup(facts: DataFrame, lookup: DataFrame, fact_key: str, lookup_key: str, how: str = "inner",
                 limit_bytes: int | None = None) -> DataFrame:
     """``facts`` joined (inner, left or left_semi) with ``lookup``, which has one row per ``lookup_key`` and shares
@@ -90,9 +153,10 @@ def join_lookup(facts: DataFrame, lookup: DataFrame, fact_key: str, lookup_key:
     holds more than HEAVY_SHARE of the facts."""
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(how)
-    side, size = measured(lookup)
+    limit = DEFAULT_LIMIT if limit_bytes is None else limit_bytes
+    side, size = _side(lookup, limit)
     on = F.col(fact_key) == F.col(lookup_key)
-    if size <= (DEFAULT_LIMIT if limit_bytes is None else limit_bytes):
+    if size <= limit:
         return facts.join(F.broadcast(side), on, how)
     facts = facts if _is_written(facts) else written(facts)  # read several times below
     held = facts.where(F.col(fact_key).isNotNull()).groupBy(F.col(fact_key).alias("_held")).agg(F.count(F.lit(1)).alias("_n"))

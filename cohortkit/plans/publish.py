@@ -123,6 +123,7 @@ class Run:
         self.files = _Files(spark, self.root)
         self.tables: dict[str, str] = {}
         self.quarantine: dict[str, str] = {}
+        self.rows: dict[str, int] = {}
         self.ended = False
 
     def __enter__(self) -> "Run":
@@ -133,7 +134,9 @@ class Run:
             self.files.remove(self.folder)
 
     def _write(self, path: str, df: DataFrame, sort: list[str] | None) -> DataFrame:
-        (df.sortWithinPartitions(*sort) if sort else df).write.parquet(path)
+        seen = Observation()
+        (df.sortWithinPartitions(*sort) if sort else df).observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        self.rows[path] = seen.get["rows"]
         return self.spark.read.schema(df.schema).parquet(path)
 
     def stage(self, name: str, df: DataFrame, sort: list[str] | None = None) -> DataFrame:
@@ -167,10 +170,9 @@ class Run:
         return kept
 
     def publish(self, inputs: dict[str, str], watermarks: dict[str, int], salt: str) -> Manifest:
-        count = lambda path: self.spark.read.parquet(path).count()  # noqa: E731 (from the files' footers)
         last = last_published(self.spark, self.root)
-        m = Manifest((last.number if last else 0) + 1, self.run, time.time(), dict(self.tables), {n: count(p) for n, p in self.tables.items()},
-                     {n: count(p) for n, p in self.quarantine.items()}, inputs, watermarks, salt_check(salt))
+        m = Manifest((last.number if last else 0) + 1, self.run, time.time(), dict(self.tables), {n: self.rows[p] for n, p in self.tables.items()},
+                     {n: self.rows[p] for n, p in self.quarantine.items()}, inputs, watermarks, salt_check(salt))
         folder = f"{self.root}/published"
         self.files.fs.mkdirs(self.files.path(folder))
         aside, final = f"{folder}/.{self.run}", f"{folder}/{m.number:08d}.json"

@@ -28,6 +28,19 @@ def test_measured_bytes_of_nulls_and_empty(spark):
     assert B.measured(none.limit(0))[1] == 0
 
 
+def test_bounds_by_footers_need_no_job(spark):
+    few = B.written(spark.range(1000).select("id", (F.col("id") % 7).alias("k")).repartition(3))
+    row = B.ROW_OVERHEAD + 32
+    assert B._bound(few) == 1000 * row
+    assert B._bound(few.where("k > 3").groupBy("k").agg(F.count("*").alias("n"))) == 1000 * row
+    assert B._bound(few.unionByName(few).join(few.select("k").distinct(), "k", "left_semi")) == 2000 * row
+    assert B._bound(few.join(few.select("k"), "k")) == 1_000_000 * row
+    assert B._bound(few.select("id", F.explode(F.sequence(F.lit(1), F.lit(9))).alias("e"))) is None
+    assert B._bound(few.select(F.col("id").cast("string").alias("s"))) is None and B._bound(few.select(F.array("id").alias("a"))) is None
+    side = few.where("k = 1")
+    assert B._side(side, 1 << 20)[0] is side and B._side(side, 1000)[0] is not None
+
+
 def _facts(spark):
     rows = [(i, 7 if i % 3 == 0 else (None if i % 10 == 1 else i % 500 - 100)) for i in range(6000)]
     return rows, spark.createDataFrame(rows, "fid bigint, who bigint").repartition(8, "fid")

@@ -13,6 +13,7 @@ import __spark_entry__ as entry
 from cohortkit.operators.bag import TIMES
 from cohortkit.params import FIXTURE_PARAMS
 from cohortkit.plans import pipeline as PL
+from cohortkit.plans.broadcast import written
 from cohortkit.plans.publish import last_published, published, remove_unpublished
 from cohortkit.session import ensure_checkpoint_dir
 from cohortkit.sources.fixtures import clinical_view
@@ -30,7 +31,7 @@ def _local(path):
 def first(spark):
     """A run of the half of the persons that are numbered last, with a visit without its end and a text that is too long."""
     root = _root(spark)
-    tables = clinical_view(spark, SF001).as_dict()
+    tables = {name: written(df) for name, df in clinical_view(spark, SF001).as_dict().items()}
     inside = entry.queries()["cohort_build"](spark, SF001).where("person_id % 2 = 0").agg(F.min("visit_occurrence_id")).first()[0]
     known = entry.queries()["extract_observation"](spark, SF001).where("person_id % 2 = 0").agg(F.max("observation_id")).first()[0]
     opened = F.when(F.col("visit_occurrence_id") == inside, F.lit(None)).otherwise(F.col("visit_end_date"))
