@@ -52,9 +52,9 @@ VIEWS: list[tuple[str, str]] = [
             UNION ALL SELECT 20000 + 100 * t + b, 20000 + 100 * t + b, 0 FROM ck_part
             UNION ALL SELECT 30000 + 100 * t + s, 30000 + 100 * t + s, 0 FROM ck_part
             UNION ALL SELECT 10000 + t, 10000 + t, 0 FROM ck_part
-            UNION ALL SELECT 20000 + 100 * t + b, 1000000 + p_partkey, 1 FROM ck_part
-            UNION ALL SELECT 30000 + 100 * t + s, 1000000 + p_partkey, 1 FROM ck_part
-            UNION ALL SELECT 10000 + t, 1000000 + p_partkey, 2 FROM ck_part
+            UNION ALL SELECT 20000 + 100 * t + b, 1000000 + p_partkey, 1 FROM ck_part WHERE s <> 50
+            UNION ALL SELECT 30000 + 100 * t + s, 1000000 + p_partkey, 1 FROM ck_part WHERE s <> 50
+            UNION ALL SELECT 10000 + t, 1000000 + p_partkey, 2 FROM ck_part WHERE s <> 50
             UNION ALL SELECT 10000 + t, 20000 + 100 * t + b, 1 FROM ck_part
             UNION ALL SELECT 10000 + t, 30000 + 100 * t + s, 1 FROM ck_part
         ) e""",

@@ -141,8 +141,10 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
     size_id = (F.lit(SIZE_BASE) + 100 * F.col("t") + F.col("s")).cast("long")
     root_id = (F.lit(ROOT_BASE) + F.col("t")).cast("long")
 
-    def edge(a: Column, d: Column, lvl: int) -> DataFrame:
-        return parts.select(
+    valid = parts.where(F.col("s") != 50)  # an invalid concept stands under no other
+
+    def edge(a: Column, d: Column, lvl: int, of: DataFrame = parts) -> DataFrame:
+        return of.select(
             a.alias("ancestor_concept_id"), d.alias("descendant_concept_id"), F.lit(lvl).alias("min_levels_of_separation")
         )
 
@@ -151,9 +153,9 @@ def vocabulary(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame,
         .unionByName(edge(brand_id, brand_id, 0))
         .unionByName(edge(size_id, size_id, 0))
         .unionByName(edge(root_id, root_id, 0))
-        .unionByName(edge(brand_id, leaf_id, 1))
-        .unionByName(edge(size_id, leaf_id, 1))
-        .unionByName(edge(root_id, leaf_id, 2))
+        .unionByName(edge(brand_id, leaf_id, 1, valid))
+        .unionByName(edge(size_id, leaf_id, 1, valid))
+        .unionByName(edge(root_id, leaf_id, 2, valid))
         .unionByName(edge(root_id, brand_id, 1))
         .unionByName(edge(root_id, size_id, 1))
         .distinct()

@@ -20,7 +20,7 @@ def con():
 
 def test_entry_smoke(spark):
     df = entry.entry(spark)
-    assert df.count() == 83
+    assert df.count() == 26
     assert df.columns == ["person_id", "visit_occurrence_id", "visit_start_date", "visit_end_date", "birth_date", "death_date"]
 
 
@@ -32,15 +32,16 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_fixture_sizes(spark):
     q = lambda n: QUERIES[n](spark, SF01).count()
-    assert q("cohort_events") == 902
-    assert q("cohort_build") == 888
-    assert q("extract_condition_occurrence") == 26937
-    assert q("extract_condition_occurrence_distinct") == 3650
-    assert q("extract_observation") == 2402
-    assert q("deid_visit_map") == 737
-    assert q("deid_condition_occurrence") == 22085
+    assert q("cohort_events") == 903
+    assert q("cohort_build") == 264
+    assert q("extract_condition_occurrence") == 1106
+    assert q("extract_condition_occurrence_distinct") == 802
+    assert q("extract_observation") == 266
+    assert q("deid_visit_map") == 236
+    assert q("deid_condition_occurrence") == 942
     grid = QUERIES["profile_measurement_grid"](spark, SF01).agg(F.sum("persons")).first()[0]
-    assert grid == 10220  # cells of the dense grid
+    assert grid == 15680  # cells of the dense grid
+    assert QUERIES["rare_dropped_m10"](spark, SF01).agg(F.sum("dropped_records")).first()[0] == 11
 
 
 def test_rows_only_queries_run(spark):
