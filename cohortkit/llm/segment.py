@@ -100,6 +100,12 @@ class Pieces:
                 at += len(self.text[piece])
         return np.array(out, "<i4").tobytes()
 
+    def decode_chunks(self, ids: list[bytes]) -> list[bytes]:
+        """What the ids of each chunk stand for."""
+        flat = list(map(self.bytes_of.__getitem__, np.frombuffer(b"".join(ids), "<i4").tolist()))
+        ends = np.cumsum([len(i) // 4 for i in ids]).tolist()
+        return [b"".join(flat[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``: bytes of byte pieces, spaces for U+2581, the space in front dropped."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8")[1:]
@@ -237,12 +243,13 @@ def _segment(model: str, n_best: int, digests: bool):
 
 
 class Chunk:
-    """A chunk's best ids, score, loss of its second-best path and, once asked for, its best paths."""
+    """A chunk's best ids, score, loss of its second-best path and, once asked for, its best paths; and whether its
+    ids decode to its text."""
 
-    __slots__ = ("text", "ids", "score", "second", "best")
+    __slots__ = ("text", "ids", "score", "second", "best", "whole")
 
     def __init__(self, text: str, ids: bytes, score: float, second: float):
-        self.text, self.ids, self.score, self.second, self.best = text, ids, score, second, None
+        self.text, self.ids, self.score, self.second, self.best, self.whole = text, ids, score, second, None, True
 
 
 def _lattice_of(pieces: Pieces, texts: list[str]) -> Lattice:
@@ -259,6 +266,9 @@ def _solve(pieces: Pieces, texts: list[str]) -> list[Chunk]:
         texts, bounds.tolist(), bounds[1:].tolist(), best, lattice.second.tolist(), strict=False)]
     for c in np.unique(np.searchsorted(bounds, np.flatnonzero(ids < 0), "right") - 1).tolist():
         out[c].ids = pieces.ids(ids[bounds[c]:bounds[c + 1]].tolist(), texts[c])
+    if pieces.decode_chunks([c.ids for c in out]) != [t.replace(SPACE, " ").encode() for t in texts]:
+        for c in out:
+            c.whole = pieces.decode_chunks([c.ids]) == [c.text.replace(SPACE, " ").encode()]
     return out
 
 
@@ -301,6 +311,9 @@ def _segment_some(pieces: Pieces, known: dict[int, Chunk], docs: pa.Array, texts
     for c, chunk in zip(new, _solve(pieces, [whole[a:b] for a, b in places]) if new else [], strict=True):
         known[keys[c]] = chunk
     chunks = [known[key] for key in keys]
+    best_ids = np.empty(len(chunks), object)
+    best_ids[:] = [c.ids for c in chunks]
+    whole_chunk = np.array([c.whole for c in chunks], bool)
     score = np.array([c.score for c in chunks])
     second = np.array([c.second for c in chunks])
     chunk_at = np.searchsorted(begins, bounds)
@@ -319,19 +332,20 @@ def _segment_some(pieces: Pieces, known: dict[int, Chunk], docs: pa.Array, texts
     _find_best(pieces, [chunks[c] for c in sorted(wanted)], n_best)
     rows: list[tuple] = []
     for text, own, few in zip(texts, owns, fews, strict=True):
-        ids = [chunks[c].ids for c in own.tolist()]
+        ids = best_ids[own].tolist()
         options = [chunks[own[i]].best for i in few]
-        out, scores, count = [], [], 0
+        # between the chunks that can differ all segmentations are the same
+        parts = [b"".join(ids[a + 1:b]) for a, b in zip([-1, *few], [*few, len(ids)], strict=True)]
+        out, scores, total, count = [], [], float(score[own].sum()), 0
         for loss, pick in _least_sums(options, n_best):
-            for i, o, j in zip(few, options, pick, strict=True):
-                ids[i] = o[j][1]
-            joined = b"".join(ids)
+            joined = b"".join([parts[0], *(x for o, j, p in zip(options, pick, parts[1:], strict=True) for x in (o[j][1], p))])
             out.append(zlib.crc32(joined) if digests else joined)
-            scores.append(float(score[own].sum()) - loss)
-            if len(scores) == 1:
-                best_ids = np.frombuffer(joined, "<i4").tolist()
-                count = len(best_ids)
-        rows.append((count, len(out), scores, out, (pieces.decode(best_ids) if text else "") == text))
+            scores.append(total - loss)
+            count = count or len(joined) // 4
+        # U+2581 in a text becomes a space; the chunks that can differ are decoded in their best form
+        kept = SPACE not in text and bool(whole_chunk[own].all()) and pieces.decode_chunks([o[0][1] for o in options]) == [
+            chunks[own[i]].text.replace(SPACE, " ").encode() for i in few]
+        rows.append((count, len(out), scores, out, kept))
     kinds = [pa.int64(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.int64() if digests else pa.binary()), pa.bool_()]
     columns = list(zip(*rows, strict=True))
     return pa.RecordBatch.from_arrays([docs, *(pa.array(c, t) for c, t in zip(columns, kinds, strict=True))], names=_schema(digests)[1])
