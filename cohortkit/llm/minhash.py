@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
 from cohortkit.llm.tables import Stages, by_place, connected_components, join_unique, linked_components, semi_join
 from cohortkit.llm.textops import mix, shingles, text_chunks, weights
@@ -31,6 +32,7 @@ SHINGLE_WORDS = 5
 PERCENT = 75
 BANDS, ROWS = 40, 5
 BLOCK_MEMBERS = 256
+BROADCAST_SETS = 500_000  # rows of 24 bytes
 AGREE = BANDS * ROWS * 3 // 5  # equal minima that a candidate needs to be confirmed on full sets
 
 
@@ -103,11 +105,11 @@ def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows, out = [], []
-        for row, one in _doc_sets(batch.column(1)):
-            rows.append(row)
+        ids, out = [], []
+        for _, one in _doc_sets(batch.column(1)):
             out.append(one.tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(out, pa.binary())], names=["node", "shingles"])
+            ids.append(hashlib.blake2b(out[-1], digest_size=16).digest())
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(out, pa.binary())], names=["set_id", "shingles"])
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,24 +203,29 @@ def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sig = stages.put("signatures", docs.mapInArrow(_signatures, SIGNATURES))
 
-    # one node per distinct set, named by its smallest doc_id
+    # one node per distinct set
     classes = sig.where("set_id IS NOT NULL AND doc_id IS NOT NULL").groupBy("set_id").agg(
-        F.min("doc_id").alias("node"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
-    classes = stages.put("classes", classes)
+        F.min("doc_id").alias("least"), F.count("*").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+    classes = stages.put("classes", classes.withColumn("node", F.monotonically_increasing_id()))
     light = join_unique(sig.select("doc_id", "n_shingles", "set_id"), classes, "set_id", ["node"], "n", sig.count())
     light = stages.put("light", light.select("doc_id", "n_shingles", "node"))
-    # a doc_id with several texts joins their classes
+    # the sets of a doc_id with several texts belong together
     shared = light.where("node IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "node").distinct()
-    shared = shared.join(shared.groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1"), "doc_id", "left_semi")
-    shared = stages.put("shared", shared.select(F.col("doc_id").alias("u"), F.col("node").alias("v")).where("u <> v"))
+    several = shared.groupBy("doc_id").agg(F.count("*").alias("k"), F.min("node").alias("v")).where("k > 1")
+    shared = stages.put("shared", shared.join(several, "doc_id").select(F.col("node").alias("u"), "v").where("u <> v"))
 
     # bands that at least two classes share
     members = classes.select("node", F.explode("bands").alias("bucket"))
     wide = stages.put("wide", members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
     members = stages.put("members", semi_join(members, wide, "bucket"))
-    nodes = stages.put("nodes", classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "sketch"))
-    sets = semi_join(docs, nodes.select(F.col("node").alias("doc_id")), "doc_id")
-    sets = stages.put("sets", sets.mapInArrow(_full_sets, "node bigint, shingles binary").dropDuplicates(["node"]))
+    nodes = classes.join(members.select("node").distinct(), "node", "left_semi").select("node", "set_id", "least", "sketch")
+    nodes = stages.put("nodes", nodes)
+    # a text that shares its doc_id with the one wanted is told apart by its set
+    texts = semi_join(docs, nodes.select(F.col("least").alias("doc_id")).distinct(), "doc_id")
+    names = nodes.select("set_id", "node")
+    names = F.broadcast(names) if names.count() <= BROADCAST_SETS else names
+    sets = texts.mapInArrow(_full_sets, "set_id binary, shingles binary").join(names, "set_id").select("node", "shingles")
+    sets = stages.put("sets", sets.dropDuplicates(["node"]))
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         likely = stages.put("likely", _paired(pairs, nodes, "sketch", _agree))
@@ -226,24 +233,31 @@ def near_duplicates(stages: Stages, documents: DataFrame) -> DataFrame:
 
     components = linked_components(stages, members, confirmed, lambda rest, tried: _group_links(stages, rest, tried, sets), shared)
 
-    sizes = light.groupBy("node").agg(F.count("*").alias("n"))
-    named = sizes.join(components.select("node", "component"), "node", "left").select(
-        "node", "n", F.coalesce("component", "node").alias("component_id"))
-    out = join_unique(light, named, "node", ["component_id"], "n", light.count())
+    named = classes.join(components, "node", "left").select("node", "least", "n", F.coalesce("component", "node").alias("component"))
+    named = stages.put("named", named)
+    least = named.groupBy("component").agg(F.min("least").alias("component_id"), F.count("*").alias("k"))
+    named = join_unique(named, least, "component", ["component_id"], "k", named.count()).select("node", "n", "component_id")
+    out = join_unique(light, stages.put("component-ids", named), "node", ["component_id"], "n", light.count())
     # a text without words may share its doc_id with one that has some
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
 def keep_one_of_each(stages: Stages, documents: DataFrame) -> DataFrame:
-    """The rows of ``documents`` that :func:`near_duplicates` keeps, one per doc_id, all columns."""
+    """The rows of ``documents`` whose doc_id :func:`near_duplicates` keeps, all columns. Of repeated rows of a doc_id
+    and text one stays, that of the least hash of its columns; different texts of a doc_id all stay. Texts without
+    words (null, empty, blank) are linked with nothing and stay, as do rows without doc_id. An empty table gives no
+    rows; the names of other columns may be any."""
     found = near_duplicates(stages, documents)
     rows, own = by_place(documents)
     doc = F.col(own["doc_id"]).cast("long")
     kept = found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("n"))
     kept = stages.put("kept", kept)
     once = rows.join(kept.where("n = 1"), doc == F.col("doc_id"), "left_semi")
-    repeated = rows.join(kept.where("n > 1"), doc == F.col("doc_id"), "left_semi").dropDuplicates([own["doc_id"]])
+    repeated = rows.join(kept.where("n > 1"), doc == F.col("doc_id"), "left_semi")
+    plain = [f.name for f in repeated.schema.fields if not isinstance(f.dataType, MapType)]
+    one = F.min_by(F.struct(*rows.columns), F.struct(F.xxhash64(*plain), F.xxhash64(F.lit(1), *plain)))
+    repeated = repeated.groupBy(doc.alias("_doc"), F.col(own["text"]).alias("_text")).agg(one.alias("_one")).select("_one.*")
     return once.unionByName(repeated).unionByName(rows.where(doc.isNull())).toDF(*documents.columns)
 
 
