@@ -15,18 +15,15 @@ def search(spark, rows, k=10, every=10):
 
 
 def brute_force(rows, k=10, every=10):
-    good = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v):
-            good[i] = min(good.get(i, list(v)), list(v))
-    ids = sorted(good)
-    x = np.array([good[i] for i in ids], np.float32).astype(np.float64)
+    good = [(i, np.array(v, np.float32).astype(np.float64)) for i, v in rows
+            if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    good.sort(key=lambda r: (len(r[1]), r[0]))  # queries by length and id
     out = []
-    for q in (i for i in ids if i % every == 0):
-        d = np.sqrt(((x - x[ids.index(q)]) ** 2).sum(axis=1))
-        near = sorted((float(d[j]), i) for j, i in enumerate(ids) if i != q)[:k]
-        out += [(q, r + 1, i, s) for r, (s, i) in enumerate(near)]
-    return out
+    for n, (q, x) in enumerate(good):
+        if q % every == 0:
+            near = sorted((float(np.sqrt(((y - x) ** 2).sum())), i) for m, (i, y) in enumerate(good) if m != n and len(y) == len(x))[:k]
+            out += [(q, r + 1, i, s) for r, (s, i) in enumerate(near)]
+    return sorted(out)
 
 
 @pytest.mark.parametrize("dim", [1, 7, 64])
@@ -36,7 +33,7 @@ def test_finds_what_brute_force_finds(spark, dim):
     rows += [(1000 + i, rows[5][1]) for i in range(120)]  # one common vector
     rows += [(2000, None), (2010, [0.0] * dim), (2020, [float("nan")] * dim), (2030, [None] + [1.0] * (dim - 1)), (2040, [float("inf")] * dim), (None, [1.0] * dim)]
     rows += [rows[7], rows[7]]
-    got, want = search(spark, rows), brute_force(rows)
+    got, want = sorted(search(spark, rows)), brute_force(rows)
     assert [g[:2] for g in got] == [w[:2] for w in want]
     hits = len({g[:1] + g[2:3] for g in got} & {w[:1] + w[2:3] for w in want})
     assert hits >= 0.99 * len(want)
@@ -50,8 +47,15 @@ def test_few_and_no_rows(spark):
     assert search(spark, []) == [] and search(spark, [(1, None)]) == []
     assert search(spark, [(0, [1.0, 2.0])]) == []
     assert search(spark, [(0, [1.0, 2.0]), (3, [1.0, 3.0])]) == [(0, 1, 3, 1.0)]
-    with pytest.raises(ValueError, match="components"):
-        search(spark, [(0, [1.0]), (1, [1.0, 2.0])])
+    rows = [(0, [1.0]), (1, [1.0, 2.0]), (2, [3.0]), (10, [2.0, 2.0]), (20, [1.5, 2.0]), (20, [1.0, 2.5])]
+    assert sorted(search(spark, rows)) == brute_force(rows)  # by length
+
+
+def test_rows_that_share_a_vec_id(spark):
+    """Every row but the query's own is a candidate, and each is a query."""
+    rows = [(10, [0.0, 1.0]), (10, [0.0, 2.0]), (10, [0.0, 1.0]), (3, [5.0, 1.0]), (3, [5.0, 1.0])]
+    got, want = sorted(search(spark, rows, k=3)), brute_force(rows, k=3)
+    assert got == want and len(got) == 9
 
 
 def test_many_query_blocks(spark, monkeypatch):
