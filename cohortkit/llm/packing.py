@@ -17,11 +17,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortkit.llm.memory import give_back
 from cohortkit.llm.tables import Stages
 from cohortkit.llm.tokens import encode_column
 
 MAX_TOKENS = 1024
 END_ID = 2
+BATCH_ROWS = 1000  # documents whose pieces a worker holds at once
 
 
 @dataclass
@@ -83,10 +85,16 @@ def plan_best_fit(histogram: dict[int, int], size: int = MAX_TOKENS) -> tuple[li
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, task int, place bigint"
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    for at in range(0, max(1, batch.num_rows), BATCH_ROWS):
+        yield batch.slice(at, BATCH_ROWS)
+    give_back()
+
+
 def _pieces(tokenizer: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), np.zeros(MAX_TOKENS + 1, np.int64)
-        for batch in batches:
+        for batch in (some for whole in batches for some in _slices(whole)):
             rows: list[tuple] = []
             docs = batch.column(0).to_pylist()
             for doc, ids in zip(docs, encode_column(batch.column(1), tokenizer), strict=True):
