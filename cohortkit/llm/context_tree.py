@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cohortkit.llm.memory import give_back
 from cohortkit.llm.tables import Stages
 from cohortkit.llm.textops import Texts, text_chunks
 
@@ -75,6 +76,7 @@ def _vocabulary(depth: int):
                 if sum(map(len, parts[kind][0])) > HELD_KEYS:
                     key, n = _counted(*parts[kind])
                     parts[kind] = ([key], [n]) if len(key) < HELD_KEYS // 2 else parts[kind]
+        give_back()
         out = []
         for kind, (keys, counts) in parts.items():
             key, n = _counted(keys, counts)
@@ -94,9 +96,21 @@ def log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - 1 / (1680 * y ** 7) - shift
 
 
+# log gamma of n + 0.5 and of n + 1 for counts n below TABLE; most counts are small
+TABLE = 1 << 12
+HALF, ONE = (log_gamma(np.arange(TABLE) + shift) for shift in (0.5, 1.0))
+
+
+def _log_gamma_of_counts(n: np.ndarray, table: np.ndarray, shift: float) -> np.ndarray:
+    out = table[np.minimum(n, TABLE - 1).astype(np.int64)]
+    large = np.flatnonzero(n >= TABLE)
+    out[large] = log_gamma(n[large] + shift)
+    return out
+
+
 def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Logarithm of the Krichevsky-Trofimov estimate of a zeros and b ones."""
-    return log_gamma(a + 0.5) + log_gamma(b + 0.5) - log_gamma(a + b + 1) - np.log(np.pi)
+    """Logarithm of the Krichevsky-Trofimov estimate of a zeros and b ones (whole numbers)."""
+    return _log_gamma_of_counts(a, HALF, 0.5) + _log_gamma_of_counts(b, HALF, 0.5) - _log_gamma_of_counts(a + b, ONE, 1.0) - np.log(np.pi)
 
 
 class Level:
@@ -148,6 +162,7 @@ def _top_sums(depth: int):
     def run(table: pa.Table) -> pa.Table:
         level = _tree(table["key"].to_numpy().view(np.uint64), table["n"].to_numpy(), depth, 2)[0][2]
         key, _, (a, b, below) = _grouped(_shorter(level.key, 1), level.a, level.b, level.log_pw)
+        give_back()
         return pa.table({"key": key.view(np.int64), "a": a, "b": b, "below": below})
     return run
 
@@ -169,6 +184,8 @@ def _code_lengths(depth: int, top_key: np.ndarray, top_rest: np.ndarray, top_don
             rest, done = rest[where[d]], done[where[d]]
         one = (done + rest * levels[depth].one)[place]
         value = np.log10(np.where(bits, one, 1 - one)).sum(axis=1)
+        del levels, where, place, bits, one, rest, done, above
+        give_back()
         return pa.table({"key": table["key"], "value": value})
     return run
 
@@ -207,6 +224,8 @@ def _score(depth: int):
             keys = key[kind == one].view(np.uint64)
             order = np.argsort(keys)
             lookup[one] = (keys[order], value[kind == one][order])
+        new_words = int((values["first"].to_numpy(zero_copy_only=False) & (value > 0) & (kind == WORD)).sum())
+        del kind, key, value, keys, order
 
         def found(one: int, keys: np.ndarray) -> np.ndarray:
             where, distinct = pd.factorize(keys)
@@ -230,7 +249,9 @@ def _score(depth: int):
                 logs[a + full] = np.add.reduceat(np.log10(c[:-1] + 1), texts.first_word[:-1][full])
         new = np.zeros(n, np.int64)
         if n:
-            new[0] = (values["first"].to_numpy(zero_copy_only=False) & (value > 0) & (kind == WORD)).sum()
+            new[0] = new_words
+        lookup.clear()
+        give_back()
         return pa.table({"doc_id": docs["doc_id"], "held_out": docs["held_out"], "n_tokens": tokens + 1, "n_known": known, "log_counts": logs,
                          "score": score, "new_words": new, "train_tokens": np.where(train, tokens + 1, 0)})
     return run
