@@ -34,6 +34,7 @@ class Stages:
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm/{uuid.uuid4().hex}"
         self.made = 0
+        self.written: list[tuple[DataFrame, str]] = []
 
     def path(self, name: str) -> str:
         self.made += 1
@@ -42,7 +43,20 @@ class Stages:
     def put(self, name: str, df: DataFrame) -> DataFrame:
         path = self.path(name)
         df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.written.append((out, path))
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Remove tables of which everything that reads them is written. The driver's collection lets
+        the shuffle files of ended jobs go, too, which otherwise stay until it happens to run."""
+        for df in tables:
+            for one, path in self.written:
+                if one is df:
+                    p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                    p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
+        self.written = [(one, path) for one, path in self.written if not any(one is df for df in tables)]
+        self.spark._jvm.System.gc()
 
 
 def join_unique(left: DataFrame, right: DataFrame, key: str, cols: list[str], rows: str, total: int) -> DataFrame:
