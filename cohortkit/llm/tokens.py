@@ -15,7 +15,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 
-CACHED_PARTS = 150_000  # parts kept by a worker; then it starts anew
+CACHED_PARTS = 240_000  # parts kept by a worker; then it starts anew
 _CUT = re.compile(r" (?=\S)")
 _NO_CUT = re.compile(r" (?!\S)")
 
