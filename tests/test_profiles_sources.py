@@ -12,6 +12,7 @@ from cohortkit.operators import summary as S
 from cohortkit.operators.concepts import concept_set, expand_concepts
 from cohortkit.schemas import violations
 from cohortkit.sources.concept_csv import read_concept_set
+from cohortkit.sources.fixtures import vocabulary
 
 
 def _grid_inputs(spark, n_persons, counts):
@@ -147,3 +148,16 @@ def test_real_valued_percent_option(spark):
     real = PR.device_profile(dev, closure, person, integer=False).first()
     assert (ref["person_perc"], ref["average_entries_per_person"]) == (66, 1)
     assert round(real["person_perc"], 4) == 66.6667 and real["average_entries_per_person"] == 1.5
+
+
+def test_invalid_leaf_stands_under_its_groups(spark, tmp_path):
+    spark.createDataFrame([(7, "a", "MEDIUM", "Brand#12", 50), (8, "b", "MEDIUM", "Brand#12", 3)],
+                          "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    spark.createDataFrame([(0, "R")], "r_regionkey int, r_name string").write.parquet(f"{tmp_path}/region.parquet")
+    concept, ancestor, concepts = vocabulary(spark, str(tmp_path))
+    assert [r[0] for r in concept.where("invalid_reason IS NOT NULL").select("concept_id").collect()] == [1000007]
+    above = ancestor.where("descendant_concept_id = 1000007").select("ancestor_concept_id", "min_levels_of_separation")
+    assert sorted(tuple(r) for r in above.collect()) == [(10003, 2), (20312, 1), (30350, 1), (1000007, 0)]
+    # the root is a registry entry with descendants, the leaf one without
+    reg = expand_concepts(concepts, ancestor, "Measurement").where("concept_id = 1000007").select("ancestor_concept_id")
+    assert sorted(r[0] for r in reg.collect()) == [10003, 1000007]
