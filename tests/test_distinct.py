@@ -4,7 +4,8 @@ import random
 
 from helpers import F
 
-from cohortkit.operators.distinct import count_persons, person_bitmaps
+from cohortkit.operators.distinct import BITS, count_persons, person_bitmaps
+from cohortkit.plans.broadcast import value_bytes
 
 
 def test_counts_equal_sets(spark):
@@ -29,3 +30,11 @@ def test_fan_out_repeats_no_person(spark):
     """A shuffle row is a key and a block of ids, however many persons it holds."""
     df = spark.range(100_000).select(F.col("id").alias("person_id"), (F.col("id") % 2).alias("c"))
     assert person_bitmaps(df, ["c"]).count() == 9  # blocks of 32,768 ids from 1 on, and one that holds 0
+
+
+def test_rare_keys_take_little_room(spark):
+    """A key's bitmap is no larger than its persons, however far apart their ids are."""
+    df = spark.range(2_000).select((F.col("id") * 40_009).alias("person_id"), (F.col("id") % 100).alias("c"))
+    bitmaps = person_bitmaps(df, ["c"])
+    assert bitmaps.agg(F.sum(value_bytes(F.col(BITS), bitmaps.schema[BITS].dataType))).first()[0] < 2_000 * 100
+    assert count_persons(bitmaps, ["c"], "n").agg(F.sum("n"), F.max("n")).first() == (2_000, 20)
