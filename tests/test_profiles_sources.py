@@ -5,14 +5,16 @@ import datetime as dt
 import os
 
 import pytest
+from conftest import SF001
 from helpers import D, F, ancestor_df, cohort_df, concept_set_df, table
 
 from cohortkit.operators import profile as PR
 from cohortkit.operators import summary as S
 from cohortkit.operators.concepts import concept_set, expand_concepts
+from cohortkit.plans.catalog import Ctx
 from cohortkit.schemas import violations
 from cohortkit.sources.concept_csv import read_concept_set
-from cohortkit.sources.fixtures import vocabulary
+from cohortkit.sources.fixtures import event_stream, vocabulary
 
 
 def _grid_inputs(spark, n_persons, counts):
@@ -161,3 +163,34 @@ def test_invalid_leaf_stands_under_its_groups(spark, tmp_path):
     # the root is a registry entry with descendants, the leaf one without
     reg = expand_concepts(concepts, ancestor, "Measurement").where("concept_id = 1000007").select("ancestor_concept_id")
     assert sorted(r[0] for r in reg.collect()) == [10003, 1000007]
+
+
+def test_events_of_persons_and_concepts(spark, tmp_path):
+    """Persons or concepts that are asked for leave the others out, and no more."""
+    day = dt.datetime(1999, 5, 1)
+    spark.createDataFrame([(1, 5, day), (1, 5, day), (2, 6, day), (3, None, day), (4, 5, None)],
+                          "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    items = [(o, p, 1, line, 12.0, 3.5, flag, status) for o in (1, 2, 3, 4, None) for p, line, flag, status in
+             ((7, 1, "R", "O"), (7, 4, "R", "F"), (8, 1, "N", None), (None, 2, "N", "F"), (8, 2, None, "F"))]
+    spark.createDataFrame(items, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                                 "l_extendedprice double, l_returnflag string, l_linestatus string").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(7, "a", "STANDARD", "Brand#2", 4), (8, "b", "SMALL", "Brand#3", 5)],
+                          "p_partkey bigint, p_name string, p_type string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    rows = lambda df: sorted(map(str, df.collect()))
+    whole = event_stream(spark, str(tmp_path))
+    assert whole.count() == 5 * 4
+    persons = spark.createDataFrame([(5,), (5,), (9,), (None,)], "person_id bigint")
+    assert rows(event_stream(spark, str(tmp_path), persons=persons)) == rows(whole.where("pid = 5"))
+    concepts = spark.createDataFrame([(1000007,), (0,), (None,)], "concept_id bigint")
+    assert rows(event_stream(spark, str(tmp_path), concepts=concepts)) == rows(whole.where("cid IN (0, 1000007)"))
+
+
+def test_extracts_do_not_write_every_event(spark):
+    """A death needs the cohort's diagnoses, an extract the cohort's events; neither writes the whole stream."""
+    c = Ctx(spark, SF001)
+    c.deid("death")
+    assert not {"src_events", "cohort_events", "src_visit_occurrence"} & set(c.store._done)
+    c.extract("device_exposure")
+    assert "src_events" not in c.store._done
+    held = spark.read.parquet(c.store.path("cohort_events")).select("pid").distinct()
+    assert held.join(c.cohort(), held.pid == c.cohort().person_id, "left_anti").isEmpty()
