@@ -28,7 +28,7 @@ from cohortkit.llm.textops import Texts, text_chunks
 DEPTH = 5
 BLOCK_BYTES = 24 << 20
 SHARD_GRAMS = 60_000
-HELD_KEYS = 1_000_000  # keys of several chunks a task holds before it adds them up
+HELD_KEYS = 500_000  # keys of several chunks a task holds before it adds them up, or twice those that are left then
 END = 0xFF  # not a UTF-8 byte: stands before every text (context) and after it (symbol)
 GRAM, WORD = 0, 1
 LOG_HALF = np.log(0.5)
@@ -64,6 +64,7 @@ VOCABULARY = "block bigint, kind int, key bigint, n bigint"
 
 def _vocabulary(depth: int):
     def run(table: pa.Table) -> pa.Table:
+        give_back()  # what earlier groups held
         train = ~table["held_out"].combine_chunks().to_numpy(zero_copy_only=False)
         parts: dict[int, tuple[list, list]] = {GRAM: ([], []), WORD: ([], [])}
         for a, b, texts in text_chunks(table["text"]):
@@ -73,9 +74,9 @@ def _vocabulary(depth: int):
                 weight = np.repeat(train[a:b], np.diff(ends)).astype(np.float64)
                 parts[kind][0].append(distinct)
                 parts[kind][1].append(np.bincount(where, weights=weight, minlength=len(distinct)))
-                if sum(map(len, parts[kind][0])) > HELD_KEYS:
+                if sum(map(len, parts[kind][0])) > max(HELD_KEYS, 2 * len(parts[kind][0][0])):  # the first: those added up before
                     key, n = _counted(*parts[kind])
-                    parts[kind] = ([key], [n]) if len(key) < HELD_KEYS // 2 else parts[kind]
+                    parts[kind] = ([key], [n])
         give_back()
         out = []
         for kind, (keys, counts) in parts.items():

@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21  # texts handled at once; a longer text is handled alone
+CHUNK_BYTES = 1 << 19  # texts handled at once, at some 60 bytes of numbers a byte; a longer text is handled alone
 SPACE = np.zeros(256, bool)
 SPACE[[32, *range(9, 14)]] = True
 LOWER = np.arange(256, dtype=np.uint8)

@@ -116,3 +116,19 @@ def test_no_training_text_and_empty_table(spark):
 def test_log_gamma():
     x = np.array([.5, 1, 1.5, 3.25, 8, 100.5, 1e9])
     assert np.allclose(ct.log_gamma(x), [math.lgamma(v) for v in x], rtol=1e-12)
+
+
+def test_held_keys_are_added_up_whenever_they_double(monkeypatch):
+    import pyarrow as pa
+
+    from cohortkit.llm import textops
+    monkeypatch.setattr(ct, "HELD_KEYS", 2000)
+    monkeypatch.setattr(textops, "CHUNK_BYTES", 1000)
+    texts = [" ".join(f"w{i}x{k}" for k in range(60)) for i in range(120)]  # most keys are new in every chunk
+    table = pa.table({"doc_id": list(range(120)), "text": texts, "held_out": [i % 5 == 0 for i in range(120)], "block": [3] * 120})
+    counted, sizes = ct._counted, []
+    monkeypatch.setattr(ct, "_counted", lambda keys, counts: sizes.append(sum(map(len, keys))) or counted(keys, counts))
+    out = ct._vocabulary(5)(table).to_pylist()
+    assert sum(r["n"] for r in out if r["kind"] == ct.WORD) == 60 * 96
+    assert sum(r["n"] for r in out if r["kind"] == ct.GRAM) == sum(len(t) + 1 for i, t in enumerate(texts) if i % 5)
+    assert sum(sizes) <= 8 * len(out)
