@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from cohortkit.llm.memory import give_back
 from cohortkit.llm.tables import Stages, by_place, join_unique
 from cohortkit.llm.textops import Texts, run_hashes, text_chunks, window_hashes
 
@@ -55,12 +56,21 @@ MEASURES = ("uid bigint, doc_id bigint, host string, text_id bigint, n_words big
             "n_dup_lines bigint, n_repeat_words bigint, lines array<struct<line: bigint, words: bigint>>")
 
 
+def _lists_of(ids: list[np.ndarray], held: list[np.ndarray]) -> pa.Array:
+    """A list of (line, words) for each text."""
+    offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
+    flat = [pa.array(np.concatenate(x).astype(np.int64, copy=False)) for x in (ids, held)]
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(flat, names=["line", "words"]))
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Base counts of each text, and its distinct lines with the words they hold in all."""
+    """Base counts of each text, and its distinct lines with the words they hold in all. A worker holds the rows of
+    one chunk of texts at a time."""
+    names = [x.split()[0] for x in MEASURES.split(", ")[:9]] + ["lines"]
     for batch in batches:
-        columns: list[list] = [[] for _ in range(6)]
-        lines: list[list[dict]] = []
-        for _, _, texts in text_chunks(batch.column(3)):
+        for at, to, texts in text_chunks(batch.column(3)):
+            columns: list[list] = [[] for _ in range(6)]
+            line_ids, line_words = [], []
             hashes, exact = texts.word_hashes(), texts.word_hashes(lower=False)
             # code points of words: bytes that are not UTF-8 continuations
             heads = np.concatenate([[0], np.cumsum((texts.data & 0xC0) != 0x80)])
@@ -80,15 +90,16 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 own = np.arange(first_line[k], first_line[k + 1])
                 own = own[filled[own]]
                 ids, where = np.unique(normal[own], return_inverse=True)
-                held = np.bincount(where, weights=(stop - first)[own], minlength=len(ids)).astype(np.int64)
-                lines.append([{"line": i, "words": w} for i, w in zip(ids.view(np.int64).tolist(), held.tolist(), strict=True)])
+                line_ids.append(ids.view(np.int64))
+                line_words.append(np.bincount(where, weights=(stop - first)[own], minlength=len(ids)))
                 for column, value in zip(columns, (
                         int(whole[k].view(np.int64)), int(b - a), int(chars[b] - chars[a]), int(symbols[k + 1] - symbols[k]),
                         len(own) - len(np.unique(verbatim[own])), _repeats(exact[a:b])), strict=True):
                     column.append(value)
-        kind = pa.list_(pa.struct([("line", pa.int64()), ("words", pa.int64())]))
-        out = [batch.column(0), batch.column(1), batch.column(2), *(pa.array(c, pa.int64()) for c in columns), pa.array(lines, kind)]
-        yield pa.RecordBatch.from_arrays(out, names=[x.split()[0] for x in MEASURES.split(", ")[:9]] + ["lines"])
+            rows = batch.slice(at, to - at)
+            out = [rows.column(0), rows.column(1), rows.column(2), *(pa.array(c, pa.int64()) for c in columns), _lists_of(line_ids, line_words)]
+            yield pa.RecordBatch.from_arrays(out, names=names)
+        give_back()
 
 
 def _frequent_lines(stages: Stages, measured: DataFrame) -> DataFrame:
@@ -134,9 +145,11 @@ def _clean(schema: list[str], text: str):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            kept, out = [], []
-            frequent = batch.column(len(schema)).to_pylist()
-            for at, _, texts in text_chunks(batch.column(text_at)):
+            frequent = batch.column(len(schema))
+            lines, bounds = frequent.values.to_numpy(zero_copy_only=False), frequent.offsets.to_numpy()
+            some = frequent.is_valid().to_numpy(zero_copy_only=False)
+            for at, to, texts in text_chunks(batch.column(text_at)):
+                kept, out = [], []
                 hashes, exact = texts.word_hashes(), texts.word_hashes(lower=False)
                 ends, first_line = _line_bounds(texts)
                 first = np.searchsorted(texts.begins, np.concatenate([[0], ends[:-1]]))
@@ -148,17 +161,19 @@ def _clean(schema: list[str], text: str):
                         continue
                     own = np.arange(first_line[k], first_line[k + 1])
                     words = stop[own] - first[own]
-                    gone = np.isin(normal[own], np.array(frequent[at + k] or [], np.int64)) & (words > 0)
+                    host = lines[bounds[at + k]:bounds[at + k + 1]] if some[at + k] else lines[:0]
+                    gone = np.isin(normal[own], host) & (words > 0)
                     if 100 * words[gone].sum() > DEPLETED_PERCENT * (b - a):
                         continue
                     data = texts.data[texts.bounds[k]:texts.bounds[k + 1]].tobytes()
                     if gone.any():
                         data = b"\n".join(x for x, g in zip(data.split(b"\n"), gone, strict=True) if not g)
-                    kept.append(at + k)
+                    kept.append(k)
                     out.append(data.decode("utf-8"))
-            rows = batch.take(pa.array(kept, pa.int64()))
-            columns = [rows.column(i) if i != text_at else pa.array(out, pa.string()) for i in range(len(schema))]
-            yield pa.RecordBatch.from_arrays(columns, names=schema)
+                rows = batch.slice(at, to - at).take(pa.array(kept, pa.int64()))
+                columns = [rows.column(i) if i != text_at else pa.array(out, pa.string()) for i in range(len(schema))]
+                yield pa.RecordBatch.from_arrays(columns, names=schema)
+            give_back()
     return run
 
 

@@ -75,3 +75,22 @@ def test_oracle(spark):
     con = duckdb.connect()
     con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
     assert got == sorted(con.sql(q.ORACLE).fetchall())
+
+
+def test_workers_hand_on_a_chunk_at_a_time():
+    import pyarrow as pa
+    n = 3000
+    texts = [f"{body(i)}\nline {i % 7} of the host\n{body(i + 1, 20)}" for i in range(n)]
+    ids = pa.array(range(n), pa.int64())
+    whole = pa.RecordBatch.from_arrays([ids, ids, pa.array(["h"] * n), pa.array(texts)], names=["uid", "doc_id", "host", "text"])
+    out = list(q._measure(iter([whole])))
+    size = whole.nbytes / n
+    assert sum(b.num_rows for b in out) == n and max(b.num_rows for b in out) * size <= 1 << 20
+    assert [x for b in out for x in b.column(0).to_pylist()] == list(range(n))
+    some = [None if i % 2 else [x["line"] for x in row if x["words"] < 10] for b in out for i, row in zip(b.column(0).to_pylist(), b.column(9).to_pylist(), strict=True)]
+    batch = pa.RecordBatch.from_arrays([ids, pa.array(texts), pa.array(some, pa.list_(pa.int64()))], names=["doc_id", "text", "frequent"])
+    for given in (batch, batch.slice(1001)):
+        got = list(q._clean(["doc_id", "text"], "text")(iter([given])))
+        assert sum(b.num_rows for b in got) == given.num_rows and max(b.num_rows for b in got) * size <= 1 << 20
+        by_id = {i: t for b in got for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True)}
+        assert all(by_id[i] == texts[i] for i in by_id if i % 2) and all(len(by_id[i]) < len(texts[i]) for i in by_id if i % 2 == 0)
