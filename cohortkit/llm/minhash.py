@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
+from cohortkit.llm.memory import give_back
 from cohortkit.llm.tables import Stages, by_place, connected_components, join_unique, linked_components, semi_join
 from cohortkit.llm.textops import mix, shingles, text_chunks, weights
 
@@ -62,13 +63,12 @@ def _band_hashes(minima: np.ndarray) -> np.ndarray:
     return mix((rows * weights(ROWS)).sum(axis=2, dtype=np.uint64) ^ mix(np.arange(BANDS))).view(np.int64)
 
 
-def _doc_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
-    """(row, sorted distinct shingle hashes) of every text that has a word."""
-    for first, _, texts in text_chunks(column):
+def _chunk_sets(column: pa.Array) -> Iterator[tuple[int, int, list[tuple[int, np.ndarray]]]]:
+    """(first row, last row + 1, (row, sorted distinct shingle hashes) of every text that has a word) for chunks of texts."""
+    for first, stop, texts in text_chunks(column):
         words = texts.word_hashes()
-        for k in range(len(texts)):
-            if texts.first_word[k + 1] > texts.first_word[k]:
-                yield first + k, shingles(words[texts.first_word[k]:texts.first_word[k + 1]], SHINGLE_WORDS)
+        own = [words[texts.first_word[k]:texts.first_word[k + 1]] for k in range(len(texts))]
+        yield first, stop, [(first + k, shingles(w, SHINGLE_WORDS)) for k, w in enumerate(own) if len(w)]
 
 
 SIGNATURES = "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary"
@@ -76,52 +76,39 @@ SIGNATURES = "doc_id bigint, n_shingles bigint, set_id binary, bands array<bigin
 
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        n = batch.num_rows
-        sizes, ids, bands, sketches = np.zeros(n, np.int64), [None] * n, [None] * n, [None] * n
-        rows, sets = [], []
-
-        def flush() -> None:
-            if sets:
-                minima = _minima(sets)
-                for row, one, band, least in zip(rows, sets, _band_hashes(minima), minima.astype(np.uint8), strict=True):
-                    sizes[row], bands[row], sketches[row] = len(one), band, least.tobytes()
-                    ids[row] = hashlib.blake2b(one.tobytes(), digest_size=16).digest()
-                rows.clear()
-                sets.clear()
-
-        held = 0
-        for row, one in _doc_sets(batch.column(1)):
-            rows.append(row)
-            sets.append(one)
-            held += len(one)
-            if held > 1 << 18:
-                flush()
-                held = 0
-        flush()
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(sizes), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
-            names=["doc_id", "n_shingles", "set_id", "bands", "sketch"])
+        for first, stop, held in _chunk_sets(batch.column(1)):
+            n = stop - first
+            sizes, ids, bands, sketches = np.zeros(n, np.int64), [None] * n, [None] * n, [None] * n
+            if held:
+                minima = _minima([one for _, one in held])
+                for (row, one), band, least in zip(held, _band_hashes(minima), minima.astype(np.uint8), strict=True):
+                    sizes[row - first], bands[row - first], sketches[row - first] = len(one), band, least.tobytes()
+                    ids[row - first] = hashlib.blake2b(one.tobytes(), digest_size=16).digest()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(first, n), pa.array(sizes), pa.array(ids, pa.binary()), pa.array(bands, pa.list_(pa.int64())),
+                 pa.array(sketches, pa.binary())], names=["doc_id", "n_shingles", "set_id", "bands", "sketch"])
+        give_back()
 
 
 def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        ids, out = [], []
-        for _, one in _doc_sets(batch.column(1)):
-            out.append(one.tobytes())
-            ids.append(hashlib.blake2b(out[-1], digest_size=16).digest())
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(out, pa.binary())], names=["set_id", "shingles"])
+        for _, _, held in _chunk_sets(batch.column(1)):
+            out = [one.tobytes() for _, one in held]
+            ids = [hashlib.blake2b(one, digest_size=16).digest() for one in out]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), pa.array(out, pa.binary())], names=["set_id", "shingles"])
+        give_back()
 
 
 def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Keep the pairs with 100 * intersection >= PERCENT * union of their full sets."""
     for batch in batches:
-        a, b = (batch.column(i).to_pylist() for i in (2, 3))
         keep = np.zeros(batch.num_rows, bool)
-        for i, (x, y) in enumerate(zip(a, b, strict=True)):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3), strict=True)):
+            x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
             both = len(np.intersect1d(x, y, assume_unique=True))
             keep[i] = 100 * both >= PERCENT * (len(x) + len(y) - both)
         yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["u", "v"]).filter(pa.array(keep))
+        give_back()
 
 
 def _agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,6 +156,7 @@ def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             u.append(np.maximum(node[0][i], node[1][j]))
             v.append(np.minimum(node[0][i], node[1][j]))
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(u)), pa.array(np.concatenate(v))], names=["u", "v"])
+        give_back()
 
 
 def _group_links(stages: Stages, rest: DataFrame, tried: DataFrame, sets: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 import random
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from cohortkit.llm import minhash
@@ -85,3 +86,13 @@ def test_empty_table(spark):
     none = spark.createDataFrame([], SCHEMA)
     assert minhash.near_duplicates(Stages(spark), none).count() == 0
     assert minhash.keep_one_of_each(Stages(spark), none).count() == 0
+
+
+def test_signatures_leave_a_chunk_of_texts_at_a_time():
+    texts = [None, " ".join(f"a{i}" for i in range(60_000)), "one two", " ".join(f"b{i}" for i in range(60_000)), ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(5), pa.int64()), pa.array(texts, pa.string())], names=["doc_id", "text"])
+    out = list(minhash._signatures(iter([batch])))
+    assert len(out) > 1 and max(b.num_rows for b in out) < 5
+    one_by_one = [next(minhash._signatures(iter([batch.slice(i, 1)]))) for i in range(5)]
+    assert pa.Table.from_batches(out).to_pylist() == pa.Table.from_batches(one_by_one).to_pylist()
+    assert len(list(minhash._full_sets(iter([batch])))) > 1
