@@ -30,7 +30,7 @@ from cohortkit.llm.textops import run_hashes
 N_BEST = 4
 SPACE = "▁"
 CHUNK_CHARS = 1 << 22  # characters handled at once; a longer text is handled alone
-CACHED_CHUNKS = 300_000  # solved chunks a task keeps; then it starts anew
+CACHED_CHUNKS = 300_000  # solved chunks a task keeps; then it starts anew with those of the texts at hand
 UNKNOWN_PENALTY = 10.0
 _WIDTH = np.int64(1 << 21)  # more than any code point
 
@@ -42,6 +42,8 @@ class Pieces:
         self.text = {i: p for i, p, _ in pieces}
         self.bytes_ids = bytes_ids
         self.bytes_of = {i: p.replace(SPACE, " ").encode("utf-8") for i, p, _ in pieces} | {i: bytes([b]) for b, i in enumerate(bytes_ids)}
+        self.n_bytes = np.zeros(max(self.bytes_of) + 1, np.int64)
+        self.n_bytes[list(self.bytes_of)] = [len(b) for b in self.bytes_of.values()]
         next_state: dict[tuple[int, int], int] = {}
         ends: list[int] = [-1]
         score = {}
@@ -58,6 +60,9 @@ class Pieces:
         order = np.argsort(keys)
         self.keys, self.next = keys[order], np.array(list(next_state.values()), np.int64)[order]
         self.ends = np.array(ends, np.int64)
+        self.first = np.zeros(0x110000, np.int64)  # the state after a character, 0 if no piece begins with it
+        begin = self.keys < _WIDTH
+        self.first[self.keys[begin]] = self.next[begin]
         self.unknown = min(score.values()) - UNKNOWN_PENALTY
         self.score = np.full(max(score) + 1, np.nan)
         self.score[list(score)] = list(score.values())
@@ -73,10 +78,16 @@ class Pieces:
         found = []
         single = np.zeros(len(chars), bool)
         while len(at):
-            key = state * _WIDTH + chars[at + step]
-            j = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[j] == key
-            at, state, step = at[hit], self.next[j[hit]], step + 1
+            if step == 0:
+                to = self.first[chars]
+                hit = to > 0
+                at, state = at[hit], to[hit]
+            else:
+                key = state * _WIDTH + chars[at + step]
+                j = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+                hit = self.keys[j] == key
+                at, state = at[hit], self.next[j[hit]]
+            step += 1
             piece = self.ends[state]
             full = piece >= 0
             if step == 1:
@@ -106,6 +117,18 @@ class Pieces:
         ends = np.cumsum([len(i) // 4 for i in ids]).tolist()
         return [b"".join(flat[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
 
+    def decode_to(self, ids: list[bytes], texts: list[str]) -> bool:
+        """Whether the ids of every chunk stand for its text: all bytes in a row, and their number in each chunk."""
+        flat = np.frombuffer(b"".join(ids), "<i4")
+        whole = "".join(texts).replace(SPACE, " ")
+        if b"".join(map(self.bytes_of.__getitem__, flat.tolist())) != whole.encode():
+            return False
+        chars = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        widths = 1 + (chars > 0x7F).astype(np.int64) + (chars > 0x7FF) + (chars > 0xFFFF)
+        ends = [np.cumsum(np.array(n, np.int64)) for n in ([len(i) // 4 for i in ids], [len(t) for t in texts])]
+        at = [np.concatenate([[0], np.cumsum(n)])[e] for n, e in zip((self.n_bytes[flat], widths), ends, strict=True)]
+        return np.array_equal(*at)
+
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``: bytes of byte pieces, spaces for U+2581, the space in front dropped."""
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8")[1:]
@@ -266,7 +289,7 @@ def _solve(pieces: Pieces, texts: list[str]) -> list[Chunk]:
         texts, bounds.tolist(), bounds[1:].tolist(), best, lattice.second.tolist(), strict=False)]
     for c in np.unique(np.searchsorted(bounds, np.flatnonzero(ids < 0), "right") - 1).tolist():
         out[c].ids = pieces.ids(ids[bounds[c]:bounds[c + 1]].tolist(), texts[c])
-    if pieces.decode_chunks([c.ids for c in out]) != [t.replace(SPACE, " ").encode() for t in texts]:
+    if not pieces.decode_to([c.ids for c in out], texts):
         for c in out:
             c.whole = pieces.decode_chunks([c.ids]) == [c.text.replace(SPACE, " ").encode()]
     return out
@@ -303,9 +326,11 @@ def _segment_some(pieces: Pieces, known: dict[int, Chunk], docs: pa.Array, texts
     which, distinct = pd.factorize(run_hashes(chars, begins, ends))
     first = np.full(len(distinct), len(which), np.int64)
     np.minimum.at(first, which, np.arange(len(which)))
-    if len(known) + len(distinct) > CACHED_CHUNKS:
-        known.clear()
     keys = distinct.tolist()
+    if len(known) + len(keys) > CACHED_CHUNKS:
+        used = {key: known[key] for key in keys if key in known}
+        known.clear()
+        known.update(used)
     new = [c for c, key in enumerate(keys) if key not in known]
     places = zip(begins[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
     for c, chunk in zip(new, _solve(pieces, [whole[a:b] for a, b in places]) if new else [], strict=True):

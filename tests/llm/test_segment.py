@@ -2,6 +2,7 @@ import itertools
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,3 +79,23 @@ def test_least_sums():
     options = [[(0.0, b""), (1.5, b""), (2.0, b"")], [(0.0, b""), (1.0, b"")], [(0.0, b""), (0.25, b""), (9.0, b"")]]
     want = sorted((sum(o[j][0] for o, j in zip(options, pick, strict=True)), pick) for pick in itertools.product(range(3), range(2), range(3)))
     assert s._least_sums(options, 7) == want[:7] and s._least_sums([], 4) == [(0.0, ())]
+
+
+def test_a_full_cache_keeps_the_chunks_of_the_texts_at_hand(pieces, monkeypatch):
+    solved, solve = [], s._solve
+    monkeypatch.setattr(s, "CACHED_CHUNKS", 4)
+    monkeypatch.setattr(s, "_solve", lambda pieces, texts: solved.append(sorted(texts)) or solve(pieces, texts))
+    known = {}
+    for text in ("a b c", "a b d e f"):
+        got = s._segment_some(pieces, known, pa.array([1]), [text], 2, True)
+        assert got.equals(s._segment_some(pieces, {}, pa.array([1]), [text], 2, True))
+    assert solved[0::2] == [["▁a", "▁b", "▁c"], ["▁d", "▁e", "▁f"]]
+    assert len(known) == 5
+
+
+def test_chunks_are_decoded_one_by_one_and_in_a_row(pieces):
+    texts = ["▁ab", "ü中🙂", "x"]
+    ids = [c.ids for c in s._solve(pieces, texts)]
+    assert pieces.decode_to(ids, texts) and pieces.decode_to([], [])
+    assert not pieces.decode_to(ids, ["▁a", "bü中🙂", "x"])  # the same bytes in a row
+    assert not pieces.decode_to(ids, ["▁ab", "ü中🙂", "y"])
