@@ -197,11 +197,13 @@ def train_tree(stages: Stages, counts: DataFrame, depth: int = DEPTH) -> DataFra
     if not 2 <= depth <= 6:
         raise ValueError("depth must be 2 to 6 bytes")
     counts = stages.put("grams", counts)
+    stages.drop()
     shards = max(1, -(-counts.count() // SHARD_GRAMS))
     shard = F.pmod(F.xxhash64(F.shiftrightunsigned("key", 8).bitwiseAND(0xFFFF)), F.lit(shards)).alias("shard")
     dealt = counts.select(shard, "key", "n").groupBy("shard")
     sums = dealt.applyInArrow(lambda t: _top_sums(depth)(t), "key bigint, a double, b double, below double")
     top = sums.groupBy("key").agg(F.sum("a"), F.sum("b"), F.sum("below")).orderBy("key").toArrow()  # 65,280 rows at most
+    stages.drop()  # shuffle files of the ended jobs
     if not top.num_rows:
         return counts.select("key", F.lit(0.0).alias("value"))
     key = top.column(0).to_numpy().view(np.uint64)
@@ -272,6 +274,7 @@ def score_documents(stages: Stages, documents: DataFrame, held_out, depth: int =
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     docs = docs.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(max(1, -(-size // BLOCK_BYTES)))))
     vocabulary = stages.put("vocabulary", docs.groupBy("block").applyInArrow(lambda t: _vocabulary(depth)(t), VOCABULARY))
+    stages.drop()  # the texts' shuffle; the blocks' texts are brought together again for their scores
     by_key = Window.partitionBy("key")
     words = vocabulary.where(F.col("kind") == WORD).select(
         "block", "kind", "key", F.sum("n").over(by_key).cast("double").alias("value"),

@@ -132,3 +132,12 @@ def test_held_keys_are_added_up_whenever_they_double(monkeypatch):
     assert sum(r["n"] for r in out if r["kind"] == ct.WORD) == 60 * 96
     assert sum(r["n"] for r in out if r["kind"] == ct.GRAM) == sum(len(t) + 1 for i, t in enumerate(texts) if i % 5)
     assert sum(sizes) <= 8 * len(out)
+
+
+def test_shuffles_of_ended_steps_are_let_go(spark, monkeypatch):
+    done, put, drop = [], Stages.put, Stages.drop
+    monkeypatch.setattr(Stages, "put", lambda self, name, df: (done.append(name), put(self, name, df))[1])
+    monkeypatch.setattr(Stages, "drop", lambda self, *tables: done.append("let go") or drop(self, *tables))
+    df = spark.createDataFrame([(1, "a b a"), (2, "b c"), (3, None)], "doc_id bigint, text string")
+    assert ct.score_documents(Stages(spark), df, F.col("doc_id") == 2).count() == 3
+    assert done == ["vocabulary", "let go", "grams", "let go", "let go", "scored"]
