@@ -76,3 +76,30 @@ def test_hot_key_is_not_shuffled_to_one_task(spark):
         assert largest(plain) >= hot and 3 * largest(split) < len(rows)
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_sides_of_one_plan_share_the_limit(spark):
+    facts = B.written(spark.range(50).select("id", (F.col("id") % 9).alias("a"), (F.col("id") % 7).alias("b"), (F.col("id") % 5).alias("c")))
+    sides = [B.written(spark.range(1000).select(F.col("id").alias(f"k{i}"), (F.col("id") * 2).alias(f"v{i}"))) for i in range(3)]
+    limit = 200_000  # of two sides, not of three
+    size = 1000 * (B.ROW_OVERHEAD + 32)
+    assert 2 * size <= limit < 3 * size
+    out, held = facts, []
+    for i, key in enumerate("abc"):
+        out = B.join_lookup(out, sides[i], key, f"k{i}", limit_bytes=limit)
+        held.append(B._held(out))
+    assert held[0] > 0 and max(held) <= limit
+    assert plan_text(out).count("SortMergeJoin") >= 1
+    assert sorted(map(tuple, out.select("id", "v0", "v1", "v2").collect())) == [(i, i % 9 * 2, i % 7 * 2, i % 5 * 2) for i in range(50)]
+
+
+def test_a_side_used_twice_is_held_once(spark):
+    facts = B.written(spark.range(50).select("id", (F.col("id") % 9).alias("a")))
+    one = B.join_lookup(facts, B.written(spark.range(1000).withColumnRenamed("id", "k")), "a", "k")
+    assert 0 < B._held(one) == B._held(one.unionByName(one)) <= 1000 * (B.ROW_OVERHEAD + 32)
+    wide = B.broadcast_checked(spark.range(2000).withColumnRenamed("id", "k2"), B._held(one) + 1000, beside=one)
+    assert "Broadcast" not in plan_text(facts.join(wide, F.col("a") == F.col("k2")))
+
+
+def test_bytes_of_a_row_hold_its_place_in_a_hash_table(spark):
+    assert B.measured(spark.range(1000).select("id", F.col("id").alias("v")))[1] >= 1000 * (2 * 8 + 4 * 8)
